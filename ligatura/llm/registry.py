@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ligatura.llm.chat_trees import OP6_SQL, op6_chat_trees
 from ligatura.llm.quality_classifier import op1_quality_classifier
 from ligatura.llm.quality_rules import op5_quality_rules
 
@@ -14,8 +15,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
         "op5_quality_rules": op5_quality_rules,
+        "op6_chat_trees": op6_chat_trees,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_chat_trees": OP6_SQL}
