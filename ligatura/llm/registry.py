@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ligatura.llm.chat_trees import OP6_SQL, op6_chat_trees
 from ligatura.llm.quality_classifier import op1_quality_classifier
 from ligatura.llm.quality_rules import op5_quality_rules
+from ligatura.llm.token_files import op7_token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_classifier": op1_quality_classifier,
         "op5_quality_rules": op5_quality_rules,
         "op6_chat_trees": op6_chat_trees,
+        "op7_token_files": op7_token_files,
     }
 
 
