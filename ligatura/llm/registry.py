@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from ligatura.llm.chat_trees import OP6_SQL, op6_chat_trees
 from ligatura.llm.quality_classifier import op1_quality_classifier
 from ligatura.llm.quality_rules import op5_quality_rules
+from ligatura.llm.retrieval_packing import op2_retrieval_packing
 from ligatura.llm.token_files import op7_token_files
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": op1_quality_classifier,
+        "op2_retrieval_packing": op2_retrieval_packing,
         "op5_quality_rules": op5_quality_rules,
         "op6_chat_trees": op6_chat_trees,
         "op7_token_files": op7_token_files,
