@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ligatura.llm.chat_trees import OP6_SQL, op6_chat_trees
 from ligatura.llm.language_crf import op8_language_crf
+from ligatura.llm.pii_tagger import op9_pii_tagger
 from ligatura.llm.quality_classifier import op1_quality_classifier
 from ligatura.llm.quality_rules import op5_quality_rules
 from ligatura.llm.retrieval_packing import op2_retrieval_packing
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_chat_trees": op6_chat_trees,
         "op7_token_files": op7_token_files,
         "op8_language_crf": op8_language_crf,
+        "op9_pii_tagger": op9_pii_tagger,
     }
 
 
