@@ -12,6 +12,7 @@ from ligatura.llm.pii_tagger import op9_pii_tagger
 from ligatura.llm.quality_classifier import op1_quality_classifier
 from ligatura.llm.quality_rules import op5_quality_rules
 from ligatura.llm.retrieval_packing import op2_retrieval_packing
+from ligatura.llm.template_decontamination import op10_template_decontamination
 from ligatura.llm.token_files import op7_token_files
 
 
@@ -24,6 +25,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_token_files": op7_token_files,
         "op8_language_crf": op8_language_crf,
         "op9_pii_tagger": op9_pii_tagger,
+        "op10_template_decontamination": op10_template_decontamination,
     }
 
 

@@ -168,10 +168,10 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, path: str | None = None, s
 
         held = 0
         for batch in batches:
-            texts, doc_ids = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for first, last in text_slices(texts):
-                ids, bounds = cache.encode(texts[first:last], END_ID)
-                shard.append((ids, bounds, doc_ids[first:last]))
+            doc_ids = batch.column("doc_id").to_pylist()
+            for first, texts in text_slices(batch.column("text")):
+                ids, bounds = cache.encode(texts, END_ID)
+                shard.append((ids, bounds, doc_ids[first : first + len(texts)]))
                 held += len(ids)
                 if held >= shard_tokens:
                     yield from flush()

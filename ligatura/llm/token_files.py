@@ -40,11 +40,10 @@ def encode_shards(docs: DataFrame, tokenizer: str = TOKENIZER, path: str | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, shard, at = worker_cache(tokenizer, path), TaskContext.get().partitionId(), 0
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for first, last in text_slices(texts):
-                ids, bounds = cache.encode(texts[first:last], END_ID)
+            for first, texts in text_slices(batch.column("text")):
+                ids, bounds = cache.encode(texts, END_ID)
                 lists = pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.astype(np.int32)))
-                n = last - first
+                n = len(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(first, n), pa.array(np.full(n, shard, np.int32)), pa.array(at + bounds[:-1]), pa.array(np.diff(bounds)), lists],
                     ["doc_id", "shard", "start_in_shard", "n_tokens", "ids"],

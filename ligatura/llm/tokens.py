@@ -10,8 +10,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+
+from ligatura.llm.textkit import blocks
 
 #: Unicode white space, as the inside of a character class; with it the cuts agree with the tokenizers' own.
 _WS = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
@@ -42,6 +47,19 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Index(dict):
+    """Chunk to place; a chunk not seen yet gets the next place and is noted in ``new``."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = place = len(self)
+        self.new.append(chunk)
+        return place
+
+
 class ChunkCache:
     """Ids of chunks seen by this worker: ``start`` and ``size`` index the flat array ``ids``."""
 
@@ -58,50 +76,53 @@ class ChunkCache:
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.start = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.at = _Index()
+        self.start = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint16)
 
-    def _learn(self, chunks: list[str]) -> None:
-        got = self.library.encode_batch_fast(chunks, add_special_tokens=False)
-        ids = [e.ids for e in got]
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint16, int(size.sum()))
-        self.at.update(zip(chunks, range(len(self.size), len(self.size) + len(chunks)), strict=True))
-        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(size) - size])
+    def _learn(self) -> None:
+        sizes, flat = [], []
+        for k in range(0, len(self.at.new), 20_000):
+            ids = [e.ids for e in self.library.encode_batch_fast(self.at.new[k : k + 20_000], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
+            flat.append(np.array(list(chain.from_iterable(ids)), np.uint16))
+        self.at.new = []
+        size = np.concatenate(sizes)
+        self.start = np.concatenate([self.start, (len(self.ids) + np.cumsum(size) - size).astype(np.int32)])
         self.size = np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, flat])
+        self.ids = np.concatenate([self.ids, *flat])
 
     def encode(self, texts: list[str | None], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end_id``; bounds of the texts); null is empty."""
         if len(self.at) > self.limit:
             self.clear()
-        cuts: list[list[str] | None] = []
-        new: dict[str, None] = {}
-        at = self.at
-        for text in texts:
+        place = self.at.__getitem__
+        parts, counts = [], []
+        whole: dict[int, np.ndarray] = {}
+        for k, text in enumerate(texts):
             if text and self.folds and not _FAR.search(text):
                 text = text.lower()
-            chunks = None if text and _ODD.search(text) else self.cut.findall(text or "")
-            cuts.append(chunks)
-            if chunks:
-                new.update(dict.fromkeys(c for c in chunks if c not in at))
-        if new:
-            self._learn(list(new))
-        whole = {k: np.array(self.library.encode(texts[k], add_special_tokens=False).ids, np.uint16) for k, c in enumerate(cuts) if c is None}
-        rows = np.fromiter((at[c] for chunks in cuts if chunks for c in chunks), np.int64, sum(len(c) for c in cuts if c))
-        size = self.size[rows]
-        flat = self.ids[np.repeat(self.start[rows] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+            if text and _ODD.search(text):
+                whole[k] = np.array(self.library.encode(texts[k], add_special_tokens=False).ids, np.uint16)
+                text = ""
+            chunks = self.cut.findall(text or "")
+            parts.append(np.fromiter(map(place, chunks), np.int32, len(chunks)))
+            counts.append(len(chunks))
+        if self.at.new:
+            self._learn()
+        rows = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        size = self.size[rows].astype(np.int64)
         ends = np.zeros(len(rows) + 1, np.int64)
         np.cumsum(size, out=ends[1:])
-        chunk_bounds = np.cumsum([0, *(len(c) if c else 0 for c in cuts)])
+        chunk_bounds = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype(np.int64)
         own = np.diff(ends[chunk_bounds])
         for k, ids in whole.items():
             own[k] = len(ids)
         bounds = np.zeros(len(texts) + 1, np.int64)
         np.cumsum(own + 1, out=bounds[1:])
         out = np.full(int(bounds[-1]), end_id, np.uint16)
+        flat = self.ids[np.repeat(self.start[rows] - ends[:-1], size) + np.arange(int(ends[-1]))]
         if whole:
             for k in range(len(texts)):
                 out[bounds[k] : bounds[k + 1] - 1] = whole[k] if k in whole else flat[ends[chunk_bounds[k]] : ends[chunk_bounds[k + 1]]]
@@ -125,15 +146,7 @@ def crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def text_slices(texts: list[str | None], limit: int = 2_000_000) -> list[tuple[int, int]]:
-    """Runs of texts of about ``limit`` characters; a longer text is a run of its own."""
-    out, first, total = [], 0, 0
-    for k, t in enumerate(texts):
-        n = len(t) if t else 0
-        if k > first and total + n > limit:
-            out.append((first, k))
-            first, total = k, 0
-        total += n
-    if len(texts) > first:
-        out.append((first, len(texts)))
-    return out
+def text_slices(column: pa.Array, limit: int = 2_000_000) -> Iterator[tuple[int, list[str | None]]]:
+    """(index of the first, texts) of runs of about ``limit`` bytes; a longer text is a run of its own."""
+    for begin, _, bounds in blocks(column, limit):
+        yield begin, column.slice(begin, len(bounds) - 1).to_pylist()
