@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ligatura.llm.chat_trees import OP6_SQL, op6_chat_trees
 from ligatura.llm.language_crf import op8_language_crf
+from ligatura.llm.lm_scoring import op4_lm_scoring
 from ligatura.llm.near_duplicates import op3_near_duplicates
 from ligatura.llm.pii_tagger import op9_pii_tagger
 from ligatura.llm.quality_classifier import op1_quality_classifier
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality_classifier": op1_quality_classifier,
         "op2_retrieval_packing": op2_retrieval_packing,
         "op3_near_duplicates": op3_near_duplicates,
+        "op4_lm_scoring": op4_lm_scoring,
         "op5_quality_rules": op5_quality_rules,
         "op6_chat_trees": op6_chat_trees,
         "op7_token_files": op7_token_files,
