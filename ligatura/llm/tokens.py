@@ -32,9 +32,13 @@ CUTS = {
     # a single space belongs to the word after it; longer runs of white space end before the last character
     "byte_bpe_50k.json": re.compile(f" ?{_WORD}|{_TAIL}| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]"),
 }
+_PLAIN = re.compile(f" ?[{_LETTERS}]+|[{_MARKS}]+")
+#: The characters by which byte-level BPE writes bytes: printable Latin-1 as itself, the others from U+0100 on.
+_SELF = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTES = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _SELF)}
 #: Up to here lower-casing needs no context and no character combines with another.
 _FAR = re.compile(f"[{chr(0x250)}-{chr(0x10FFFF)}]")
-CACHE_CHUNKS = 1_000_000
+CACHE_CHUNKS = 700_000
 END_ID = 2
 
 _CACHES: dict[str, ChunkCache] = {}
@@ -70,6 +74,8 @@ class ChunkCache:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path or tokenizer_path(name))
+        self.pieces = Tokenizer.from_file(path or tokenizer_path(name))  # takes single pre-tokens, byte by byte as characters
+        self.pieces.normalizer = self.pieces.pre_tokenizer = None
         self.cut = CUTS[name]
         self.folds = name == "word_bpe_49k.json"
         self.limit = limit
@@ -82,16 +88,31 @@ class ChunkCache:
         self.ids = np.zeros(0, np.uint16)
 
     def _learn(self) -> None:
-        sizes, flat = [], []
-        for k in range(0, len(self.at.new), 20_000):
-            ids = [e.ids for e in self.library.encode_batch_fast(self.at.new[k : k + 20_000], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, ids), np.int32, len(ids)))
-            flat.append(np.array(list(chain.from_iterable(ids)), np.uint16))
-        self.at.new = []
-        size = np.concatenate(sizes)
-        self.start = np.concatenate([self.start, (len(self.ids) + np.cumsum(size) - size).astype(np.int32)])
-        self.size = np.concatenate([self.size, size])
-        self.ids = np.concatenate([self.ids, *flat])
+        """Encode the new chunks: plain words and marks, single pre-tokens for certain, as one list; the rest one by one."""
+        new, self.at.new = self.at.new, []
+        size = np.zeros(len(new), np.int64)
+        plain = np.fromiter((_PLAIN.fullmatch(c) is not None for c in new), bool, len(new))
+        lists: list[tuple[np.ndarray, np.ndarray]] = []
+        for rows, single in ((np.flatnonzero(plain), True), (np.flatnonzero(~plain), False)):
+            for k in range(0, len(rows), 10_000):
+                part = rows[k : k + 10_000]
+                chunks = [new[r] for r in part]
+                if single:
+                    got = self.pieces.encode([c.encode().decode("latin-1").translate(_BYTES) for c in chunks], is_pretokenized=True, add_special_tokens=False)
+                    size[part] = np.bincount(np.array(got.word_ids, np.int64), minlength=len(part))
+                    lists.append((part, np.array(got.ids, np.uint16)))
+                else:
+                    ids = [e.ids for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
+                    size[part] = np.fromiter(map(len, ids), np.int64, len(ids))
+                    lists.append((part, np.array(list(chain.from_iterable(ids)), np.uint16)))
+        start = np.zeros(len(new), np.int64)
+        at = len(self.ids)
+        for part, ids in lists:
+            start[part] = at + np.cumsum(size[part]) - size[part]
+            at += len(ids)
+        self.start = np.concatenate([self.start, start.astype(np.int32)])
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
+        self.ids = np.concatenate([self.ids, *(ids for _, ids in lists)])
 
     def encode(self, texts: list[str | None], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each closed by ``end_id``; bounds of the texts); null is empty."""
