@@ -1,6 +1,6 @@
 r"""Operator 10: benchmark decontamination by templates, in DataFrame operations only.
 
-Texts become words (runs outside ``[\x20\x09-\x0D]`` that hold a letter or digit, stripped of outer marks, lower case).
+Texts become words (runs outside ``[\x20\x09-\x0D]`` that aren't marks alone, stripped of outer marks, lower case).
 Words that start with a digit become ``<num>``, unit words ``<unit>``, and capitalised words inside a sentence
 ``<name>``; hashes of all windows of ``WINDOW`` such words meet the benchmark's in one hash join, so a question with other
 numbers, names or units still meets its template. An item of fewer words is one window of its own length; one of fewer
@@ -28,6 +28,8 @@ WINDOW = 8
 MIN_WORDS = 13
 MIN_SHARE = 0.5
 BROADCAST_WINDOWS = 1_000_000
+#: Marks that are stripped from both ends of a word.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" + "".join(map(chr, (0xA1, 0xAB, 0xB7, 0xBB, 0xBF, *range(0x2010, 0x2028), 0x2030, *range(0x2039, 0x203B))))
 #: Words that name a unit.
 UNITS = (
     "mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound pounds oz ounce ounces ton tons "
@@ -42,21 +44,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def words(text: Column) -> Column:
-    """The words of a text as written; line ends also end a sentence."""
-    cut = F.split(F.regexp_replace(text, r"\n+", ". "), r"[\x20\x09-\x0D]+")
-    return F.coalesce(F.filter(cut, lambda w: w.rlike(r"[\p{L}\p{N}]")), F.array().cast("array<string>"))
-
-
-def bare(word: Column) -> Column:
-    return F.lower(F.regexp_replace(word, r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""))
+    """The words of a text as (raw, bare); line ends also end a sentence."""
+    cut = F.split(F.replace(text, F.lit("\n"), F.lit(". ")), r"[\x20\x09-\x0D]+")
+    pairs = F.transform(cut, lambda w: F.named_struct(F.lit("raw"), w, F.lit("bare"), F.lower(F.btrim(w, F.lit(MARKS)))))
+    return F.coalesce(F.filter(pairs, lambda p: p["bare"] != ""), F.array().cast("array<struct<raw:string,bare:string>>"))
 
 
 def template(tokens: Column) -> Column:
     """The words with typed placeholders."""
 
-    def one(w: Column, i: Column) -> Column:
-        inside = (i > 0) & w.rlike(r"^[^\p{L}\p{N}]*\p{Lu}\p{Ll}+") & ~F.get(tokens, i - 1).rlike(r"[.!?:][^\p{L}\p{N}]*$")
-        return let(bare(w), lambda b: F.when(b.rlike("^[0-9]"), F.lit("<num>")).when(b.isin(UNITS), F.lit("<unit>")).when(inside, F.lit("<name>")).otherwise(b))
+    def one(t: Column, i: Column) -> Column:
+        # the cheap test comes first: only words with a capital meet the regular expressions
+        named = (i > 0) & (F.lower(t["raw"]) != t["raw"]) & t["raw"].rlike(r"^[^\p{L}\p{N}]*\p{Lu}\p{Ll}+") & ~F.get(tokens, i - 1)["raw"].rlike(r"[.!?:][^\p{L}\p{N}]*$")
+        first = F.substring(t["bare"], 1, 1)
+        return F.when((first >= "0") & (first <= "9"), F.lit("<num>")).when(t["bare"].isin(UNITS), F.lit("<unit>")).when(named, F.lit("<name>")).otherwise(t["bare"])
 
     return F.transform(tokens, one)
 
@@ -96,12 +97,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
 
     def located(hashes: Column) -> Column:
         def of(size: int) -> Column:
-            return F.transform(window_hashes(hashes, size), lambda h, i: F.struct(F.lit(size).alias("size"), i.alias("at"), h.alias("wh")))
+            return F.transform(window_hashes(hashes, size), lambda h, i: F.named_struct(F.lit("size"), F.lit(size), F.lit("at"), i, F.lit("wh"), h))
 
         return F.concat(empty, *(F.when(F.size(hashes) >= s, of(s)).otherwise(empty) for s in sizes))
 
     hashed = let(words(F.col("text")), lambda t: F.transform(template(t), lambda w: F.xxhash64(w)))
-    found = ids.select("doc_id", "_key", let(hashed, lambda h: F.struct(F.size(h).alias("n"), located(h).alias("w"))).alias("x"))
+    found = ids.select("doc_id", "_key", let(hashed, lambda h: F.named_struct(F.lit("n"), F.size(h), F.lit("w"), located(h))).alias("x"))
     found = found.select("doc_id", "_key", F.col("x.n").alias("doc_words"), F.explode("x.w").alias("v")).select("doc_id", "_key", "doc_words", "v.*")
     small = targets.count() <= BROADCAST_WINDOWS
     met = found.join(F.broadcast(targets) if small else targets, ["wh", "size"]).where((F.col("item_words") >= 5) | (F.col("doc_words") == F.col("item_words")))
@@ -109,7 +110,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
         F.max("item_words").alias("item_words"), F.array_sort(F.collect_set(F.struct("item_at", "size"))).alias("at")
     )
     covered = F.size(F.array_distinct(F.flatten(F.transform("at", lambda a: F.sequence(a["item_at"], a["item_at"] + a["size"] - 1)))))
-    runs = runs.select("doc_id", "_key", "item_id", "shift", "item_words", covered.alias("covered"), "at")
+    runs = written(runs.select("doc_id", "_key", "item_id", "shift", "item_words", covered.alias("covered"), "at"), "runs")  # used twice, computed once
     # only texts that meet a window are read again, for the values in their slots
     slots = runs.join(items, "item_id").where(F.exists("item_template", lambda w: w.startswith("<")))
     asked = slots.groupBy("doc_id", "_key").agg(F.collect_set(F.struct("item_id", "shift", "at", "item_tokens", "item_template")).alias("asks"))
@@ -119,7 +120,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
         F.array_distinct(F.flatten(F.transform("q.at", lambda a: F.sequence(a["item_at"], a["item_at"] + a["size"] - 1)))),
         lambda p: F.get(F.col("q.item_template"), p).startswith("<"),
     )
-    pairs = F.array_distinct(F.transform(places, lambda p: F.struct(bare(F.get(F.col("q.item_tokens"), p)).alias("b"), bare(F.get(F.col("tokens"), p + F.col("q.shift"))).alias("d"))))
+    pairs = F.array_distinct(F.transform(places, lambda p: F.named_struct(F.lit("b"), F.get(F.col("q.item_tokens"), p)["bare"], F.lit("d"), F.get(F.col("tokens"), p + F.col("q.shift"))["bare"])))
     odd = F.size(pairs) != F.size(F.array_distinct(F.transform(pairs, lambda s: s["b"])))
     clash = text.where(odd).select("doc_id", "_key", F.col("q.item_id").alias("item_id"), F.col("q.shift").alias("shift"))
     r, c = runs.alias("r"), clash.alias("c")
