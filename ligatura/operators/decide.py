@@ -8,13 +8,16 @@ counts by (s, p), and each count adds to exactly the grid points at or under its
 from __future__ import annotations
 
 import json
+import math
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from ligatura.operators.relational import argmax_per_key
+from ligatura.operators.relational import argmax_per_key, top_per_key
 
 BETA2 = 0.25
 GRID = [round(0.05 + 0.01 * k, 2) for k in range(94)]
@@ -327,8 +330,6 @@ def best_prefix(q: list[float], miss: float = 0.0, beta2: float = BETA2) -> int:
             d = [(d[i] if i < len(d) else 0.0) * (1 - p) + (d[i - 1] * p if i else 0.0) for i in range(len(d) + 1)]
         return d
 
-    import math
-
     best, best_value = 0, math.exp(-miss) * math.prod(1 - p for p in q)
     for k in range(1, len(q) + 1):
         tp, fn = distribution(q[:k]), distribution(q[k:])
@@ -343,15 +344,11 @@ def expected_f_decode(pairs: DataFrame, max_offers: int = 12, miss: float = 0.0,
 
     Offers are each query's best candidate; an entity's are cut to ``max_offers`` before they are gathered, so each list is short.
     """
-    import pandas as pd
-    from pyspark.sql.types import LongType
 
     @F.pandas_udf(LongType())
     def prefix(q: pd.Series) -> pd.Series:
         return pd.Series([best_prefix([float(x) for x in v], miss) for v in q])
 
-    from ligatura.operators.relational import top_per_key
-
     offers = argmax_per_key(pairs, ["t"], "p", ["s"]).where(F.col("p") >= min_q).select("t", "s", "p")
     top = top_per_key(offers, ["s"], [F.desc("p"), F.asc("t")], max_offers, "j")
     lists = top.groupBy("s").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "p"))), lambda x: x["p"]).alias("q"))

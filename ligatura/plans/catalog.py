@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ligatura.plans import relational_queries
+from ligatura.plans import decision_queries, relational_queries, retrieval_queries, text_queries
 
-GROUPS = (relational_queries,)
+GROUPS = (relational_queries, retrieval_queries, text_queries, decision_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
