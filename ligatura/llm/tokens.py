@@ -21,7 +21,7 @@ from ligatura.llm.textkit import blocks
 #: Unicode white space, as the inside of a character class; with it the cuts agree with the tokenizers' own.
 _WS = "\t-\r " + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 #: Separators and marks that Python and the tokenizers may class differently, and special tokens: such texts are encoded whole.
-_ODD = re.compile("[" + "".join(map(chr, (*range(0x1C, 0x20), 0x180E, *range(0x200B, 0x2010), 0x2060, 0xFEFF))) + "]|<\\|")
+_ODD = (*map(chr, (*range(0x1C, 0x20), 0x180E, *range(0x200B, 0x2010), 0x2060, 0xFEFF)), "<|")
 _LETTERS = "A-Za-z" + "".join(map(chr, [c for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]))
 _MARKS = r"!#$%&*,.:;?|"
 #: A word of plain letters and the marks after it are chunks of their own: no tokenizer joins the two.
@@ -38,6 +38,17 @@ _SELF = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTES = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _SELF)}
 #: Up to here lower-casing needs no context and no character combines with another.
 _FAR = re.compile(f"[{chr(0x250)}-{chr(0x10FFFF)}]")
+
+
+def _near(text: str) -> bool:
+    """No character of ``_FAR``; Latin-1 texts, the usual case, are told by one fast pass."""
+    try:
+        text.encode("latin-1")
+        return True
+    except UnicodeEncodeError:
+        return not _FAR.search(text)
+
+
 CACHE_CHUNKS = 700_000
 END_ID = 2
 
@@ -122,9 +133,9 @@ class ChunkCache:
         parts, counts = [], []
         whole: dict[int, np.ndarray] = {}
         for k, text in enumerate(texts):
-            if text and self.folds and not _FAR.search(text):
+            if text and self.folds and _near(text):
                 text = text.lower()
-            if text and _ODD.search(text):
+            if text and any(odd in text for odd in _ODD):
                 whole[k] = np.array(self.library.encode(texts[k], add_special_tokens=False).ids, np.uint16)
                 text = ""
             chunks = self.cut.findall(text or "")
