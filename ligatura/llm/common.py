@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,15 +27,39 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/ligatura/{name}-{uuid.uuid4().hex}"
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
 
 
-def written(df: DataFrame, name: str, partitions: int | None = None, **options: str) -> DataFrame:
+def shared_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A new path in the shared folder; within ``scratch`` in its folder, unless the table is to be kept."""
+    folder = None if keep else _SCRATCH.get()
+    return f"{folder or shared_folder(spark) + '/ligatura'}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Have driver and JVM forget plans that are done, so that executors drop their shuffle files before the next long step."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written within go at the end, but for those written with ``keep``."""
+    folder = shared_path(spark, "scratch", keep=True)
+    token = _SCRATCH.set(folder)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        release(spark)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = shared_path(df.sparkSession, name)
-    out = df if partitions is None else df.coalesce(partitions)
-    out.write.options(**options).mode("overwrite").parquet(path)
+    path = shared_path(df.sparkSession, name, keep)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

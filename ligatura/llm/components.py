@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +27,29 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The edges of one task as stars: what a union-find over each batch leaves. A shorter list with the same components."""
+    for batch in batches:
+        names, ends = np.unique(np.concatenate([batch.column("a").to_numpy(), batch.column("b").to_numpy()]), return_inverse=True)
+        up = list(range(len(names)))
+
+        def root(x: int, up: list[int] = up) -> int:
+            while up[x] != x:
+                up[x] = up[up[x]]
+                x = up[x]
+            return x
+
+        for x, y in ends.reshape(2, -1).T.tolist():
+            p, q = root(x), root(y)
+            up[max(p, q)] = min(p, q)
+        tops = np.array([root(x) for x in range(len(names))], np.int64)
+        keep = tops != np.arange(len(names))
+        yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(names[tops[keep]])], ["a", "b"])
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b), where root is the least node of its component."""
-    state = written(edges.where("a != b").distinct(), "edges")
+    state = written(edges.where("a != b").select("a", "b").mapInArrow(_contract, "a long, b long").distinct(), "edges")
     mark = lambda df: df.agg(F.count("*").alias("n"), F.sum(F.hash("a", "b").cast("long")).alias("h")).first()
     before = mark(state)
     while True:

@@ -4,13 +4,13 @@ Every text becomes its set of word shingles (64-bit hashes, all of them), and th
 Equal sets collapse into one entry first, by partial aggregation. Then ``TREES`` independent trees branch over the
 entries: a node picks one coordinate, and with probability 1/threshold - 1 a second, and each entry goes to the child of
 its minwise value there. A pair at the threshold so meets in about one child of a node on average, whatever the depth.
-Nodes of at most ``LEAF`` entries are compared exhaustively on 8-bit sketches in numpy; larger ones compare all entries
+Nodes of at most ``LEAF`` entries are compared exhaustively in numpy on longer sketches of one byte a coordinate; larger ones compare all entries
 with one pivot and branch again; what is still large after ``LEVELS`` is compared block by block. Candidates are
 confirmed on full sets. All links within a class aren't needed: the first trees look for spanning links, and later nodes
 are only looked at while their entries are in more than one component, so a large group of copies costs a few links an
 entry, and its nodes then fall away.
 
-Recall: the estimate a pair must reach is ``MARGIN`` (four standard deviations) under the threshold; with 16 trees a
+Recall: the estimate a pair must reach is ``MARGIN`` (three and a half standard deviations) under the threshold; with 16 trees a
 pair at the threshold is missed by all trees with probability about 1e-12 at depth 1 and 1e-5 at depth 4.
 
 Nulls and edge cases: null or empty text has an empty set and is a component of its own; a text of fewer than k words is
@@ -28,33 +28,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import table, written
+from ligatura.llm.common import release, scratch, table, written
 from ligatura.llm.components import components
 from ligatura.llm.textkit import Words, blocks, mix
 
 COORDINATES = 128
 TREES = 16
 FIRST_TREES = 4
-LEAF = 1000
+LEAF = 4000
 LEVELS = 8
-MARGIN = 0.14
+BRIEF = 384
+COARSE = 192
+MARGIN, COARSE_MARGIN = 0.07, 0.1
+EXACT = 640
 BROADCAST_IDS = 1_000_000
 _rng = np.random.default_rng(20240229)
-_A = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
-_B = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
+_A = _rng.integers(1, 1 << 32, max(COORDINATES, BRIEF), dtype=np.uint32) | np.uint32(1)
+_B = _rng.integers(1, 1 << 32, max(COORDINATES, BRIEF), dtype=np.uint32)
 
 
-def set_sketches(text: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set sizes, 64-bit set ids, (n, COORDINATES) minwise values) of the sets given as rows (text, hash) by text."""
+def set_sketches(text: np.ndarray, hashes: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set sizes, 64-bit set ids, (n, width) minwise values) of the sets given as rows (text, hash) by text."""
     size = np.bincount(text, minlength=n)
     has = np.flatnonzero(size)
-    values = np.full((n, COORDINATES), 0xFFFFFFFF, np.uint32)
+    values = np.full((n, width), 0xFFFFFFFF, np.uint32)
     ids = np.zeros(n, np.uint64)
     if len(has):
         first = (np.cumsum(size) - size)[has]
         ids[has] = mix(np.add.reduceat(mix(hashes), first) + size[has].astype(np.uint64))
-        for k in range(COORDINATES):
-            values[has, k] = np.minimum.reduceat(((hashes * _A[k] + _B[k]) >> np.uint64(32)).astype(np.uint32), first)
+        short = (hashes >> np.uint64(32)).astype(np.uint32)
+        for k in range(width):
+            values[has, k] = np.minimum.reduceat(short * _A[k] + _B[k], first)
     return size, ids.view(np.int64), values
 
 
@@ -64,26 +68,57 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
 
 
-def _rows(column: pa.Array, dtype: type) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), COORDINATES)
+def _rows(column: pa.Array, dtype: type, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), width)
 
 
 def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, sid (null for an empty set), sketch (32-bit values) and brief (their low bytes) of every row."""
+    """doc_id, n_shingles, sid (null for an empty set) and sketch (32-bit minwise values) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, buf, bounds in blocks(batch.column("text")):
                 n = len(bounds) - 1
-                size, ids, values = set_sketches(*Words(buf, bounds, lower=True).shingles(k), n)
+                size, ids, values = set_sketches(*Words(buf, bounds, lower=True).shingles(k), n, COORDINATES)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, n), pa.array(size.astype(np.int64)), pa.array(ids, mask=size == 0), _binary(values), _binary(values.astype(np.uint8))],
-                    ["doc_id", "n_shingles", "sid", "sketch", "brief"],
+                    [batch.column("doc_id").slice(first, n), pa.array(size.astype(np.int64)), pa.array(ids, mask=size == 0), _binary(values)], ["doc_id", "n_shingles", "sid", "sketch"]
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, sid long, sketch binary, brief binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, sid long, sketch binary")
+
+
+def texts_of(sids: DataFrame, entries: DataFrame, docs: DataFrame) -> DataFrame:
+    """The texts of the documents that stand for some entries."""
+    ids = written(entries.join(sids, "sid", "left_semi").select("doc_id"), "asked")
+    few = ids.count() <= BROADCAST_IDS  # some 16 MB at most; beyond it both sides are shuffled
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+
+
+def briefs(sids: DataFrame, entries: DataFrame, docs: DataFrame, k: int) -> DataFrame:
+    """(sid, n_shingles, brief, exact) of the entries that meet others.
+
+    ``brief`` is a longer sketch of one byte a coordinate. Of a set of at most EXACT shingles it holds the first COARSE
+    coordinates, and ``exact`` the set itself as 16-bit hashes; of a larger set all coordinates, and ``exact`` is empty.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, buf, bounds in blocks(batch.column("text")):
+                text, hashes = Words(buf, bounds, lower=True).shingles(k)
+                size, ids, values = set_sketches(text, hashes, len(bounds) - 1, BRIEF)
+                low = values.astype(np.uint8)
+                brief, exact = [], []
+                for row, (n, end) in enumerate(zip(size.tolist(), np.cumsum(size).tolist(), strict=True)):
+                    if n:
+                        brief.append(low[row, : COARSE if n <= EXACT else BRIEF].tobytes())
+                        exact.append((hashes[end - n : end] >> np.uint64(40)).astype(np.uint16).tobytes() if n <= EXACT else b"")
+                has = size > 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[has]), pa.array(size[has].astype(np.int64)), pa.array(brief, pa.binary()), pa.array(exact, pa.binary())], ["sid", "n_shingles", "brief", "exact"]
+                )
+
+    made = texts_of(sids, entries, docs).select("text").mapInArrow(run, "sid long, n_shingles long, brief binary, exact binary")
+    return made.groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n_shingles", "brief", "exact")))
 
 
 def full_sets(docs: DataFrame, k: int) -> DataFrame:
@@ -117,17 +152,17 @@ def _children(parent: np.ndarray, values: np.ndarray, threshold: float) -> tuple
     return rows, mix(parent[rows] * np.uint64(0x9E3779B97F4A7C15) + mix(key)).view(np.int64)
 
 
-def roots(entries: DataFrame, trees: range, threshold: float) -> DataFrame:
-    """(node, sid) of the first level of some trees."""
+def roots(entries: DataFrame, threshold: float) -> DataFrame:
+    """(tree, node, sid) of the first level of all trees."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, ids = _rows(batch.column("sketch"), np.uint32), batch.column("sid").to_numpy()
-            for tree in trees:
+            values, ids = _rows(batch.column("sketch"), np.uint32, COORDINATES), batch.column("sid").to_numpy()
+            for tree in range(TREES):
                 rows, child = _children(mix(np.full(len(ids), tree + 1, np.uint64)), values, threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(ids[rows])], ["node", "sid"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), tree, np.int32)), pa.array(child), pa.array(ids[rows])], ["tree", "node", "sid"])
 
-    return entries.select("sid", "sketch").mapInArrow(run, "node long, sid long")
+    return entries.select("sid", "sketch").mapInArrow(run, "tree int, node long, sid long")
 
 
 def branch(nodes: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
@@ -137,18 +172,19 @@ def branch(nodes: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 ids = batch.column("sid").to_numpy()
-                rows, child = _children(batch.column("node").to_numpy().view(np.uint64), _rows(batch.column("sketch"), np.uint32), threshold)
+                rows, child = _children(batch.column("node").to_numpy().view(np.uint64), _rows(batch.column("sketch"), np.uint32, COORDINATES), threshold)
                 yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(ids[rows])], ["node", "sid"])
 
     return nodes.select("node", "sid").join(entries.select("sid", "sketch"), "sid").select("node", "sid", "sketch").mapInArrow(run, "node long, sid long")
 
 
 def sized(nodes: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """(node, sid, comp, size) of the nodes whose entries are in more than one component."""
+    """``nodes`` with comp and size, only those whose entries are in more than one component."""
+    nodes = nodes.drop("comp", "size")
     if comp is None:
         nodes = nodes.withColumn("comp", F.col("sid"))
     else:
-        nodes = nodes.join(comp.withColumnRenamed("node", "sid"), "sid", "left").select("node", "sid", F.coalesce("root", "sid").alias("comp"))
+        nodes = nodes.join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
     mixed = nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
     return nodes.join(mixed.select("node", "size"), "node")
 
@@ -166,41 +202,83 @@ class _Union:
         return True
 
 
-def compare_node(brief: np.ndarray, size: np.ndarray, comp: np.ndarray, threshold: float, margin: float, spanning: bool) -> list[tuple[int, int]]:
-    """Index pairs of a node worth confirming: across components, alike in size and sketch; only a spanning set if asked."""
-    least = (threshold - margin) * COORDINATES
-    found: list[np.ndarray] = []
-    for a in range(0, len(size), 128):
-        part = slice(a, a + 128)
-        alike = (brief[part, None, :] == brief[None, :, :]).sum(axis=2, dtype=np.int16)
-        ok = (alike >= least) & (comp[part, None] != comp[None, :]) & (np.minimum(size[part, None], size) >= threshold * np.maximum(size[part, None], size))
+def compare_node(brief: list[bytes], size: np.ndarray, comp: np.ndarray, exact: list[bytes], threshold: float, spanning: bool) -> list[tuple[int, int]]:
+    """Index pairs of a node worth confirming: across components, alike in size and sketch.
+
+    The largest component needs no comparison with itself, so its rows only stand on one side. Pairs are taken from the
+    most alike down. If both sets are at hand, their 16-bit hashes decide, with room for the hashes' own collisions; else
+    the full sketches, if both have one. A pair that stays and that the sets decided joins the components; others only
+    do if a spanning set is asked for.
+    """
+    coarse = np.frombuffer(b"".join(b[:COARSE] for b in brief), np.uint8).reshape(len(brief), COARSE)
+    least = (threshold - COARSE_MARGIN) * COARSE
+    _, place, counts = np.unique(comp, return_inverse=True, return_counts=True)
+    main = counts.argmax()
+    rows = np.flatnonzero(place != main) if counts[main] > 1 else np.arange(len(size))
+    if not len(rows):
+        return []
+    order = np.argsort(size, kind="stable")
+    ranked = size[order]
+    found = [np.zeros((0, 3), np.int64)]
+    chunk = max(1, 24_000_000 // (COARSE * len(size)))
+    for a in range(0, len(rows), chunk):
+        part = rows[a : a + chunk]
+        # only sizes within the threshold of each other can be alike
+        low, high = np.searchsorted(ranked, size[part].min() * threshold, "left"), np.searchsorted(ranked, size[part].max() / threshold, "right")
+        other = order[low:high]
+        alike = (coarse[part, None, :] == coarse[None, other, :]).sum(axis=2, dtype=np.int16)
+        ok = (alike >= least) & (place[part, None] != place[None, other]) & (np.minimum(size[part, None], size[other]) >= threshold * np.maximum(size[part, None], size[other]))
         i, j = np.nonzero(ok)
-        keep = i + a < j
-        found.append(np.stack([i[keep] + a, j[keep], alike[i[keep], j[keep]]], axis=1))
+        found.append(np.stack([part[i], other[j], alike[i, j]], axis=1))
     pairs = np.concatenate(found)
-    if not spanning:
-        return [(int(i), int(j)) for i, j, _ in pairs]
+    flip = pairs[:, 0] > pairs[:, 1]
+    pairs[flip, :2] = pairs[flip, 1::-1]
+    pairs = np.unique(pairs, axis=0)
     union, out = _Union(comp), []
-    for i, j, _ in pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))]:
-        if union.join(int(i), int(j)):
-            out.append((int(i), int(j)))
+    sets: dict[int, set[int]] = {}
+
+    def members(x: int) -> set[int]:
+        if x not in sets:
+            sets[x] = set(np.frombuffer(exact[x], np.uint16).tolist())
+        return sets[x]
+
+    for i, j, _ in pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))].tolist():
+        if union.up[i] == union.up[j]:
+            continue
+        if exact[i] and exact[j]:
+            x, y = members(i), members(j)
+            # hashes that collide within a set make it smaller: what both lost may have been common
+            lost = size[i] - len(x) + size[j] - len(y)
+            common = len(x & y) + lost
+            if common < threshold * (size[i] + size[j] - common) - 1e-9:
+                continue
+            if lost == 0 or spanning:
+                union.join(i, j)
+        elif len(brief[i]) == len(brief[j]) == BRIEF:
+            if (np.frombuffer(brief[i], np.uint8) == np.frombuffer(brief[j], np.uint8)).sum() < (threshold - MARGIN) * BRIEF:
+                continue
+            if spanning:
+                union.join(i, j)
+        elif spanning:
+            union.join(i, j)
+        out.append((i, j))
     return out
 
 
-def leaf_pairs(nodes: DataFrame, entries: DataFrame, threshold: float, spanning: bool) -> DataFrame:
+def leaf_pairs(nodes: DataFrame, brief: DataFrame, threshold: float, spanning: bool) -> DataFrame:
     """(a, b) candidates of nodes of at most LEAF entries."""
-    rows = nodes.join(entries.select("sid", "n_shingles", "brief"), "sid").select("node", F.struct("sid", "n_shingles", "comp", "brief").alias("entry"))
+    rows = nodes.join(brief, "sid").select("node", F.struct("sid", "n_shingles", "comp", "brief", "exact").alias("entry"))
     grouped = rows.groupBy("node").agg(F.collect_list("entry").alias("entries")).select(
-        F.col("entries.sid").alias("sid"), F.col("entries.n_shingles").alias("n"), F.col("entries.comp").alias("comp"), F.array_join(F.transform("entries.brief", F.hex), "").alias("brief")
+        F.col("entries.sid").alias("sid"), F.col("entries.n_shingles").alias("n"), F.col("entries.comp").alias("comp"), F.col("entries.brief").alias("brief"), F.col("entries.exact").alias("exact")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for sid, n, comp, brief in zip(*(batch.column(c).to_pylist() for c in ("sid", "n", "comp", "brief")), strict=True):
+            for row in range(batch.num_rows):
+                sid, n, comp, sketch, exact = (batch.column(c)[row].as_py() for c in ("sid", "n", "comp", "brief", "exact"))
                 order = np.argsort(np.array(sid))
-                data = np.frombuffer(bytes.fromhex(brief), np.uint8).reshape(len(sid), COORDINATES)[order]
-                pairs = compare_node(data, np.array(n)[order], np.array(comp)[order], threshold, MARGIN, spanning)
+                pairs = compare_node([sketch[i] for i in order], np.array(n)[order], np.array(comp)[order], [exact[i] for i in order], threshold, spanning)
                 out += [(sid[order[i]], sid[order[j]]) for i, j in pairs]
             if out:
                 a, b = zip(*out, strict=True)
@@ -209,10 +287,10 @@ def leaf_pairs(nodes: DataFrame, entries: DataFrame, threshold: float, spanning:
     return grouped.mapInArrow(run, "a long, b long").distinct()
 
 
-def pivot_pairs(nodes: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
+def pivot_pairs(nodes: DataFrame, view: DataFrame, threshold: float) -> DataFrame:
     """(a, b) candidates of large nodes: every entry with the node's pivot, one of least hash."""
     pivots = nodes.groupBy("node").agg(F.min(F.struct(F.hash("sid", "node").alias("h"), "sid", "comp")).alias("p")).select("node", F.col("p.sid").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
-    view = entries.select("sid", "n_shingles", "brief")
+    view = view.select("sid", "n_shingles", F.expr(f"substring(brief, 1, {COARSE})").alias("brief"))
     pivots = pivots.join(view.withColumnsRenamed({"sid": "pivot", "n_shingles": "pivot_n", "brief": "pivot_brief"}), "pivot")
     met = nodes.join(pivots, "node").where("comp != pivot_comp").join(view, "sid")
     met = met.where(F.least("n_shingles", "pivot_n") >= threshold * F.greatest("n_shingles", "pivot_n")).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"), "brief", "pivot_brief")
@@ -220,8 +298,8 @@ def pivot_pairs(nodes: DataFrame, entries: DataFrame, threshold: float) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                alike = (_rows(batch.column("brief"), np.uint8) == _rows(batch.column("pivot_brief"), np.uint8)).sum(axis=1)
-                yield batch.select(["a", "b"]).filter(pa.array(alike >= (threshold - MARGIN) * COORDINATES))
+                alike = (_rows(batch.column("brief"), np.uint8, COARSE) == _rows(batch.column("pivot_brief"), np.uint8, COARSE)).sum(axis=1)
+                yield batch.select(["a", "b"]).filter(pa.array(alike >= (threshold - COARSE_MARGIN) * COARSE))
 
     return met.mapInArrow(run, "a long, b long").distinct()
 
@@ -236,13 +314,9 @@ def in_blocks(nodes: DataFrame) -> DataFrame:
 
 
 def confirm(pairs: DataFrame, entries: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * |intersection| >= percent * |union|."""
-    pairs = written(pairs, "pairs")
+    """Of written ``pairs`` those whose full sets have 100 * |intersection| >= percent * |union|."""
     asked = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    ids = written(entries.join(asked, "sid").select("doc_id"), "asked")
-    few = ids.count() <= BROADCAST_IDS  # some 16 MB at most
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    sets = written(full_sets(texts, k).join(asked, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
+    sets = written(full_sets(texts_of(asked, entries, docs), k).join(asked, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
     left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a")
     both = left.join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
@@ -251,12 +325,17 @@ def confirm(pairs: DataFrame, entries: DataFrame, docs: DataFrame, k: int, perce
 
 def duplicate_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    with scratch(docs.sparkSession):
+        return written(_classes(docs, k, percent), "classes", keep=True)
+
+
+def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
     threshold = percent / 100
     rows = written(sketches(docs, k), "sketches")
     named = rows.where("sid is not null")
     # doc_id is null only for sets that no row with an id has
     entries = written(
-        named.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"), F.first("brief").alias("brief")).where("doc_id is not null"),
+        named.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")).where("doc_id is not null"),
         "entries",
     )
     edges: DataFrame | None = None
@@ -264,26 +343,34 @@ def duplicate_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
 
     def take(candidates: DataFrame) -> None:
         nonlocal edges, comp
-        links = written(confirm(candidates, entries, docs, k, percent), "links")
+        pairs = written(candidates, "pairs")
+        if pairs.isEmpty():
+            return
+        links = written(confirm(pairs, entries, docs, k, percent), "links")
+        release(docs.sparkSession)
         if not links.isEmpty():
             edges = links if edges is None else edges.unionByName(links)
             comp = written(components(edges), "components")
 
-    first = written(sized(roots(entries, range(FIRST_TREES), threshold), None), "nodes")
-    if not first.isEmpty():
-        small, large = first.where(F.col("size") <= LEAF), first.where(F.col("size") > LEAF)
-        take(leaf_pairs(small, entries, threshold, True).unionByName(pivot_pairs(large, entries, threshold)))
-        nodes = written(sized(roots(entries, range(TREES), threshold), comp), "nodes")
+    release(docs.sparkSession)
+    nodes = written(sized(roots(entries, threshold), None), "nodes")
+    if not nodes.isEmpty():
+        brief = written(briefs(nodes.select("sid").distinct(), entries, docs, k), "briefs")
+        release(docs.sparkSession)
+        first = nodes.where(F.col("tree") < FIRST_TREES)
+        take(leaf_pairs(first.where(F.col("size") <= LEAF), brief, threshold, True).unionByName(pivot_pairs(first.where(F.col("size") > LEAF), brief, threshold)))
         for level in range(LEVELS + 1):
+            nodes = written(sized(nodes, comp), "nodes")
             if nodes.isEmpty():
                 break
             small, large = nodes.where(F.col("size") <= LEAF), nodes.where(F.col("size") > LEAF)
-            take(leaf_pairs(small, entries, threshold, False).unionByName(pivot_pairs(large, entries, threshold)))
-            large = written(sized(large.select("node", "sid"), comp), "nodes").where(F.col("size") > LEAF)
-            if large.isEmpty():
+            has_large = not large.isEmpty()
+            candidates = leaf_pairs(small, brief, threshold, False)
+            take(candidates.unionByName(pivot_pairs(large, brief, threshold)) if has_large else candidates)
+            if not has_large:
                 break
-            deeper = branch(large, entries, threshold) if level < LEVELS - 1 else in_blocks(large)
-            nodes = written(sized(deeper, comp), "nodes")
+            large = written(sized(large, comp), "nodes").where(F.col("size") > LEAF)
+            nodes = branch(large, entries, threshold) if level < LEVELS - 1 else in_blocks(large)
     if comp is None:
         classes = entries.select("sid", F.col("doc_id").alias("component"))
     else:
