@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import table, written
+from ligatura.llm.common import scratch, table, written
 
 START, END = "<|im_start|>", "<|im_end|>\n"
 
@@ -125,7 +125,8 @@ def op6_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.col("conv_id").cast("string"), F.lit("null")).alias("conv"), at.alias("node"), F.when(at > 1, at - 1).alias("parent"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), F.lit(0.0).alias("score"),
     )
-    out = written(format_paths(nodes), "chat")
+    with scratch(spark):
+        out = written(format_paths(nodes), "chat", keep=True)
     read = out.withColumn("turns", parse(F.col("formatted"))).withColumn("learned", loss_text(F.col("formatted"), F.col("loss_spans")))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import table, written
+from ligatura.llm.common import scratch, table, written
 from ligatura.llm.textkit import Words, blocks
 
 VOCABULARY = 65_535
@@ -128,6 +128,11 @@ class Models:
 
 def fit(docs: DataFrame) -> Models:
     """Both models from rows (text, is_target)."""
+    with scratch(docs.sparkSession):
+        return _fit(docs)
+
+
+def _fit(docs: DataFrame) -> Models:
     counts = written(_counted(docs, lambda w: (w.hashes, w.text)), "word-counts")
     totals = counts.agg(F.sum("target"), F.sum("every")).first()
     vocabulary = most_frequent(counts, VOCABULARY)
