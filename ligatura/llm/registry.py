@@ -10,11 +10,12 @@ from ligatura.llm.chat_trees import OP6_SQL, op6_chat_trees
 from ligatura.llm.language_crf import op8_language_crf
 from ligatura.llm.lm_scoring import op4_lm_scoring
 from ligatura.llm.near_duplicates import op3_near_duplicates
+from ligatura.llm.near_duplicates_sql import OP3_SQL
 from ligatura.llm.pii_tagger import op9_pii_tagger
 from ligatura.llm.quality_classifier import op1_quality_classifier
 from ligatura.llm.quality_rules import op5_quality_rules
 from ligatura.llm.retrieval_packing import op2_retrieval_packing
-from ligatura.llm.template_decontamination import op10_template_decontamination
+from ligatura.llm.template_decontamination import OP10_SQL, op10_template_decontamination
 from ligatura.llm.token_files import op7_token_files
 
 
@@ -34,4 +35,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_trees": OP6_SQL}
+    return {"op3_near_duplicates": OP3_SQL, "op6_chat_trees": OP6_SQL, "op10_template_decontamination": OP10_SQL}

@@ -22,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import table, written
+from ligatura.llm.common import scratch, table, written
 
 WINDOW = 8
 MIN_WORDS = 13
@@ -50,14 +50,15 @@ def words(text: Column) -> Column:
     return F.coalesce(F.filter(pairs, lambda p: p["bare"] != ""), F.array().cast("array<struct<raw:string,bare:string>>"))
 
 
-def template(tokens: Column) -> Column:
-    """The words with typed placeholders."""
+def template(tokens: Column, names: bool = True) -> Column:
+    """The words with typed placeholders; without ``names`` capitalised words stay words."""
 
     def one(t: Column, i: Column) -> Column:
         # the cheap test comes first: only words with a capital meet the regular expressions
         named = (i > 0) & (F.lower(t["raw"]) != t["raw"]) & t["raw"].rlike(r"^[^\p{L}\p{N}]*\p{Lu}\p{Ll}+") & ~F.get(tokens, i - 1)["raw"].rlike(r"[.!?:][^\p{L}\p{N}]*$")
         first = F.substring(t["bare"], 1, 1)
-        return F.when((first >= "0") & (first <= "9"), F.lit("<num>")).when(t["bare"].isin(UNITS), F.lit("<unit>")).when(named, F.lit("<name>")).otherwise(t["bare"])
+        typed = F.when((first >= "0") & (first <= "9"), F.lit("<num>")).when(t["bare"].isin(UNITS), F.lit("<unit>"))
+        return (typed.when(named, F.lit("<name>")) if names else typed).otherwise(t["bare"])
 
     return F.transform(tokens, one)
 
@@ -68,19 +69,25 @@ def window_hashes(hashes: Column, size: int) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame) -> DataFrame:
-    """item_id, tokens and template of each item with words."""
+    """item_id, tokens and templates of each item with words: with placeholders for names, and with the names as words."""
     cut = benchmark.where("text is not null and item_id is not null").select(F.col("item_id").cast("long"), words(F.col("text")).alias("item_tokens"))
-    return cut.where(F.size("item_tokens") > 0).withColumn("item_template", template(F.col("item_tokens")))
+    return cut.where(F.size("item_tokens") > 0).withColumns({"item_template": template(F.col("item_tokens")), "item_named": template(F.col("item_tokens"), names=False)})
 
 
 def benchmark_windows(items: DataFrame, window: int) -> DataFrame:
-    """(wh, size, item_id, item_at, item_words) of every window of the benchmark."""
+    """(wh, size, item_id, item_at, item_words) of every window of the benchmark, under both templates.
+
+    A copy in lower case or capitals shows no names, so it meets the template that has them as words.
+    """
     n = F.size("item_template")
     size = F.least(n, F.lit(window))
     plain = lambda a: F.size(F.filter(a, lambda w: ~w.startswith("<")))
-    at = items.select("item_id", "item_template", n.alias("item_words"), size.alias("size"), F.explode(F.sequence(F.lit(0), n - size)).alias("item_at"))
-    part = F.slice("item_template", F.col("item_at") + 1, F.col("size"))
-    return at.where(plain(part) >= F.least(F.lit(2), F.col("size"))).select(F.xxhash64(F.transform(part, lambda w: F.xxhash64(w))).alias("wh"), "size", "item_id", "item_at", "item_words")
+    both = F.explode(F.array("item_template", "item_named"))
+    at = items.select("item_id", both.alias("words"), n.alias("item_words"), size.alias("size"), F.sequence(F.lit(0), n - size).alias("places"))
+    at = at.select("item_id", "words", "item_words", "size", F.explode("places").alias("item_at"))
+    part = F.slice("words", F.col("item_at") + 1, F.col("size"))
+    kept = at.where(plain(part) >= F.least(F.lit(2), F.col("size")))
+    return kept.select(F.xxhash64(F.transform(part, lambda w: F.xxhash64(w))).alias("wh"), "size", "item_id", "item_at", "item_words").distinct()
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -135,7 +142,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
 
 def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, n_items, item_ids (ascending, comma-joined) and coverage (the best) for every row."""
-    leaks = find_leaks(docs, benchmark).groupBy("doc_id", "_key").agg(
+    with scratch(docs.sparkSession):
+        found = written(find_leaks(docs, benchmark), "leaks", keep=True)
+    leaks = found.groupBy("doc_id", "_key").agg(
         F.count("*").alias("n_items"), F.array_join(F.transform(F.array_sort(F.collect_set("item_id")), lambda x: x.cast("string")), ",").alias("item_ids"), F.max("coverage").alias("coverage")
     )
     d, k = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text").alias("d"), leaks.alias("k")
@@ -148,7 +157,8 @@ def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows, with all their columns."""
-    leaks = written(find_leaks(docs, benchmark).select("doc_id", "_key").distinct(), "leaks")
+    with scratch(docs.sparkSession):
+        leaks = written(find_leaks(docs, benchmark).select("doc_id", "_key").distinct(), "leaks", keep=True)
     d, k = keyed(docs).alias("d"), leaks.alias("k")
     kept = d.join(k, F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col("d._key") == F.col("k._key")), "left_anti")
     return kept.select(*[F.col(f"d.`{c}`") for c in docs.columns])
@@ -156,3 +166,42 @@ def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _words_sql(text: str) -> str:
+    marks = MARKS.replace("'", "''")
+    return (
+        f"list_filter(list_transform(string_split_regex(replace({text}, chr(10), '. '), '[\\x20\\x09-\\x0D]+'), lambda w: {{'raw': w, 'bare': lower(trim(w, '{marks}'))}}), lambda p: p.bare <> '')"
+    )
+
+
+def _template_sql(tokens: str, names: bool = True) -> str:
+    units = ", ".join(f"'{u}'" for u in UNITS)
+    named = (
+        f"WHEN i > 1 AND lower(t.raw) <> t.raw AND regexp_matches(t.raw, '^[^\\p{{L}}\\p{{N}}]*\\p{{Lu}}\\p{{Ll}}+') AND NOT regexp_matches({tokens}[i - 1].raw, '[.!?:][^\\p{{L}}\\p{{N}}]*$') THEN '<name>' "
+        if names
+        else ""
+    )
+    return f"list_transform({tokens}, lambda t, i: CASE WHEN t.bare[1] BETWEEN '0' AND '9' THEN '<num>' WHEN t.bare IN ({units}) THEN '<unit>' {named}ELSE t.bare END)"
+
+
+OP10_SQL = f"""
+WITH it AS (SELECT CAST(item_id AS BIGINT) AS item_id, {_words_sql("text")} AS tk FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+items AS (SELECT item_id, tk, {_template_sql("tk")} AS tp, {_template_sql("tk", False)} AS tn, len(tk) AS n FROM it WHERE len(tk) > 0),
+variants AS (SELECT item_id, tp AS w, n FROM items UNION ALL SELECT item_id, tn, n FROM items),
+targets AS (
+  SELECT DISTINCT array_to_string(w[k + 1:k + least(n, {WINDOW})], ' ') AS wk, least(n, {WINDOW}) AS size, item_id, k AS item_at, n AS item_words
+  FROM variants, unnest(range(0, n - least(n, {WINDOW}) + 1)) AS u(k)
+  WHERE len(list_filter(w[k + 1:k + least(n, {WINDOW})], lambda x: NOT starts_with(x, '<'))) >= least(2, least(n, {WINDOW}))),
+d0 AS (SELECT row_number() OVER () AS rid, doc_id, {_words_sql("coalesce(text, '')")} AS tk FROM documents),
+d AS (SELECT rid, doc_id, tk, {_template_sql("tk")} AS tp, len(tk) AS n FROM d0),
+dw AS (SELECT rid, n AS doc_words, s.size, k AS pos, array_to_string(tp[k + 1:k + s.size], ' ') AS wk FROM d, (SELECT DISTINCT size FROM targets) s, unnest(range(0, greatest(n - s.size + 1, 0))) AS u(k)),
+met AS (SELECT rid, item_id, pos - item_at AS shift, item_at, dw.size, item_words FROM dw JOIN targets USING (wk, size) WHERE item_words >= 5 OR doc_words = item_words),
+spots AS (SELECT DISTINCT rid, item_id, shift, item_words, p FROM met, unnest(range(item_at, item_at + size)) AS u(p)),
+pairs AS (SELECT DISTINCT rid, item_id, shift, i.tk[p + 1].bare AS b, d.tk[p + shift + 1].bare AS v FROM spots JOIN items i USING (item_id) JOIN d USING (rid) WHERE starts_with(i.tp[p + 1], '<')),
+clash AS (SELECT rid, item_id, shift FROM pairs GROUP BY ALL HAVING count(*) <> count(DISTINCT b)),
+total AS (SELECT rid, item_id, max(item_words) AS n, count(DISTINCT p) AS covered FROM spots ANTI JOIN clash USING (rid, item_id, shift) GROUP BY 1, 2),
+leaks AS (SELECT rid, item_id, round(covered / n, 6) AS coverage FROM total WHERE covered >= {MIN_WORDS} OR round(covered / n, 6) >= {MIN_SHARE}),
+per AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS item_ids, max(coverage) AS coverage FROM leaks GROUP BY 1)
+SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(item_ids, '') AS item_ids, coalesce(coverage, 0.0) AS coverage FROM d0 LEFT JOIN per USING (rid)
+"""
