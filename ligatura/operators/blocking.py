@@ -20,11 +20,14 @@ BLOCKS = ("name", "addr", "cross")
 
 
 def explode_features(records: DataFrame, key: str = "entity_id") -> DataFrame:
-    """(id, country, block, feature) from the arrays feat_name, feat_addr and feat_cross."""
+    """(id, country, block, feature) from the arrays feat_name, feat_addr and feat_cross, each feature once.
+
+    Ids name one record each, so features are made distinct within their array, without a shuffle.
+    """
     country = F.coalesce("country", F.lit(""))
-    blocks = F.array(*(F.struct(F.lit(b).alias("block"), F.col(f"feat_{b}").alias("features")) for b in BLOCKS))
+    blocks = F.array(*(F.struct(F.lit(b).alias("block"), F.array_distinct(f"feat_{b}").alias("features")) for b in BLOCKS))
     one = records.select(F.col(key).alias("id"), country.alias("country"), F.explode(blocks).alias("b"))
-    return one.select("id", "country", "b.block", F.explode("b.features").alias("feature")).distinct()
+    return one.select("id", "country", "b.block", F.explode("b.features").alias("feature"))
 
 
 def document_frequency(features: DataFrame, name: str = "df") -> DataFrame:
