@@ -219,7 +219,9 @@ def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Crf:
     """A field trained on a bounded sample of the rows that may train."""
     rows = docs.where("doc_id is not null and lang is not null and text is not null").where(~is_remainder("doc_id", 4, 2))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = rows.select("doc_id", "lang").withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= rows_per_language)
+    # thinned by a threshold on the hash first, to some four times the rows wanted, so that no language meets whole in one task; a row a language is broadcast
+    share = rows.groupBy("lang").agg((4.0 * rows_per_language / F.count("*")).alias("share"))
+    chosen = rows.select("doc_id", "lang").join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(1 << 20)) <= F.col("share") * (1 << 20)).withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= rows_per_language)
     got = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"])  # at most rows_per_language a language
     sample = got.toPandas().sort_values(["lang", "doc_id", "text"])
     return fit_crf(sample["text"].to_list(), sample["lang"].to_list())
