@@ -31,7 +31,7 @@ VOCABULARY = 65_535
 PAIRS = 500_000
 SMOOTHING = 20.0
 BROADCAST_IDS = 1_000_000
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 
 
 class _Counter:
