@@ -119,7 +119,6 @@ def equal_frequency_bins(df: DataFrame, score: str, label: str, ties: list[str],
     """(bin, x, y, w): mean score, mean label and rows of bins of equal counts by score."""
     n = df.count()
     r = ranked(df.select(score, label, *ties), [F.asc(score), *map(F.asc, ties)], "_r")
-    b = F.floor(((F.col("_r") - 1) * bins + bins - 1) / F.lit(max(n, 1)))
     # bin j holds positions int(j*n/bins) .. int((j+1)*n/bins) - 1
     pos = F.col("_r") - 1
     j = F.floor((pos * bins + bins - 1) / F.lit(max(n, 1)))

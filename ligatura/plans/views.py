@@ -133,10 +133,10 @@ biz AS (
   FROM part JOIN nation ON p_size % 25 = n_nationkey)"""
 
 
-def score_sql(threshold: str, weight: str = "1.0", source: str = "links", extra: str = "", group: str = "s") -> str:
+def score_sql(threshold: str, weight: str = "1.0") -> str:
     """SQL of (s, nt, tp, npred, f) of every entity at a threshold."""
     return f"""
-sums AS (SELECT s, sum(CAST(tp AS DOUBLE)) AS tp, sum(CASE WHEN tp THEN 1.0 WHEN decoy THEN {weight} ELSE 1.0 END) AS np FROM {source} WHERE p >= {threshold} GROUP BY s),
+sums AS (SELECT s, sum(CAST(tp AS DOUBLE)) AS tp, sum(CASE WHEN tp THEN 1.0 WHEN decoy THEN {weight} ELSE 1.0 END) AS np FROM links WHERE p >= {threshold} GROUP BY s),
 joined AS (SELECT e.*, coalesce(x.tp, 0) AS tp, CAST(coalesce(np, 0) AS DOUBLE) AS npred FROM entities e LEFT JOIN sums x USING (s)),
 pr AS (SELECT *, CASE WHEN npred > 0 THEN tp / npred ELSE 0.0 END AS pre, CASE WHEN nt > 0 THEN tp / nt ELSE 0.0 END AS rec FROM joined),
 scored AS (SELECT *, CASE WHEN nt = 0 AND npred = 0 THEN 1.0 WHEN nt = 0 THEN 0.0 WHEN pre + rec > 0 THEN 1.25 * pre * rec / (0.25 * pre + rec) ELSE 0.0 END AS f FROM pr)"""
