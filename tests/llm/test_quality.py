@@ -1,4 +1,8 @@
+import re
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,9 +10,6 @@ from ligatura.llm import quality_classifier as qc
 from ligatura.llm import quality_rules as qr
 from ligatura.llm.docstats import BASE, base_counts
 from ligatura.llm.textkit import Words, blocks
-import pyarrow as pa
-import re
-from collections import Counter
 
 
 def slow_base(text):
