@@ -13,8 +13,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BATCH_KEY, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table of the data folder, through Spark's own reader."""
+    """One table of the data folder, through Spark's own reader.
+
+    Documents are large rows, so that Spark's default batch of 10,000 is some 40 MB in the JVM and again in Python: if the
+    session still has that default, batches become a tenth of it.
+    """
+    if spark.conf.get(BATCH_KEY) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_KEY, BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -56,6 +65,17 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         release(spark)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run within hand at most ``rows`` rows at a time to Python workers, where single rows are large."""
+    before = spark.conf.get(BATCH_KEY)
+    spark.conf.set(BATCH_KEY, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_KEY, before)
+
+
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = shared_path(df.sparkSession, name, keep)

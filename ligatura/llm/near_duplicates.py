@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import release, scratch, table, written
+from ligatura.llm.common import release, scratch, small_batches, table, written
 from ligatura.llm.components import components
 from ligatura.llm.textkit import Words, blocks, mix
 
@@ -42,6 +42,8 @@ COARSE = 192
 MARGIN, COARSE_MARGIN = 0.07, 0.1
 EXACT = 640
 BROADCAST_IDS = 1_000_000
+#: Rows of an Arrow batch: a row may be a node of thousands of entries.
+BATCH = 500
 _rng = np.random.default_rng(20240229)
 _A = _rng.integers(1, 1 << 32, max(COORDINATES, BRIEF), dtype=np.uint32) | np.uint32(1)
 _B = _rng.integers(1, 1 << 32, max(COORDINATES, BRIEF), dtype=np.uint32)
@@ -220,7 +222,7 @@ def compare_node(brief: list[bytes], size: np.ndarray, comp: np.ndarray, exact:
     order = np.argsort(size, kind="stable")
     ranked = size[order]
     found = [np.zeros((0, 3), np.int64)]
-    chunk = max(1, 24_000_000 // (COARSE * len(size)))
+    chunk = max(1, 8_000_000 // (COARSE * len(size)))
     for a in range(0, len(rows), chunk):
         part = rows[a : a + chunk]
         # only sizes within the threshold of each other can be alike
@@ -325,7 +327,7 @@ def confirm(pairs: DataFrame, entries: DataFrame, docs: DataFrame, k: int, perce
 
 def duplicate_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    with scratch(docs.sparkSession):
+    with scratch(docs.sparkSession), small_batches(docs.sparkSession, BATCH):
         return written(_classes(docs, k, percent), "classes", keep=True)
 
 
