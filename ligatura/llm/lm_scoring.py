@@ -1,180 +1,266 @@
 """Operator 4: cross-entropy difference of a target and a background bigram model over one vocabulary.
 
 Target texts are those labelled of good quality and not toxic; the background is all texts. Counting covers all data:
-tasks count words and word pairs in numpy and Spark sums them by key. The vocabulary is every word at least as frequent
-as the count that leaves at most ``VOCABULARY`` words, the rest is one unknown word; pairs of vocabulary words are kept
-likewise, at most ``PAIRS``, and both models keep the same ones. With c a model's counts, K(v) the kept pairs of v and a
-the smoothing mass, p(w|v) = (c(v,w) + (a + c(v) - K(v)) p(w)) / (c(v) + a), which sums to one; p(w) adds one to each
-count. A text's score is its mean loss per word under the target less that under the background: lower is more like the
-target. The models are two sorted arrays of bounded length, so they are broadcast whatever the input.
+tasks count words and word pairs in numpy and Spark sums them by key. Every counted word and pair is in both models, so
+they grow with the input. With c a model's counts, K(v) the pairs that begin with v and a the smoothing mass,
+p(w|v) = (c(v,w) + (a + c(v) - K(v)) p(w)) / (c(v) + a), which sums to one; p(w) adds one to each count and leaves one for
+a word not seen. A text's score is its mean loss per word under the target less that under the background: lower is more
+like the target.
+
+The counts are written tables. Those of the most frequent words and pairs, at most ``VOCABULARY`` and ``PAIRS``, are also
+broadcast as sorted arrays, and answer most places of a text at once. The other places are joined with the written pairs,
+none of which is frequent, so no key is hot; ``SLICES`` parts of them, by hash, are joined one after the other to
+bound the disk. Texts are told apart by a 64-bit hash.
 
 Nulls and edge cases: null or empty text has no words, losses and score 0; null labels and ids choose no target texts;
-with no target texts the target model is the uniform smoothing alone; repeated rows count and are scored each; ties at
-the frequency bounds are all left out, never cut at random; other columns are ignored.
+with no target texts the target model is the uniform smoothing alone; repeated rows count and are scored each; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import scratch, table, written
-from ligatura.llm.textkit import Words, blocks
+from ligatura.llm.common import release, scratch, table, written
+from ligatura.llm.textkit import Words, blocks, mix
 
 VOCABULARY = 65_535
 PAIRS = 500_000
+SLICES = 2
+START = np.uint64(0)
 SMOOTHING = 20.0
 BROADCAST_IDS = 1_000_000
 FLUSH = 1_000_000
 
 
 class _Counter:
-    """Counts keys by (target, all) in numpy; hands out what it holds when that grows large."""
+    """Sums values by key in numpy; hands out what it holds when that grows large. ``names`` are carried with the key."""
 
-    def __init__(self) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.held = 0
+    def __init__(self, names: int) -> None:
+        self.parts: list[list[np.ndarray]] = []
+        self.names, self.held = names, 0
 
-    def add(self, keys: np.ndarray, target: np.ndarray) -> None:
-        own, place = np.unique(keys, return_inverse=True)
-        self._put(own, np.bincount(place, target, len(own)).astype(np.int64), np.bincount(place, minlength=len(own)))
+    def add(self, keys: np.ndarray, *columns: np.ndarray) -> None:
+        own, first, place = np.unique(keys, return_index=True, return_inverse=True)
+        self._put([own, *(c[first] for c in columns[: self.names]), *(np.bincount(place, c, len(own)).astype(np.int64) for c in columns[self.names :])])
 
-    def _put(self, keys: np.ndarray, target: np.ndarray, every: np.ndarray) -> None:
-        self.parts.append((keys, target, every))
-        self.held += len(keys)
+    def _put(self, part: list[np.ndarray]) -> None:
+        self.parts.append(part)
+        self.held += len(part[0])
 
-    def merged(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys, target, every = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        own, place = np.unique(keys, return_inverse=True)
+    def merged(self) -> list[np.ndarray]:
+        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
         self.parts, self.held = [], 0
-        return own, np.bincount(place, target, len(own)).astype(np.int64), np.bincount(place, every, len(own)).astype(np.int64)
+        self.add(*columns)
+        part = self.parts.pop()
+        self.held = 0
+        return part
 
     def full(self) -> bool:
         if self.held < FLUSH:
             return False
-        self._put(*self.merged())
+        self._put(self.merged())
         return self.held >= FLUSH * 2 // 3
 
 
-def _counted(docs: DataFrame, keys_of) -> DataFrame:
-    """(key, target, every) summed over all rows (text, is_target); ``keys_of`` gives (keys, text index) of a block."""
+def _counted(docs: DataFrame, columns_of, names: list[str], values: list[str]) -> DataFrame:
+    """``values`` summed by ``names`` over all rows (text, is_target); ``columns_of`` gives key, names and values of a block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter()
-        emit = lambda c: pa.RecordBatch.from_arrays([pa.array(c[0].view(np.int64)), pa.array(c[1]), pa.array(c[2])], ["key", "target", "every"])
+        counter = _Counter(len(names))
+
+        def emit() -> pa.RecordBatch:
+            _, *columns = counter.merged()
+            order = np.argsort(columns[0], kind="stable")
+            return pa.RecordBatch.from_arrays([pa.array(c[order].view(np.int64)) for c in columns], [*names, *values])
+
         for batch in batches:
             flags = batch.column("is_target").to_numpy(zero_copy_only=False).astype(float)
             for first, buf, bounds in blocks(batch.column("text")):
-                keys, text = keys_of(Words(buf, bounds, lower=True))
-                if len(keys):
-                    counter.add(keys, flags[first + text])
+                w = Words(buf, bounds, lower=True)
+                if len(w.hashes):
+                    counter.add(*columns_of(w, flags[first + w.text]))
                     if counter.full():
-                        yield emit(counter.merged())
+                        yield emit()
         if counter.parts:
-            yield emit(counter.merged())
+            yield emit()
+
+    made = docs.select("text", "is_target").mapInArrow(run, ", ".join(f"{c} long" for c in (*names, *values)))
+    return made.groupBy(*names).agg(*(F.sum(c).alias(c) for c in values))
+
+
+def _begins(w: Words) -> np.ndarray:
+    begins = np.zeros(len(w.hashes), bool)
+    begins[w.first[w.counts > 0]] = True
+    return begins
+
+
+def _before(w: Words) -> np.ndarray:
+    """The hash of the word before each, START for a text's first."""
+    return np.where(_begins(w), START, np.concatenate([w.hashes[:1], w.hashes[:-1]]))
+
+
+def _pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return mix(mix(v) * np.uint64(0x9E3779B97F4A7C15) + w)
 
-    return docs.select("text", "is_target").mapInArrow(run, "key long, target long, every long").groupBy("key").agg(F.sum("target").alias("target"), F.sum("every").alias("every"))
 
+def _word_columns(w: Words, target: np.ndarray) -> tuple[np.ndarray, ...]:
+    ends = np.append(_begins(w)[1:], True).astype(float)
+    return w.hashes, w.hashes, target, np.ones(len(target)), target * ends, ends
 
-def most_frequent(counts: DataFrame, limit: int) -> pd.DataFrame:
-    """The rows above the least count that leaves at most ``limit`` of them, in the order of the key."""
+
+def _pair_columns(w: Words, target: np.ndarray) -> tuple[np.ndarray, ...]:
+    v = _before(w)
+    return _pair_keys(v, w.hashes), v, w.hashes, target, np.ones(len(target))
+
+
+def least_count(counts: DataFrame, limit: int) -> int:
+    """The least count ``every`` that leaves at most ``limit`` rows."""
     histogram = counts.groupBy("every").agg(F.count("*").alias("n")).orderBy(F.desc("every"))
-    least, total = 1, 0
-    above = histogram.select("every", "n").limit(limit + 1).toPandas()  # at most one row for each of the wanted keys
-    for every, n in zip(above["every"], above["n"], strict=True):
+    total = 0
+    for every, n in histogram.select("every", "n").limit(limit + 1).toPandas().itertuples(index=False):  # at most one row for each of the wanted keys
         total += n
         if total > limit:
-            least = every + 1
-            break
-    return counts.where(F.col("every") >= int(least)).toPandas().sort_values("key", ignore_index=True)
+            return int(every) + 1
+    return 1
 
 
 @dataclass
 class Models:
-    words: np.ndarray  # sorted hashes; word k has id k + 1, id 0 is unknown
+    words: np.ndarray  # sorted hashes of the frequent words; word k has id k + 1, id 0 is any other
     unigram: np.ndarray  # (2, V + 1): log-free probabilities p(w), target then background
     history: np.ndarray  # (2, V + 1): c(v)
     kept: np.ndarray  # (2, V + 1): K(v)
-    pairs: np.ndarray  # sorted keys v << 16 | w
+    pairs: np.ndarray  # sorted keys v << 16 | w of the frequent pairs
     pair_counts: np.ndarray  # (2, P)
+    sums: tuple[float, float]  # what c(w) + 1 is divided by
+    all_words: DataFrame | None  # w, target, every, target_ends, every_ends
+    all_pairs: DataFrame | None  # v, w, target, every of the pairs that aren't frequent
 
     def ids(self, w: Words) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.words, w.hashes), max(len(self.words) - 1, 0))
         return np.where(self.words[at] == w.hashes, at + 1, 0) if len(self.words) else np.zeros(len(w.hashes), np.int64)
 
-    def losses(self, w: Words) -> np.ndarray:
-        """(2, words): the loss of each word under the target and the background model."""
-        ids = self.ids(w)
-        begins = np.zeros(len(ids), bool)
-        begins[w.first[w.counts > 0]] = True
-        before = np.concatenate([[0], ids[:-1]])
-        key = (before << 16 | ids).astype(np.int64)
+    def found(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first words, place among the frequent pairs, whether the arrays have the loss) of each word."""
+        ids, begins = self.ids(w), _begins(w)
+        key = (np.concatenate([ids[:1], ids[:-1]]) << 16 | ids).astype(np.int64)
         at = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
-        hit = (self.pairs[at] == key) & ~begins if len(self.pairs) else np.zeros(len(ids), bool)
-        out = np.empty((2, len(ids)))
+        hit = self.pairs[at] == key if len(self.pairs) else np.zeros(len(ids), bool)
+        return ids, begins, at, np.where(begins, ids > 0, hit)
+
+    def losses(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(2, words) losses under the target and the background model, 0 where only the tables have them; and where that is."""
+        ids, begins, at, known = self.found(w)
+        out = np.zeros((2, len(ids)))
+        here, first = np.flatnonzero(known & ~begins), np.flatnonzero(known & begins)
+        v, x = ids[here - 1], ids[here]
         for m in range(2):
-            pair = np.where(hit, self.pair_counts[m, at], 0.0) if len(self.pairs) else 0.0
-            c, k = self.history[m, before], self.kept[m, before]
-            p = (pair + (SMOOTHING + c - k) * self.unigram[m, ids]) / (c + SMOOTHING)
-            out[m] = -np.log(np.where(begins, self.unigram[m, ids], p))
-        return out
+            c, k = self.history[m, v], self.kept[m, v]
+            out[m, here] = -np.log((self.pair_counts[m, at[here]] + (SMOOTHING + c - k) * self.unigram[m, x]) / (c + SMOOTHING))
+            out[m, first] = -np.log(self.unigram[m, ids[first]])
+        return out, ~known
 
 
 def fit(docs: DataFrame) -> Models:
     """Both models from rows (text, is_target)."""
-    with scratch(docs.sparkSession):
-        return _fit(docs)
-
-
-def _fit(docs: DataFrame) -> Models:
-    counts = written(_counted(docs, lambda w: (w.hashes, w.text)), "word-counts")
-    totals = counts.agg(F.sum("target"), F.sum("every")).first()
-    vocabulary = most_frequent(counts, VOCABULARY)
-    words = vocabulary["key"].to_numpy().view(np.uint64)
+    all_words = written(_counted(docs, _word_columns, ["w"], ["target", "every", "target_ends", "every_ends"]), "word-counts")
+    totals = all_words.agg(F.sum("target"), F.sum("every"), F.count("*")).first()
+    sums = tuple(float((totals[m] or 0) + totals[2] + 1) for m in range(2))
+    least = least_count(all_words, VOCABULARY)
+    vocabulary = all_words.where(F.col("every") >= least).toPandas()
+    words = vocabulary["w"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(words)
     words = words[order]
-    own = np.stack([vocabulary["target"].to_numpy()[order], vocabulary["every"].to_numpy()[order]]).astype(float) if len(words) else np.zeros((2, 0))
-    unknown = np.array([[totals[0] or 0], [totals[1] or 0]], float) - own.sum(axis=1, keepdims=True)
-    single = np.hstack([unknown, own])
-    unigram = (single + 1) / (single + 1).sum(axis=1, keepdims=True)
-    blank = Models(words, unigram, np.zeros_like(single), np.zeros_like(single), np.zeros(0, np.int64), np.zeros((2, 0)))
-
-    def pair_keys(w: Words) -> tuple[np.ndarray, np.ndarray]:
-        ids = blank.ids(w)
-        at = np.flatnonzero(w.text[1:] == w.text[:-1])
-        at = at[(ids[at] > 0) & (ids[at + 1] > 0)]
-        return (ids[at] << 16 | ids[at + 1]).astype(np.int64).view(np.uint64), w.text[at]
-
-    pairs = most_frequent(written(_counted(docs, pair_keys), "pair-counts"), PAIRS)
-    keys = pairs["key"].to_numpy(np.int64)
-    pair_counts = np.stack([pairs["target"].to_numpy(float), pairs["every"].to_numpy(float)]) if len(keys) else np.zeros((2, 0))
-    kept = np.stack([np.bincount(keys >> 16, c, single.shape[1]) for c in pair_counts]) if len(keys) else np.zeros_like(single)
-    return Models(words, unigram, single, kept, keys, pair_counts)
-
-
-def score(docs: DataFrame, models: Models) -> DataFrame:
-    """doc_id, n_tokens, target_loss, background_loss and score of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by VOCABULARY and PAIRS
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    own, ends = (np.stack([np.append(0.0, vocabulary[c].to_numpy(float)[order]) for c in names]) for names in (("target", "every"), ("target_ends", "every_ends")))
+    unigram = (own + 1) / np.array(sums)[:, None]
+    unigram[:, 0] = 1 - unigram[:, 1:].sum(axis=1)
+    release(docs.sparkSession)
+
+    counts = written(_counted(docs, _pair_columns, ["v", "w"], ["target", "every"]), "pair-counts")
+    release(docs.sparkSession)
+    real = F.col("v") != int(START)
+    # a pair is at most as frequent as its words, so the words of a pair from here on are frequent too
+    least = max(least, least_count(counts.where(real), PAIRS))
+    pairs = counts.where(real & (F.col("every") >= least)).toPandas()
+    keys = np.zeros(0, np.int64)
+    if len(pairs):
+        v, w = (np.searchsorted(words, pairs[c].to_numpy(np.int64).view(np.uint64)) + 1 for c in ("v", "w"))
+        keys = (v << 16 | w).astype(np.int64)
+    order = np.argsort(keys)
+    pair_counts = np.stack([pairs[c].to_numpy(float)[order] for c in ("target", "every")])
+    return Models(words, unigram, own, own - ends, keys[order], pair_counts, sums, all_words, counts.where(~real | (F.col("every") < least)))
+
+
+def _pair_losses(pairs: DataFrame, models: Models) -> DataFrame:
+    """(v, w, target_loss, background_loss) of rows (v, w, target, every)."""
+    names = ("target", "every")
+    after = models.all_words.select("w", *(F.col(c).alias(f"w_{c}") for c in names))
+    before = models.all_words.select(F.col("w").alias("v"), *(F.col(c).alias(f"v_{c}") for c in (*names, "target_ends", "every_ends")))
+    has = pairs.join(after, "w", "left").join(before, "v", "left")
+
+    def loss(c: str, total: float) -> Column:
+        n = lambda x: F.coalesce(F.col(x), F.lit(0)).cast("double")
+        p = (n(f"w_{c}") + 1) / F.lit(total)
+        return -F.log(F.when(F.col("v") == int(START), p).otherwise((F.col(c) + (F.lit(SMOOTHING) + n(f"v_{c}_ends")) * p) / (n(f"v_{c}") + SMOOTHING)))
+
+    return has.select("v", "w", loss("target", models.sums[0]).alias("target_loss"), loss("every", models.sums[1]).alias("background_loss"))
+
+
+def score(docs: DataFrame, models: Models, counted: bool = False) -> DataFrame:
+    """doc_id, n_tokens, target_loss, background_loss and score of every row; ``counted`` if ``docs`` are those of the models."""
+    arrays = replace(models, all_words=None, all_pairs=None)
+    shared = docs.sparkSession.sparkContext.broadcast(arrays)  # bounded by VOCABULARY and PAIRS
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+
+    def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
             for first, buf, bounds in blocks(batch.column("text")):
                 w = Words(buf, bounds, lower=True)
-                n = np.maximum(w.counts, 1)
-                target, background = (np.bincount(w.text, x, w.n_texts) / n for x in m.losses(w))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, w.n_texts), pa.array(w.counts.astype(np.int64)), pa.array(target), pa.array(background), pa.array(target - background)],
-                    ["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+                losses, open_ = m.losses(w)
+                columns = [pa.array(w.counts.astype(np.int64)), pa.array(np.bincount(w.text, open_, w.n_texts)), *(pa.array(np.bincount(w.text, x, w.n_texts)) for x in losses)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, w.n_texts) for c in ("doc_id", "key")), *columns], ["doc_id", "key", "n_tokens", "open", "t", "b"])
+
+    def opened(part: int) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m = shared.value
+            for batch in batches:
+                ids = batch.column("key").to_numpy()
+                for first, buf, bounds in blocks(batch.column("text")):
+                    w = Words(buf, bounds, lower=True)
+                    v = _before(w)
+                    at = np.flatnonzero(~m.found(w)[3] & ((v + w.hashes) % np.uint64(SLICES) == part))
+                    order = at[np.argsort(v[at], kind="stable")]
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[first + w.text[order]]), pa.array(v[order].view(np.int64)), pa.array(w.hashes[order].view(np.int64))], ["key", "v", "w"])
+
+        return keyed.select("key", "text").mapInArrow(run, "key long, v long, w long")
+
+    pairs = models.all_pairs
+    rest: DataFrame | None = None
+    for part in range(SLICES):
+        asked = opened(part)
+        # the same sum modulo 2**64, modulo a power of two
+        of = pairs.where(F.expr(f"((v & {SLICES - 1}) + (w & {SLICES - 1})) & {SLICES - 1}") == part)
+        if not counted:
+            blank = asked.select("v", "w", F.lit(0).cast("long").alias("target"), F.lit(0).cast("long").alias("every"))
+            of = of.unionByName(blank).groupBy("v", "w").agg(F.sum("target").alias("target"), F.sum("every").alias("every"))
+        sums = asked.join(_pair_losses(of, models), ["v", "w"]).groupBy("key").agg(F.count("*").alias("n"), F.sum("target_loss").alias("t"), F.sum("background_loss").alias("b"))
+        sums = written(sums, "open-losses")
+        rest = sums if rest is None else rest.unionByName(sums)
+        release(docs.sparkSession)
+    rest = rest.groupBy("key").agg(*(F.sum(c).alias(f"rest_{c}") for c in "ntb"))
+    rows = keyed.mapInArrow(here, "doc_id long, key long, n_tokens long, open double, t double, b double").join(rest, "key", "left")
+    # texts that are equal share a key, so the sums of their open places are as many times too large
+    mean = lambda c: F.coalesce((F.col(c) + F.coalesce(F.col(f"rest_{c}") / F.col("rest_n") * F.col("open"), F.lit(0.0))) / F.nullif(F.col("n_tokens"), F.lit(0)), F.lit(0.0))
+    out = rows.select("doc_id", "n_tokens", mean("t").alias("target_loss"), mean("b").alias("background_loss"))
+    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
 
 
 def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -187,4 +273,5 @@ def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_target(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return score(docs, fit(docs))
+    with scratch(spark):
+        return written(score(docs, fit(docs), counted=True), "scores", keep=True)

@@ -117,3 +117,17 @@ def test_lm_prefers_the_target(spark):
     m = lm.op4_lm_scoring(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").toPandas()
     good = m[(m["quality"] == 1) & (m["toxic"] == 0)]["score"].median()
     assert good < m[m["quality"] == 0]["score"].median()
+
+
+def test_lm_scores_do_not_depend_on_what_is_broadcast(spark, odd_docs, monkeypatch):
+    labels = odd_docs.where("doc_id >= 20").select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    docs = lm.with_target(odd_docs, labels).cache()
+
+    def scores():
+        models = lm.fit(docs)
+        return [sorted(((r["doc_id"] or -1, r["n_tokens"], round(r["target_loss"], 9), round(r["score"], 9)) for r in lm.score(docs, models, counted).collect())) for counted in (True, False)]
+
+    whole = scores()
+    monkeypatch.setattr(lm, "VOCABULARY", 40)
+    monkeypatch.setattr(lm, "PAIRS", 60)
+    assert scores() == whole and whole[0] == whole[1]
