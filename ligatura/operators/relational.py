@@ -159,5 +159,17 @@ def overlap(a: Value, b: Value) -> Column:
     return F.size(F.array_intersect(col(a), col(b)))
 
 
+def overlapping(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
+    """Every row of ``left`` with every row of ``right`` whose arrays ``a`` and ``b`` share elements; ``common`` says how many.
+
+    Joined over shared elements by partial sums, so that pairs that share none are never made.
+    """
+    left, right = (df.withColumn(k, F.xxhash64(*df.columns)) for df, k in ((left, "_l"), (right, "_r")))
+    # rows that are equal share a key
+    index = [df.select(k, F.explode(F.array_distinct(c)).alias("_e")).distinct() for df, k, c in ((left, "_l", a), (right, "_r", b))]
+    shared = index[0].join(index[1], "_e").groupBy("_l", "_r").agg(F.count("*").cast("int").alias("common"))
+    return left.join(shared, "_l").join(right, "_r").drop("_l", "_r")
+
+
 def difference(a: Value, b: Value) -> Column:
     return F.array_except(col(a), col(b))

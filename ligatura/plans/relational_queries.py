@@ -170,20 +170,20 @@ def worst_examples(spark, d):
     return table(spark, d, "orders").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(15).select("o_orderkey", "o_totalprice")
 
 
-def list_overlap(spark, d):
+def _overlaps(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id, item_id, a, b, common) of every document and benchmark item that share a word."""
     docs, bench = _load(spark, d, "documents", "benchmark")
     w = lambda c: F.split(F.lower(c), " ")
-    items = bench.select("item_id", w("text").alias("b"))
-    got = docs.select("doc_id", w("text").alias("a")).join(items, F.col("doc_id") % 40 == F.col("item_id") % 40)
-    return got.select("doc_id", "item_id", rel.overlap("a", "b").alias("common"), F.size(rel.difference("b", "a")).alias("missing"))
+    return rel.overlapping(docs.select("doc_id", w("text").alias("a")), bench.select("item_id", w("text").alias("b")), "a", "b")
+
+
+def list_overlap(spark, d):
+    return _overlaps(spark, d).select("doc_id", "item_id", "common", (F.size(F.array_distinct("b")) - F.col("common")).alias("missing"))
 
 
 def jaccard_features(spark, d):
-    docs, bench = _load(spark, d, "documents", "benchmark")
-    w = lambda c: F.split(F.lower(c), " ")
-    got = docs.select("doc_id", w("text").alias("a")).join(bench.select("item_id", w("text").alias("b")), F.col("doc_id") % 40 == F.col("item_id") % 40)
-    c = rel.overlap("a", "b")
-    return got.select("doc_id", "item_id", F.round(c / F.greatest(F.size("a") + F.size("b") - c, F.lit(1)), 6).alias("jacc"), F.round(c / F.greatest(F.size("b"), F.lit(1)), 6).alias("cov"))
+    c = F.col("common")
+    return _overlaps(spark, d).select("doc_id", "item_id", F.round(c / F.greatest(F.size("a") + F.size("b") - c, F.lit(1)), 6).alias("jacc"), F.round(c / F.greatest(F.size("b"), F.lit(1)), 6).alias("cov"))
 
 
 def equal_width_bins(spark, d):

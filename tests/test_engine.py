@@ -197,3 +197,21 @@ def test_evaluation(spark):
     pred = spark.createDataFrame([("a", ["x"]), ("c", ["q"])], "s string, m array<string>")
     r = evaluate.macro_f(pred, truth).first()
     assert r["macro_f05"] == pytest.approx((1.25 * 0.5 / (0.25 + 0.5) + 1 + 0 + 0) / 4) and r["singleton_acc"] == 0.5
+
+
+def test_overlap_queries_meet_every_pair_that_shares_a_word(spark):
+    from ligatura.plans import relational_queries as rq
+
+    d = "/root/testdata/sf0.001"
+    words = lambda t: t.lower().split(" ")
+    docs, items = (spark.read.parquet(f"{d}/{n}.parquet").collect() for n in ("documents", "benchmark"))
+    want = {}
+    for x in docs:
+        for y in items:
+            a, b = words(x["text"]), words(y["text"])
+            if c := len(set(a) & set(b)):
+                want[x["doc_id"], y["item_id"]] = (c, len(set(b)) - c, round(c / max(len(a) + len(b) - c, 1), 6))
+    assert any(i % 40 != j % 40 for i, j in want)
+    assert {(r["doc_id"], r["item_id"]): (r["common"], r["missing"]) for r in rq.list_overlap(spark, d).collect()} == {k: v[:2] for k, v in want.items()}
+    got = rq.jaccard_features(spark, d).collect()
+    assert len(got) == len(want) and all(abs(r["jacc"] - want[r["doc_id"], r["item_id"]][2]) < 2e-6 for r in got)
