@@ -268,7 +268,7 @@ def compare_node(brief: list[bytes], size: np.ndarray, comp: np.ndarray, exact:
 
 
 def leaf_pairs(nodes: DataFrame, brief: DataFrame, threshold: float, spanning: bool) -> DataFrame:
-    """(a, b) candidates of nodes of at most LEAF entries."""
+    """(a, b) candidates of nodes of about LEAF entries at most."""
     rows = nodes.join(brief, "sid").select("node", F.struct("sid", "n_shingles", "comp", "brief", "exact").alias("entry"))
     grouped = rows.groupBy("node").agg(F.collect_list("entry").alias("entries")).select(
         F.col("entries.sid").alias("sid"), F.col("entries.n_shingles").alias("n"), F.col("entries.comp").alias("comp"), F.col("entries.brief").alias("brief"), F.col("entries.exact").alias("exact")
@@ -307,7 +307,7 @@ def pivot_pairs(nodes: DataFrame, view: DataFrame, threshold: float) -> DataFram
 
 
 def in_blocks(nodes: DataFrame) -> DataFrame:
-    """Large nodes as nodes of at most about LEAF entries that hold every two of a node's blocks."""
+    """Large nodes as nodes of about LEAF entries, some more, that hold every two of a node's blocks."""
     n = F.ceil(F.col("size") / (LEAF // 2))
     own = F.pmod(F.xxhash64("sid", "node"), n)
     other = F.explode(F.sequence(F.lit(0), n - 1))
@@ -365,8 +365,9 @@ def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
             nodes = written(sized(nodes, comp), "nodes")
             if nodes.isEmpty():
                 break
-            small, large = nodes.where(F.col("size") <= LEAF), nodes.where(F.col("size") > LEAF)
-            has_large = not large.isEmpty()
+            blocked = level == LEVELS  # blocks by two hold every pair of their node: compared whatever their size
+            small, large = nodes if blocked else nodes.where(F.col("size") <= LEAF), nodes.where(F.col("size") > LEAF)
+            has_large = not blocked and not large.isEmpty()
             candidates = leaf_pairs(small, brief, threshold, False)
             take(candidates.unionByName(pivot_pairs(large, brief, threshold)) if has_large else candidates)
             if not has_large:

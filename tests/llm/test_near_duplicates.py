@@ -69,6 +69,18 @@ def test_families_small_and_with_deep_branching(spark, monkeypatch):
     compare(docs, 4)
 
 
+def test_blocks_of_a_large_node_are_exact(spark, monkeypatch):
+    base, rows = prose(5, 60), []
+    for k in range(30):  # texts that share half their words, each with one near copy
+        own = base + " " + prose(500 + k, 60)
+        rows += [(2 * k, own, "en", "s", 1), (2 * k + 1, own + " end", "en", "s", 1)]
+    monkeypatch.setattr(nd, "LEAF", 12)
+    monkeypatch.setattr(nd, "LEVELS", 1)
+    monkeypatch.setattr(nd, "FIRST_TREES", 0)
+    monkeypatch.setattr(nd, "roots", lambda entries, threshold: entries.select(F.lit(0).alias("tree"), F.lit(1).cast("long").alias("node"), "sid"))
+    compare(spark.createDataFrame(rows, DOCS).cache(), 4)
+
+
 def test_empty_and_extra_columns(spark, no_docs, odd_docs):
     assert nd.duplicate_classes(no_docs).count() == 0
     extra = odd_docs.withColumns({"sid": F.lit("x"), "kept": F.lit(1), "node": F.lit(2)})
