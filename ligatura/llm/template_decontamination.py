@@ -8,7 +8,7 @@ than five words only meets texts of exactly its words. Windows with fewer than t
 
 A document is contaminated by an item if the item's words that lie in common windows are at least half of it, or at least
 ``MIN_WORDS``, in a run of positions (a diagonal) whose slots are consistent: wherever the item repeats a slot value, the
-document repeats its own. The benchmark's windows are broadcast only when they are at most ``BROADCAST_WINDOWS`` (some
+document repeats its own. Of an inconsistent run those windows count whose words are the item's own. The benchmark's windows are broadcast only when they are at most ``BROADCAST_WINDOWS`` (some
 tens of megabytes), else both sides are shuffled by hash.
 
 Nulls and edge cases: a null text has no words and is clean; a null item is ignored; documents are told apart by (doc_id,
@@ -129,10 +129,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
     )
     pairs = F.array_distinct(F.transform(places, lambda p: F.named_struct(F.lit("b"), F.get(F.col("q.item_tokens"), p)["bare"], F.lit("d"), F.get(F.col("tokens"), p + F.col("q.shift"))["bare"])))
     odd = F.size(pairs) != F.size(F.array_distinct(F.transform(pairs, lambda s: s["b"])))
-    clash = text.where(odd).select("doc_id", "_key", F.col("q.item_id").alias("item_id"), F.col("q.shift").alias("shift"))
+    literal = lambda p: F.get(F.col("q.item_tokens"), p)["bare"] == F.get(F.col("tokens"), p + F.col("q.shift"))["bare"]
+    same_words = F.filter("q.at", lambda a: F.forall(F.sequence(a["item_at"], a["item_at"] + a["size"] - 1), literal))
+    clash = text.where(odd).select("doc_id", "_key", F.col("q.item_id").alias("item_id"), F.col("q.shift").alias("shift"), same_words.alias("same_words"))
     r, c = runs.alias("r"), clash.alias("c")
     same = F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r._key") == F.col("c._key")) & (F.col("r.item_id") == F.col("c.item_id")) & (F.col("r.shift") == F.col("c.shift"))
-    good = r.join(c, same, "left_anti")
+    good = r.join(c, same, "left").select("r.doc_id", "r._key", "r.item_id", "item_words", F.coalesce("same_words", "at").alias("at")).where(F.size("at") > 0)
     # an inserted or lost word moves the shift, so the consistent runs of an item are taken together
     spots = F.array_distinct(F.flatten(F.collect_list(F.flatten(F.transform("at", lambda a: F.sequence(a["item_at"], a["item_at"] + a["size"] - 1))))))
     total = good.groupBy("doc_id", "_key", "item_id").agg(F.max("item_words").alias("item_words"), F.size(spots).alias("covered"))

@@ -62,6 +62,14 @@ def test_templates_and_slots(spark):
     assert got[0]["item_ids"] == "1" and got[0]["coverage"] == 1.0
 
 
+def test_verbatim_windows_count_in_inconsistent_runs(spark):
+    edited = ITEM.replace("does Anna", "does Emma")
+    other = edited.replace("12", "95").replace("Boris", "Deniz").replace("7", "44").replace("kg", "lb")
+    got = flags(spark, [edited, other], [(1, ITEM)])
+    assert [got[k]["contaminated"] for k in range(2)] == [True, False]
+    assert got[0]["coverage"] == round(17 / 23, 6)
+
+
 def test_short_items_repeats_and_empty_tables(spark):
     short = "alpha beta gamma"
     got = flags(spark, [short, short + " delta", short], [(1, short)])
