@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -45,12 +44,6 @@ def shared_path(spark: SparkSession, name: str, keep: bool = False) -> str:
     return f"{folder or shared_folder(spark) + '/ligatura'}/{name}-{uuid.uuid4().hex}"
 
 
-def release(spark: SparkSession) -> None:
-    """Have driver and JVM forget plans that are done, so that executors drop their shuffle files before the next long step."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables written within go at the end, but for those written with ``keep``."""
@@ -62,14 +55,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         _SCRATCH.reset(token)
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        release(spark)
 
 
 @contextmanager
-def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs run within hand at most ``rows`` rows at a time to Python workers, where single rows are large."""
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run within hand ``rows`` rows at a time to Python workers: few where rows are large, many where they are numbers."""
     before = spark.conf.get(BATCH_KEY)
-    spark.conf.set(BATCH_KEY, str(min(rows, int(before)) if int(before) > 0 else rows))
+    spark.conf.set(BATCH_KEY, str(rows))
     try:
         yield
     finally:
@@ -83,6 +75,16 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined_evenly(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """``left`` (a written table) with the columns of ``right``, an aggregate by ``key``.
+
+    Dealt by a second column as well: both sides then come from shuffles of the join's own, whose hot partitions adaptive
+    execution splits, whereas an aggregate that is already dealt by the key would keep a hot key in one task.
+    """
+    part = F.pmod(F.col(key), F.lit(7))
+    return left.withColumn("_part", part).join(right.withColumn("_part", part), [key, "_part"]).drop("_part")
+
+
 def remainder(doc_id: Column | str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; null for a null id."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

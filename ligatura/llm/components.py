@@ -9,7 +9,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import written
+from ligatura.llm.common import joined_evenly, written
+
+
+def unite(up: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the trees of ``a[i]`` and ``b[i]`` in ``up``, where every place names the least of its tree."""
+    while len(a):
+        x, y = up[a], up[b]
+        differ = x != y
+        a, b, x, y = a[differ], b[differ], x[differ], y[differ]
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while len(a):
+            above = up[up]
+            if np.array_equal(above, up):
+                break
+            up[:] = above
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -19,7 +33,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-    joined = both.join(least, "a")
+    joined = joined_evenly(both, least, "a")
     if large:
         out = joined.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
@@ -31,20 +45,10 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The edges of one task as stars: what a union-find over each batch leaves. A shorter list with the same components."""
     for batch in batches:
         names, ends = np.unique(np.concatenate([batch.column("a").to_numpy(), batch.column("b").to_numpy()]), return_inverse=True)
-        up = list(range(len(names)))
-
-        def root(x: int, up: list[int] = up) -> int:
-            while up[x] != x:
-                up[x] = up[up[x]]
-                x = up[x]
-            return x
-
-        for x, y in ends.reshape(2, -1).T.tolist():
-            p, q = root(x), root(y)
-            up[max(p, q)] = min(p, q)
-        tops = np.array([root(x) for x in range(len(names))], np.int64)
-        keep = tops != np.arange(len(names))
-        yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(names[tops[keep]])], ["a", "b"])
+        up = np.arange(len(names))
+        unite(up, *ends.reshape(2, -1))
+        keep = up != np.arange(len(names))
+        yield pa.RecordBatch.from_arrays([pa.array(names[keep]), pa.array(names[up[keep]])], ["a", "b"])
 
 
 def components(edges: DataFrame) -> DataFrame:

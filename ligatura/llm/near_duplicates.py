@@ -1,399 +1,497 @@
 r"""Operator 3: near-duplicate classes by a chosen-path set similarity join over minwise sketches.
 
-Every text becomes its set of word shingles (64-bit hashes, all of them), and the set a sketch of 128 minwise values.
-Equal sets collapse into one entry first, by partial aggregation. Then ``TREES`` independent trees branch over the
-entries: a node picks one coordinate, and with probability 1/threshold - 1 a second, and each entry goes to the child of
-its minwise value there. A pair at the threshold so meets in about one child of a node on average, whatever the depth.
-Nodes of at most ``LEAF`` entries are compared exhaustively in numpy on longer sketches of one byte a coordinate; larger ones compare all entries
-with one pivot and branch again; what is still large after ``LEVELS`` is compared block by block. Candidates are
-confirmed on full sets. All links within a class aren't needed: the first trees look for spanning links, and later nodes
-are only looked at while their entries are in more than one component, so a large group of copies costs a few links an
-entry, and its nodes then fall away.
-
-Recall: the estimate a pair must reach is ``MARGIN`` (three and a half standard deviations) under the threshold; with 16 trees a
-pair at the threshold is missed by all trees with probability about 1e-12 at depth 1 and 1e-5 at depth 4.
+Every text becomes its set of word shingles (64-bit hashes, all of them). Equal sets collapse into one entry first, by
+partial aggregation; an entry carries two bits of each of ``COORDINATES`` minwise values, 32 bytes. ``TREES`` independent
+trees branch over the entries: a node picks one coordinate, and with probability 1/threshold - 1 a second, and each entry
+goes to the child of its minwise value there, so that a pair at the threshold meets in about one child of a node on
+average, whatever the depth. Node rows are slim: node, entry, size, component and those 32 bytes.
+
+Nodes are compared exhaustively, in numpy, on the 32 bytes. What is alike across components forms groups, and only for
+the entries of groups are texts read again: each group gets its full shingle sets and every pair of it that is in two
+components is decided on them, so nothing is joined before it is certain. A group that was decided in one tree isn't
+decided again in another. Trees are looked at in ``ROUNDS``; after each the components are known, and nodes and pairs
+within one component fall away, so a large group of copies costs a few links an entry. A node of more than ``LEAF``
+entries is first dealt into blocks of half that size, each with the node's pivot; what is still in more than one component
+then branches again, and after ``LEVELS`` is compared block by block. All sets are treated alike, whatever their size.
+
+Recall: alikeness is asked for ``DEVIATIONS`` standard deviations under what a pair at the threshold has on average; such
+a pair fails that test in 4 of 100,000 cases, and is missed by all of 16 trees with probability about 1e-12 at depth 1 and
+1e-5 at depth 4.
 
 Nulls and edge cases: null or empty text has an empty set and is a component of its own; a text of fewer than k words is
-one shingle; equal sets are linked; a null doc_id has a null component and is kept; rows that repeat a doc_id are rows of
-their own that share the component of the id's least row; an empty table gives no rows; other columns are ignored by the
-join and kept by ``deduplicate``.
+one shingle; a very long text is one set like any other; equal sets are linked; a null doc_id has a null component and is
+kept; rows that repeat a doc_id are rows of their own, each in the component of its own text; an empty table gives no
+rows; other columns are ignored by the join and kept by ``deduplicate``, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import release, scratch, small_batches, table, written
-from ligatura.llm.components import components
+from ligatura.llm.common import arrow_rows, joined_evenly, scratch, table, written
+from ligatura.llm.components import components, unite
 from ligatura.llm.textkit import Words, blocks, mix
 
 COORDINATES = 128
 TREES = 16
-FIRST_TREES = 4
+#: Trees that are looked at together: the first finds most links, so that the later ones have little left.
+ROUNDS = ((0, 1), (1, 4), (4, TREES))
 LEAF = 4000
 LEVELS = 8
-BRIEF = 384
-COARSE = 192
-MARGIN, COARSE_MARGIN = 0.07, 0.1
-EXACT = 640
+DEVIATIONS = 4.0
 BROADCAST_IDS = 1_000_000
-#: Rows of an Arrow batch: a row may be a node of thousands of entries.
-BATCH = 500
+#: Rows of an Arrow batch with texts or sets, and with numbers only; rows compared at once; shingles of a group.
+TEXT_ROWS, SLIM_ROWS = 500, 20_000
+COMPARED_ROWS = 100_000
+GROUP_SHINGLES = 2_000_000
+BITS = ["s0", "s1", "s2", "s3"]
+SLIM = "node long, sid long, n long, s0 long, s1 long, s2 long, s3 long"
+_FIVES = np.uint64(0x5555555555555555)
 _rng = np.random.default_rng(20240229)
-_A = _rng.integers(1, 1 << 32, max(COORDINATES, BRIEF), dtype=np.uint32) | np.uint32(1)
-_B = _rng.integers(1, 1 << 32, max(COORDINATES, BRIEF), dtype=np.uint32)
+_A = _rng.integers(1, 1 << 32, COORDINATES, dtype=np.uint32) | np.uint32(1)
+_B = _rng.integers(1, 1 << 32, COORDINATES, dtype=np.uint32)
 
 
-def set_sketches(text: np.ndarray, hashes: np.ndarray, n: int, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set sizes, 64-bit set ids, (n, width) minwise values) of the sets given as rows (text, hash) by text."""
+def set_ids(text: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, 64-bit ids) of the ``n`` sets given as rows (text, hash) by text; the id of an empty set is 0."""
     size = np.bincount(text, minlength=n)
-    has = np.flatnonzero(size)
-    values = np.full((n, width), 0xFFFFFFFF, np.uint32)
-    ids = np.zeros(n, np.uint64)
-    if len(has):
+    ids, has = np.zeros(n, np.uint64), size > 0
+    if has.any():
+        ids[has] = mix(np.add.reduceat(mix(hashes), (np.cumsum(size) - size)[has]) + size[has].astype(np.uint64))
+    return size, ids.view(np.int64)
+
+
+def minwise(hashes: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """(n, COORDINATES) minwise values of the sets of ``size``; those of an empty set are the largest."""
+    values, has = np.full((len(size), COORDINATES), 0xFFFFFFFF, np.uint32), size > 0
+    if has.any():
         first = (np.cumsum(size) - size)[has]
-        ids[has] = mix(np.add.reduceat(mix(hashes), first) + size[has].astype(np.uint64))
         short = (hashes >> np.uint64(32)).astype(np.uint32)
-        for k in range(width):
+        for k in range(COORDINATES):
             values[has, k] = np.minimum.reduceat(short * _A[k] + _B[k], first)
-    return size, ids.view(np.int64), values
-
+    return values
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    width = rows.shape[1] * rows.itemsize
-    offsets = pa.py_buffer((np.arange(len(rows) + 1, dtype=np.int32) * width).tobytes())
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, offsets, pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
 
+def two_bits(values: np.ndarray) -> np.ndarray:
+    """Two bits of each minwise value, 32 values in an integer: (n, 4)."""
+    bits = ((values * np.uint32(0x9E3779B1)) >> np.uint32(30)).astype(np.uint64).reshape(len(values), -1, 32)
+    return np.bitwise_or.reduce(bits << np.arange(0, 64, 2, dtype=np.uint64), axis=2).view(np.int64)
 
-def _rows(column: pa.Array, dtype: type, width: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(len(column), width)
 
+def least_alike(threshold: float) -> int:
+    """How many of the COORDINATES two-bit values entries must share to be called alike."""
+    share = threshold + (1 - threshold) / 4
+    return int(COORDINATES * share - DEVIATIONS * (COORDINATES * share * (1 - share)) ** 0.5)
 
-def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n_shingles, sid (null for an empty set) and sketch (32-bit minwise values) of every row."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, buf, bounds in blocks(batch.column("text")):
-                n = len(bounds) - 1
-                size, ids, values = set_sketches(*Words(buf, bounds, lower=True).shingles(k), n, COORDINATES)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(first, n), pa.array(size.astype(np.int64)), pa.array(ids, mask=size == 0), _binary(values)], ["doc_id", "n_shingles", "sid", "sketch"]
-                )
+def _picks(parent: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The coordinate that each node picks, a second one, and whether it takes that too."""
+    pick = mix(parent)
+    one = (pick % np.uint64(COORDINATES)).astype(np.int64)
+    step = ((pick >> np.uint64(8)) % np.uint64(COORDINATES - 1)).astype(np.int64) + 1
+    return one, (one + step) % COORDINATES, (pick >> np.uint64(20)).astype(np.float64) / float(1 << 44) < 1 / threshold - 1
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, sid long, sketch binary")
 
+def _child(parent: np.ndarray, coordinate: np.ndarray, value: np.ndarray) -> np.ndarray:
+    key = value.astype(np.uint64) | (coordinate.astype(np.uint64) << np.uint64(32))
+    return mix(parent * np.uint64(0x9E3779B97F4A7C15) + mix(key)).view(np.int64)
 
-def texts_of(sids: DataFrame, entries: DataFrame, docs: DataFrame) -> DataFrame:
-    """The texts of the documents that stand for some entries."""
-    ids = written(entries.join(sids, "sid", "left_semi").select("doc_id"), "asked")
-    few = ids.count() <= BROADCAST_IDS  # some 16 MB at most; beyond it both sides are shuffled
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
 
+def children(parent: np.ndarray, values: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, child node) for entries in nodes ``parent`` with minwise ``values``."""
+    one, two, again = _picks(parent, threshold)
+    rows = np.concatenate([np.arange(len(parent)), np.flatnonzero(again)])
+    coordinate = np.concatenate([one, two[again]])
+    return rows, _child(parent[rows], coordinate, values[rows, coordinate])
 
-def briefs(sids: DataFrame, entries: DataFrame, docs: DataFrame, k: int) -> DataFrame:
-    """(sid, n_shingles, brief, exact) of the entries that meet others.
 
-    ``brief`` is a longer sketch of one byte a coordinate. Of a set of at most EXACT shingles it holds the first COARSE
-    coordinates, and ``exact`` the set itself as 16-bit hashes; of a larger set all coordinates, and ``exact`` is empty.
-    """
+def roots(threshold: float, trees: range) -> list[tuple[np.uint64, int]]:
+    """(root node, coordinate) of the first branchings of some trees."""
+    parent = mix(np.array(trees, np.uint64) + np.uint64(1))
+    one, two, again = _picks(parent, threshold)
+    return [(p, int(c)) for k, p in enumerate(parent) for c in (one[k], two[k])[: 1 + int(again[k])]]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, buf, bounds in blocks(batch.column("text")):
-                text, hashes = Words(buf, bounds, lower=True).shingles(k)
-                size, ids, values = set_sketches(text, hashes, len(bounds) - 1, BRIEF)
-                low = values.astype(np.uint8)
-                brief, exact = [], []
-                for row, (n, end) in enumerate(zip(size.tolist(), np.cumsum(size).tolist(), strict=True)):
-                    if n:
-                        brief.append(low[row, : COARSE if n <= EXACT else BRIEF].tobytes())
-                        exact.append((hashes[end - n : end] >> np.uint64(40)).astype(np.uint16).tobytes() if n <= EXACT else b"")
-                has = size > 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[has]), pa.array(size[has].astype(np.int64)), pa.array(brief, pa.binary()), pa.array(exact, pa.binary())], ["sid", "n_shingles", "brief", "exact"]
-                )
 
-    made = texts_of(sids, entries, docs).select("text").mapInArrow(run, "sid long, n_shingles long, brief binary, exact binary")
-    return made.groupBy("sid").agg(*(F.first(c).alias(c) for c in ("n_shingles", "brief", "exact")))
+# -------------------------------------------------------------- entries and nodes
 
 
-def full_sets(docs: DataFrame, k: int) -> DataFrame:
-    """sid and the sorted shingle hashes of every row with words."""
+def sketches(docs: DataFrame, k: int, threshold: float) -> DataFrame:
+    """doc_id, key (hash of the text), n_shingles, sid (null for an empty set), the two bits and v0, v1, ...: the minwise
+    values that the first branchings of all trees ask for."""
+    asked = [c for _, c in roots(threshold, range(TREES))]
+    names = [f"v{i}" for i in range(len(asked))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, buf, bounds in blocks(batch.column("text")):
+            for first, buf, bounds in blocks(batch.column("text")):
                 n = len(bounds) - 1
                 text, hashes = Words(buf, bounds, lower=True).shingles(k)
-                size = np.bincount(text, minlength=n)
-                has = size > 0
-                ids = np.zeros(n, np.uint64)
-                if len(hashes):
-                    ids[has] = mix(np.add.reduceat(mix(hashes), (np.cumsum(size) - size)[has]) + size[has].astype(np.uint64))
-                offsets = np.concatenate([[0], np.cumsum(size[has])]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[has].view(np.int64)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64)))], ["sid", "shingles"])
+                size, ids = set_ids(text, hashes, n)
+                values = minwise(hashes, size)
+                columns = [pa.array(size.astype(np.int64)), pa.array(ids, mask=size == 0), *map(pa.array, two_bits(values).T), *(pa.array(values[:, c].view(np.int32)) for c in asked)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, n) for c in ("doc_id", "key")), *columns], ["doc_id", "key", "n_shingles", "sid", *BITS, *names])
 
-    return docs.select("text").mapInArrow(run, "sid long, shingles array<long>")
+    schema = "doc_id long, key long, n_shingles long, sid long, " + ", ".join(f"{c} long" for c in BITS) + "".join(f", {c} int" for c in names)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text").mapInArrow(run, schema)
 
 
-def _children(parent: np.ndarray, values: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """(row, child node) for entries in nodes ``parent`` with sketches ``values``: one coordinate, sometimes a second."""
-    pick = mix(parent)
-    one = (pick % np.uint64(COORDINATES)).astype(np.int64)
-    step = ((pick >> np.uint64(8)) % np.uint64(COORDINATES - 1)).astype(np.int64) + 1
-    again = (pick >> np.uint64(20)).astype(np.float64) / float(1 << 44) < 1 / threshold - 1
-    rows = np.concatenate([np.arange(len(parent)), np.flatnonzero(again)])
-    coordinate = np.concatenate([one, ((one + step) % COORDINATES)[again]])
-    key = values[rows, coordinate].astype(np.uint64) | (coordinate.astype(np.uint64) << np.uint64(32))
-    return rows, mix(parent[rows] * np.uint64(0x9E3779B97F4A7C15) + mix(key)).view(np.int64)
+def placed(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
+    """``rows`` with their entry's component, the entry itself as far as no link is known."""
+    if comp is None:
+        return rows.withColumn("comp", F.col("sid"))
+    return rows.join(comp.select(F.col("node").alias("sid"), F.col("root").alias("comp")), "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
 
 
-def roots(entries: DataFrame, threshold: float) -> DataFrame:
-    """(tree, node, sid) of the first level of all trees."""
+def first_nodes(entries: DataFrame, threshold: float, trees: range) -> DataFrame:
+    """The node rows of the first level of some trees, with comp."""
+    skipped = len(roots(threshold, range(trees.start)))
+    chosen = roots(threshold, trees)
+    names = [f"v{skipped + i}" for i in range(len(chosen))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, ids = _rows(batch.column("sketch"), np.uint32, COORDINATES), batch.column("sid").to_numpy()
-            for tree in range(TREES):
-                rows, child = _children(mix(np.full(len(ids), tree + 1, np.uint64)), values, threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), tree, np.int32)), pa.array(child), pa.array(ids[rows])], ["tree", "node", "sid"])
+            same = [batch.column(c) for c in ("sid", "n", *BITS, "comp")]
+            for (parent, coordinate), name in zip(chosen, names, strict=True):
+                value = batch.column(name).to_numpy().view(np.uint32)
+                node = _child(np.full(len(value), parent), np.full(len(value), coordinate), value)
+                yield pa.RecordBatch.from_arrays([pa.array(node), *same], ["node", "sid", "n", *BITS, "comp"])
 
-    return entries.select("sid", "sketch").mapInArrow(run, "tree int, node long, sid long")
+    return entries.select("sid", F.col("n_shingles").alias("n"), *BITS, "comp", *names).mapInArrow(run, SLIM + ", comp long")
 
 
-def branch(nodes: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
-    """The next level of ``nodes`` (node, sid)."""
+def on_texts(asked: DataFrame, docs: DataFrame, k: int, body: Callable, schema: str) -> DataFrame:
+    """``body(sids, lists, text, hashes, size)`` on the texts of some entries.
+
+    ``asked`` is a written table of rows (sid, doc_id, item): a text is read once for all its items.
+    """
+    few = asked.count() <= BROADCAST_IDS  # some 50 MB at most; beyond it both sides are shuffled
+    lists = asked.groupBy("sid", "doc_id").agg(F.collect_list("item").alias("items"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(lists) if few else lists, "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                ids = batch.column("sid").to_numpy()
-                rows, child = _children(batch.column("node").to_numpy().view(np.uint64), _rows(batch.column("sketch"), np.uint32, COORDINATES), threshold)
-                yield pa.RecordBatch.from_arrays([pa.array(child), pa.array(ids[rows])], ["node", "sid"])
+            for first, buf, bounds in blocks(batch.column("text")):
+                n = len(bounds) - 1
+                text, hashes = Words(buf, bounds, lower=True).shingles(k)
+                size, ids = set_ids(text, hashes, n)
+                sids = batch.column("sid").slice(first, n).to_numpy()
+                right = np.flatnonzero((ids == sids) & (size > 0))  # a doc_id may have other texts as well
+                if len(right):
+                    yield body(right, sids, batch.column("items").slice(first, n), hashes, size)
 
-    return nodes.select("node", "sid").join(entries.select("sid", "sketch"), "sid").select("node", "sid", "sketch").mapInArrow(run, "node long, sid long")
+    return texts.select("sid", "items", "text").mapInArrow(run, schema)
 
 
-def sized(nodes: DataFrame, comp: DataFrame | None) -> DataFrame:
-    """``nodes`` with comp and size, only those whose entries are in more than one component."""
-    nodes = nodes.drop("comp", "size")
-    if comp is None:
-        nodes = nodes.withColumn("comp", F.col("sid"))
-    else:
-        nodes = nodes.join(comp.withColumnRenamed("node", "sid"), "sid", "left").withColumn("comp", F.coalesce("root", "sid")).drop("root")
-    mixed = nodes.groupBy("node").agg(F.count("*").alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
-    return nodes.join(mixed.select("node", "size"), "node")
+def _repeated(right: np.ndarray, items: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
+    """(row, item) of all items of some rows."""
+    chosen = items.take(pa.array(right))
+    return np.repeat(right, np.diff(chosen.offsets.to_numpy())), chosen.flatten()
+
 
+def branch(nodes: DataFrame, entries: DataFrame, docs: DataFrame, k: int, threshold: float) -> DataFrame:
+    """The next level of ``nodes`` (node, sid)."""
+    asked = written(nodes.select("sid", F.col("node").alias("item")).join(entries.select("sid", "doc_id"), "sid"), "branching")
 
-class _Union:
-    def __init__(self, labels: np.ndarray):
-        _, self.up = np.unique(labels, return_inverse=True)
-        self.up = self.up.copy()
+    def body(right: np.ndarray, sids: np.ndarray, items: pa.ListArray, hashes: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        values = minwise(hashes, size)
+        row, parent = _repeated(right, items)
+        which, child = children(parent.to_numpy().view(np.uint64), values[row], threshold)
+        row = row[which]
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (child, sids[row], size[row].astype(np.int64), *two_bits(values)[row].T)], ["node", "sid", "n", *BITS])
 
-    def join(self, a: int, b: int) -> bool:
-        x, y = self.up[a], self.up[b]
-        if x == y:
-            return False
-        self.up[self.up == max(x, y)] = min(x, y)
-        return True
+    return on_texts(asked, docs, k, body, SLIM)
 
 
-def compare_node(brief: list[bytes], size: np.ndarray, comp: np.ndarray, exact: list[bytes], threshold: float, spanning: bool) -> list[tuple[int, int]]:
-    """Index pairs of a node worth confirming: across components, alike in size and sketch.
+def _block(n: Column) -> Column:
+    return F.pmod(F.xxhash64("sid", "node"), n.cast("long"))
 
-    The largest component needs no comparison with itself, so its rows only stand on one side. Pairs are taken from the
-    most alike down. If both sets are at hand, their 16-bit hashes decide, with room for the hashes' own collisions; else
-    the full sketches, if both have one. A pair that stays and that the sets decided joins the components; others only
-    do if a spanning set is asked for.
-    """
-    coarse = np.frombuffer(b"".join(b[:COARSE] for b in brief), np.uint8).reshape(len(brief), COARSE)
-    least = (threshold - COARSE_MARGIN) * COARSE
-    _, place, counts = np.unique(comp, return_inverse=True, return_counts=True)
-    main = counts.argmax()
-    rows = np.flatnonzero(place != main) if counts[main] > 1 else np.arange(len(size))
-    if not len(rows):
-        return []
-    order = np.argsort(size, kind="stable")
-    ranked = size[order]
-    found = [np.zeros((0, 3), np.int64)]
-    chunk = max(1, 8_000_000 // (COARSE * len(size)))
-    for a in range(0, len(rows), chunk):
-        part = rows[a : a + chunk]
-        # only sizes within the threshold of each other can be alike
-        low, high = np.searchsorted(ranked, size[part].min() * threshold, "left"), np.searchsorted(ranked, size[part].max() / threshold, "right")
-        other = order[low:high]
-        alike = (coarse[part, None, :] == coarse[None, other, :]).sum(axis=2, dtype=np.int16)
-        ok = (alike >= least) & (place[part, None] != place[None, other]) & (np.minimum(size[part, None], size[other]) >= threshold * np.maximum(size[part, None], size[other]))
-        i, j = np.nonzero(ok)
-        found.append(np.stack([part[i], other[j], alike[i, j]], axis=1))
-    pairs = np.concatenate(found)
-    flip = pairs[:, 0] > pairs[:, 1]
-    pairs[flip, :2] = pairs[flip, 1::-1]
-    pairs = np.unique(pairs, axis=0)
-    union, out = _Union(comp), []
-    sets: dict[int, set[int]] = {}
-
-    def members(x: int) -> set[int]:
-        if x not in sets:
-            sets[x] = set(np.frombuffer(exact[x], np.uint16).tolist())
-        return sets[x]
-
-    for i, j, _ in pairs[np.lexsort((pairs[:, 1], pairs[:, 0], -pairs[:, 2]))].tolist():
-        if union.up[i] == union.up[j]:
-            continue
-        if exact[i] and exact[j]:
-            x, y = members(i), members(j)
-            # hashes that collide within a set make it smaller: what both lost may have been common
-            lost = size[i] - len(x) + size[j] - len(y)
-            common = len(x & y) + lost
-            if common < threshold * (size[i] + size[j] - common) - 1e-9:
-                continue
-            if lost == 0 or spanning:
-                union.join(i, j)
-        elif len(brief[i]) == len(brief[j]) == BRIEF:
-            if (np.frombuffer(brief[i], np.uint8) == np.frombuffer(brief[j], np.uint8)).sum() < (threshold - MARGIN) * BRIEF:
-                continue
-            if spanning:
-                union.join(i, j)
-        elif spanning:
-            union.join(i, j)
-        out.append((i, j))
-    return out
 
+def in_blocks(nodes: DataFrame) -> DataFrame:
+    """Large nodes as nodes that hold every two of a node's blocks."""
+    n = F.ceil(F.col("size") / (LEAF // 2))
+    spread = nodes.withColumns({"own": _block(n), "other": F.explode(F.sequence(F.lit(0).cast("long"), n - 1))})
+    return spread.withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other"))).select("node", "sid", "n", *BITS)
+
+
+def with_pivot(nodes: DataFrame) -> DataFrame:
+    """Large nodes as their blocks, each with the node's pivot, the entry of least hash."""
+    n = F.ceil(F.col("size") / (LEAF // 2))
+    same = ["sid", "n", *BITS, "comp"]
+    pivot = nodes.groupBy("node", "size").agg(F.min(F.struct(F.xxhash64("node", "sid").alias("h"), *same)).alias("p"))
+    pivots = pivot.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).select(F.xxhash64("node", "block").alias("node"), *(F.col(f"p.{c}").alias(c) for c in same))
+    return nodes.withColumn("node", F.xxhash64("node", _block(n))).select("node", *same).unionByName(pivots)
 
-def leaf_pairs(nodes: DataFrame, brief: DataFrame, threshold: float, spanning: bool) -> DataFrame:
-    """(a, b) candidates of nodes of about LEAF entries at most."""
-    rows = nodes.join(brief, "sid").select("node", F.struct("sid", "n_shingles", "comp", "brief", "exact").alias("entry"))
-    grouped = rows.groupBy("node").agg(F.collect_list("entry").alias("entries")).select(
-        F.col("entries.sid").alias("sid"), F.col("entries.n_shingles").alias("n"), F.col("entries.comp").alias("comp"), F.col("entries.brief").alias("brief"), F.col("entries.exact").alias("exact")
-    )
+
+# --------------------------------------------------------------------- comparison
+
+
+def alike_within(node: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, percent: int) -> np.ndarray:
+    """For rows sorted by node, the least row that each is alike with, directly or through others of its node.
+
+    Every pair of a node that is in two components and whose sizes allow a link is compared: rows at distance 1, then 2,
+    and so on, all nodes at once.
+    """
+    up, least = np.arange(len(node)), least_alike(percent / 100)
+    d, here = 1, np.flatnonzero(node[:-1] == node[1:])
+    while len(here):
+        there = here + d
+        ask = (up[here] != up[there]) & (comp[here] != comp[there]) & (100 * np.minimum(n[here], n[there]) >= percent * np.maximum(n[here], n[there]))
+        a, b = here[ask], there[ask]
+        if len(a):
+            x = bits[a] ^ bits[b]
+            near = COORDINATES - np.bitwise_count((x | (x >> np.uint64(1))) & _FIVES).sum(axis=1) >= least
+            unite(up, a[near], b[near])
+        d += 1
+        here = here[here + d < len(node)]
+        here = here[node[here] == node[here + d]]
+    return up
+
+
+def groups_of(node: np.ndarray, sid: np.ndarray, n: np.ndarray, comp: np.ndarray, bits: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(group, row) of entries that are alike, for rows sorted by node; the group's name tells its entries.
+
+    A group of more than GROUP_SHINGLES shingles becomes groups of every two of its blocks, which are of half that size.
+    """
+    none = np.zeros(0, np.int64)
+    if not len(node):
+        return none, none
+    first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+    mixed = np.minimum.reduceat(comp, first) != np.maximum.reduceat(comp, first)
+    kept = np.flatnonzero(np.repeat(mixed, np.diff(np.append(first, len(node)))))
+    if not len(kept):
+        return none, none
+    label = alike_within(node[kept], n[kept], comp[kept], bits[kept], percent)
+    order = np.argsort(label, kind="stable")
+    count = np.bincount(label)
+    order = order[count[label[order]] > 1]
+    if not len(order):
+        return none, none
+    rows, label = kept[order], label[order]
+    first = np.flatnonzero(np.concatenate([[True], label[1:] != label[:-1]]))
+    size = np.diff(np.append(first, len(rows)))
+    name = mix(np.add.reduceat(mix(sid[rows].view(np.uint64)), first) + size.astype(np.uint64))
+    total = np.add.reduceat(n[rows], first)
+    group = np.repeat(name, size)
+    heavy = np.repeat(total > GROUP_SHINGLES, size)
+    out = [(group[~heavy].view(np.int64), rows[~heavy])]
+    for g in np.flatnonzero(total > GROUP_SHINGLES):
+        own = rows[first[g] : first[g] + size[g]]
+        block = (np.cumsum(n[own]) - n[own]) // (GROUP_SHINGLES // 2)
+        for i in range(int(block[-1]) + 1):
+            for j in range(i + (block[-1] > 0), int(block[-1]) + 1):
+                both = own[(block == i) | (block == j)]
+                out.append((np.full(len(both), mix(name[g : g + 1] + np.uint64((i << 20) + j))[0]).view(np.int64), both))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def groups(nodes: DataFrame, percent: int) -> DataFrame:
+    """(group, sid, comp): entries whose sketches are alike across components, by node."""
+    names = ["node", "sid", "n", "comp", *BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: list[np.ndarray]) -> pa.RecordBatch:
+            node, sid, n, comp, *bits = rows
+            group, at = groups_of(node, sid, n, comp, np.stack(bits, axis=1).view(np.uint64), percent)
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (group, sid[at], comp[at])], ["group", "sid", "comp"])
+
+        held: list[list[np.ndarray]] = []
+        count = 0
         for batch in batches:
-            out: list[tuple[int, int]] = []
-            for row in range(batch.num_rows):
-                sid, n, comp, sketch, exact = (batch.column(c)[row].as_py() for c in ("sid", "n", "comp", "brief", "exact"))
-                order = np.argsort(np.array(sid))
-                pairs = compare_node([sketch[i] for i in order], np.array(n)[order], np.array(comp)[order], [exact[i] for i in order], threshold, spanning)
-                out += [(sid[order[i]], sid[order[j]]) for i, j in pairs]
-            if out:
-                a, b = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            if not batch.num_rows:
+                continue
+            held.append([batch.column(c).to_numpy() for c in names])
+            count += batch.num_rows
+            if count >= COMPARED_ROWS:
+                rows = [np.concatenate(x) for x in zip(*held, strict=True)]
+                end = int(np.searchsorted(rows[0], rows[0][-1], "left"))  # the last node may go on
+                if end:
+                    yield found([x[:end] for x in rows])
+                held, count = [[x[end:] for x in rows]], count - end
+        if held:
+            yield found([np.concatenate(x) for x in zip(*held, strict=True)])
 
-    return grouped.mapInArrow(run, "a long, b long").distinct()
+    return nodes.select(*names).repartition("node").sortWithinPartitions("node").mapInArrow(run, "group long, sid long, comp long").distinct()
 
 
-def pivot_pairs(nodes: DataFrame, view: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) candidates of large nodes: every entry with the node's pivot, one of least hash."""
-    pivots = nodes.groupBy("node").agg(F.min(F.struct(F.hash("sid", "node").alias("h"), "sid", "comp")).alias("p")).select("node", F.col("p.sid").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
-    view = view.select("sid", "n_shingles", F.expr(f"substring(brief, 1, {COARSE})").alias("brief"))
-    pivots = pivots.join(view.withColumnsRenamed({"sid": "pivot", "n_shingles": "pivot_n", "brief": "pivot_brief"}), "pivot")
-    met = nodes.join(pivots, "node").where("comp != pivot_comp").join(view, "sid")
-    met = met.where(F.least("n_shingles", "pivot_n") >= threshold * F.greatest("n_shingles", "pivot_n")).select(F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b"), "brief", "pivot_brief")
+def links_of(sid: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of a group by its full sets: enough of them to span every link between its components.
+
+    One entry after the other, outside the largest component of those left, is compared with all others through an
+    inverted index of the group's shingles, which gives the exact sizes of all its intersections.
+    """
+    _, once = np.unique(sid, return_index=True)
+    sid, sets = sid[once], [sets[i] for i in once]
+    n = np.array([len(s) for s in sets])
+    _, up = np.unique(comp[once], return_inverse=True)
+    if len(sid) == 2:
+        common = len(np.intersect1d(*sets, assume_unique=True))
+        return [(int(sid[0]), int(sid[1]))] if up[0] != up[1] and 100 * common >= percent * (n.sum() - common) else []
+    _, term = np.unique(np.concatenate(sets), return_inverse=True)
+    start = np.concatenate([[0], np.cumsum(n)])
+    held_by = np.repeat(np.arange(len(sid)), n)[np.argsort(term, kind="stable")]
+    first = np.concatenate([[0], np.cumsum(np.bincount(term))])
+    left, out = np.arange(len(sid)), []
+    while True:
+        labels, counts = np.unique(up[left], return_counts=True)
+        if len(labels) < 2:
+            return out
+        i = left[up[left] != labels[counts.argmax()]][0]
+        left = left[left != i]
+        own = term[start[i] : start[i + 1]]
+        count = first[own + 1] - first[own]
+        at = np.arange(int(count.sum())) + np.repeat(first[own] - (np.cumsum(count) - count), count)
+        common = np.bincount(held_by[at], minlength=len(sid))
+        for j in np.flatnonzero((100 * common >= percent * (n[i] + n - common)) & (up != up[i])):
+            if up[j] != up[i]:
+                up[up == up[j]] = up[i]
+                out.append((int(sid[i]), int(sid[j])))
+
+
+def links(asked: DataFrame, entries: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(a, b): linked entries of written groups (group, sid, comp)."""
+    items = written(asked.select("sid", F.struct("group", "comp").alias("item")).join(entries.select("sid", "doc_id"), "sid"), "asked")
+
+    def body(right: np.ndarray, sids: np.ndarray, items: pa.ListArray, hashes: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        row, item = _repeated(right, items)
+        sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(hashes.view(np.int64)))
+        return pa.RecordBatch.from_arrays([item.field("group"), item.field("comp"), pa.array(sids[row]), sets.take(pa.array(row))], ["group", "comp", "sid", "shingles"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: int | None = None
+        held: list[tuple[int, int, np.ndarray]] = []
+
+        def found() -> list[tuple[int, int]]:
+            sid, comp, sets = zip(*held, strict=True)
+            return links_of(np.array(sid), np.array(comp), list(sets), percent)
+
         for batch in batches:
-            if batch.num_rows:
-                alike = (_rows(batch.column("brief"), np.uint8, COARSE) == _rows(batch.column("pivot_brief"), np.uint8, COARSE)).sum(axis=1)
-                yield batch.select(["a", "b"]).filter(pa.array(alike >= (threshold - COARSE_MARGIN) * COARSE))
+            out: list[tuple[int, int]] = []
+            sets = batch.column("shingles")
+            bounds, values = sets.offsets.to_numpy(), sets.values.to_numpy()
+            for at, (group, comp, sid) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("group", "comp", "sid")), strict=True)):
+                if group != open_:
+                    out += found() if held else []
+                    open_, held = group, []
+                held.append((sid, comp, values[bounds[at] : bounds[at + 1]]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b"])
+        out = found() if held else []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b"])
 
-    return met.mapInArrow(run, "a long, b long").distinct()
+    sets = on_texts(items, docs, k, body, "group long, comp long, sid long, shingles array<long>")
+    return sets.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long").distinct()
 
 
-def in_blocks(nodes: DataFrame) -> DataFrame:
-    """Large nodes as nodes of about LEAF entries, some more, that hold every two of a node's blocks."""
-    n = F.ceil(F.col("size") / (LEAF // 2))
-    own = F.pmod(F.xxhash64("sid", "node"), n)
-    other = F.explode(F.sequence(F.lit(0), n - 1))
-    spread = nodes.select("node", "sid", own.alias("own"), other.alias("other"))
-    return spread.select(F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")).alias("node"), "sid")
+# ------------------------------------------------------------------------ classes
 
 
-def confirm(pairs: DataFrame, entries: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of written ``pairs`` those whose full sets have 100 * |intersection| >= percent * |union|."""
-    asked = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    sets = written(full_sets(texts_of(asked, entries, docs), k).join(asked, "sid", "left_semi").dropDuplicates(["sid"]), "sets")
-    left = pairs.join(sets.select(F.col("sid").alias("a"), F.col("shingles").alias("x")), "a")
-    both = left.join(sets.select(F.col("sid").alias("b"), F.col("shingles").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.select("a", "b", common.alias("i"), (F.size("x") + F.size("y")).alias("s")).where(100 * F.col("i") >= percent * (F.col("s") - F.col("i"))).select("a", "b")
+class _Search:
+    """The links found so far, their components, and the groups that are decided."""
 
+    def __init__(self, docs: DataFrame, entries: DataFrame, k: int, percent: int):
+        self.docs, self.entries, self.k, self.percent = docs, entries, k, percent
+        self.links: DataFrame | None = None
+        self.comp: DataFrame | None = None
+        self.decided: DataFrame | None = None
 
-def duplicate_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    with scratch(docs.sparkSession), small_batches(docs.sparkSession, BATCH):
-        return written(_classes(docs, k, percent), "classes", keep=True)
+    def take(self, nodes: DataFrame) -> None:
+        spark = self.docs.sparkSession
+        with arrow_rows(spark, SLIM_ROWS):
+            asked = groups(nodes, self.percent)
+            if self.decided is not None:
+                asked = asked.join(self.decided, "group", "left_anti")
+            asked = written(asked, "groups")
+        if asked.isEmpty():
+            return
+        names = asked.select("group").distinct()
+        self.decided = written(names if self.decided is None else self.decided.unionByName(names), "decided")
+        with arrow_rows(spark, TEXT_ROWS):
+            found = written(links(asked, self.entries, self.docs, self.k, self.percent), "links")
+        if not found.isEmpty():
+            self.links = found if self.links is None else self.links.unionByName(found)
+            self.comp = written(components(self.links), "components")
+
+    def round(self, trees: range) -> None:
+        threshold, nodes = self.percent / 100, None
+        for level in range(LEVELS + 1):
+            now = first_nodes(placed(self.entries, self.comp), threshold, trees) if nodes is None else placed(nodes, self.comp)
+            if level == LEVELS:  # nodes of two blocks: compared whatever their size
+                return self.take(now)
+            large = written(now.groupBy("node").agg(F.count("*").alias("size")).where(F.col("size") > LEAF), "large")
+            if large.isEmpty():
+                return self.take(now)
+            few = large.count() <= BROADCAST_IDS
+            large = F.broadcast(large) if few else large
+            self.take(now.join(large.select("node"), "node", "left_anti").unionByName(with_pivot(now.join(large, "node"))))
+            now = first_nodes(placed(self.entries, self.comp), threshold, trees) if nodes is None else placed(nodes, self.comp)
+            now = written(now.join(large, "node"), "nodes")
+            mixed = written(now.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("node"), "mixed")
+            if mixed.isEmpty():
+                return None
+            now = now.join(F.broadcast(mixed) if few else mixed, "node", "left_semi")
+            with arrow_rows(self.docs.sparkSession, TEXT_ROWS):
+                nodes = written(branch(now, self.entries, self.docs, self.k, threshold) if level < LEVELS - 1 else in_blocks(now), "nodes")
+        return None
 
 
 def _classes(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    threshold = percent / 100
-    rows = written(sketches(docs, k), "sketches")
-    named = rows.where("sid is not null")
+    """doc_id, key, n_shingles, sid, root (the class's name) and component (its least doc_id) of every row."""
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        rows = written(sketches(docs, k, percent / 100), "sketches")
+    carried = [c for c in rows.columns if c not in ("doc_id", "key", "sid")]
     # doc_id is null only for sets that no row with an id has
-    entries = written(
-        named.groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")).where("doc_id is not null"),
-        "entries",
-    )
-    edges: DataFrame | None = None
-    comp: DataFrame | None = None
-
-    def take(candidates: DataFrame) -> None:
-        nonlocal edges, comp
-        pairs = written(candidates, "pairs")
-        if pairs.isEmpty():
-            return
-        links = written(confirm(pairs, entries, docs, k, percent), "links")
-        release(docs.sparkSession)
-        if not links.isEmpty():
-            edges = links if edges is None else edges.unionByName(links)
-            comp = written(components(edges), "components")
-
-    release(docs.sparkSession)
-    nodes = written(sized(roots(entries, threshold), None), "nodes")
-    if not nodes.isEmpty():
-        brief = written(briefs(nodes.select("sid").distinct(), entries, docs, k), "briefs")
-        release(docs.sparkSession)
-        first = nodes.where(F.col("tree") < FIRST_TREES)
-        take(leaf_pairs(first.where(F.col("size") <= LEAF), brief, threshold, True).unionByName(pivot_pairs(first.where(F.col("size") > LEAF), brief, threshold)))
-        for level in range(LEVELS + 1):
-            nodes = written(sized(nodes, comp), "nodes")
-            if nodes.isEmpty():
-                break
-            blocked = level == LEVELS  # blocks by two hold every pair of their node: compared whatever their size
-            small, large = nodes if blocked else nodes.where(F.col("size") <= LEAF), nodes.where(F.col("size") > LEAF)
-            has_large = not blocked and not large.isEmpty()
-            candidates = leaf_pairs(small, brief, threshold, False)
-            take(candidates.unionByName(pivot_pairs(large, brief, threshold)) if has_large else candidates)
-            if not has_large:
-                break
-            large = written(sized(large, comp), "nodes").where(F.col("size") > LEAF)
-            nodes = branch(large, entries, threshold) if level < LEVELS - 1 else in_blocks(large)
-    if comp is None:
-        classes = entries.select("sid", F.col("doc_id").alias("component"))
+    grouped = rows.where("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in carried))
+    entries = written(grouped.where("doc_id is not null"), "entries")
+    search = _Search(docs, entries, k, percent)
+    for first, last in ROUNDS:
+        search.round(range(first, last))
+    if search.comp is None:
+        classes = entries.select("sid", F.col("sid").alias("root"), F.col("doc_id").alias("component"))
     else:
-        placed = entries.select("sid", "doc_id").join(comp.withColumnRenamed("node", "sid"), "sid", "left").select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))
-        lowest = placed.groupBy("root").agg(F.min("doc_id").alias("component"))
-        classes = placed.select("sid", "root").join(lowest, "root").select("sid", "component")
-    out = rows.select("doc_id", "n_shingles", "sid").join(written(classes, "classes"), "sid", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+        of = written(placed(entries.select("sid", "doc_id"), search.comp), "placed")
+        lowest = of.groupBy("comp").agg(F.min("doc_id").alias("component"))
+        classes = written(joined_evenly(of.select("sid", "comp"), lowest, "comp"), "classes").select("sid", F.col("comp").alias("root"), "component")
+    return rows.select("doc_id", "key", "n_shingles", "sid").join(classes, "sid", "left").withColumn("component", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
+
+
+def duplicate_classes(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+    with scratch(docs.sparkSession):
+        out = _classes(docs, k, percent)
+        kept = F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True))
+        return written(out.select("doc_id", "n_shingles", F.col("component").alias("component_id"), kept.alias("kept")), "classes", keep=True)
 
 
 def deduplicate(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each class, all columns; of rows that repeat the kept doc_id in a class one stays.
+    """``docs`` with one row of each class, all columns.
 
-    Empty texts aren't linked with anything and all stay.
+    It is the row of the class's least doc_id; of several texts with that id the one of least hash, and of rows that
+    repeat both one. Empty texts aren't linked with anything and all stay, as do rows without an id.
     """
-    kept = written(duplicate_classes(docs, k, percent).where("kept").select("doc_id").distinct(), "kept")
-    d = docs.withColumn("_id", F.col("doc_id").cast("long"))
-    staying = d.join(kept.withColumnRenamed("doc_id", "_id").where("_id is not null"), "_id", "left_semi").unionByName(d.where("_id is null"))
-    return staying.select(*docs.columns)
+    with scratch(docs.sparkSession):
+        rows = written(_classes(docs, k, percent).where("sid is not null and doc_id is not null").select("doc_id", "key", "root", "component"), "members")
+        chosen = rows.where("doc_id = component").groupBy("root").agg(F.min("doc_id").alias("doc_id"), F.min("key").alias("key")).select("doc_id", "key")
+        repeats = rows.join(chosen, ["doc_id", "key"], "left_semi").groupBy("doc_id", "key").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "key")
+        goes = rows.join(chosen, ["doc_id", "key"], "left_anti").select("doc_id", "key").distinct()
+        repeats, goes = written(repeats, "repeats", keep=True), written(goes, "goes", keep=True)
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    d = docs.select(whole.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"))
+
+    def without(left: DataFrame, right: DataFrame) -> DataFrame:
+        few = right.count() <= BROADCAST_IDS  # some 40 MB at most; beyond it both sides are shuffled
+        return left.join(F.broadcast(right) if few else right, ["doc_id", "key"], "left_anti")
+
+    kept = without(d, goes)
+    if not repeats.isEmpty():
+        again = kept.join(repeats, ["doc_id", "key"], "left_semi").groupBy("doc_id", "key").agg(F.first("row").alias("row"))
+        kept = without(kept, repeats).select("row").unionByName(again.select("row"))
+    return kept.select("row.*")
 
 
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
