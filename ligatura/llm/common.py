@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+READ_KEY = "spark.sql.parquet.columnarReaderBatchSize"
 BATCH_KEY, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
 
 
@@ -58,14 +59,20 @@ def scratch(spark: SparkSession) -> Iterator[None]:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs run within hand ``rows`` rows at a time to Python workers: few where rows are large, many where they are numbers."""
-    before = spark.conf.get(BATCH_KEY)
-    spark.conf.set(BATCH_KEY, str(rows))
+def arrow_rows(spark: SparkSession, rows: int, read: int | None = None) -> Iterator[None]:
+    """Jobs run within hand ``rows`` rows at a time to Python workers: few where rows are large, many where they are numbers.
+
+    ``read``: rows that the Parquet reader decodes at a time, for tables whose rows are megabytes.
+    """
+    wanted = {BATCH_KEY: str(rows)} | ({READ_KEY: str(read)} if read else {})
+    before = {key: spark.conf.get(key) for key in wanted}
     try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
         yield
     finally:
-        spark.conf.set(BATCH_KEY, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:

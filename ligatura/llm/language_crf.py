@@ -5,11 +5,15 @@ language is the one with the largest mean posterior over its words. Emissions ad
 prefixes and suffixes of 1 to 3 bytes and its byte trigrams, and lexicon log-odds; transitions are learned with them.
 Training maximises the conditional likelihood (Adam on forward-backward gradients) on the driver, from at most
 ``rows_per_language`` documents of each language, the first by hash of the id; half of the training chains are spliced
-from two languages, so that transitions see switches. Texts are read whole, in chains of at most 64 words.
+from two languages, so that transitions see switches. A training document gives an excerpt of at most ``EXCERPT``
+characters, at a place chosen by hash; ``CHAIN`` is the length of training chains only. In prediction every text is one
+chain over all its words, whatever their number; texts of like length run side by side.
 
 Only rows whose crc32 remainder modulo 4 is not 2 train. Nulls and edge cases: null text, or a text without a letter, is
-``und`` with score 0; rows with null lang train nothing; with no training rows all is ``und``; with one language that
-language is certain; repeated rows are labelled alike; equal posteriors go to the language first in the alphabet.
+``und`` with score 0; a very long text is one long chain; rows with null lang train nothing; with no training rows all is
+``und``; with one language that language is certain; repeated rows are labelled alike, and rows that repeat an id train at
+most once; equal posteriors go to the language first in the alphabet; an empty table gives no rows; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +31,9 @@ from ligatura.llm.textkit import Words, blocks, mix, per_text
 
 BUCKETS = 1 << 16
 CHAIN = 64
-ROWS_PER_LANGUAGE = 400
+ROWS_PER_LANGUAGE, EXCERPT = 400, 20_000
+#: Cells (words, padding included) of chains that run side by side, and bytes of texts that are read together.
+CELLS, READ_BYTES = 400_000, 8 << 20
 _WEIGHTS = (1, 257, 66049)
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[65:91] = _ASCII_LETTER[97:123] = True
@@ -81,27 +87,45 @@ class Crf:
         return e if n else np.zeros((0, len(self.langs)), np.float32)
 
 
-def forward_backward(e: np.ndarray, mask: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Posteriors (n, T, L) of chains (n, T, L) of emissions, and expected transition counts (L, L)."""
-    n, t, size = e.shape
+def posteriors(e: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward values (T, n, L) of chains of emissions (T, n, L), longest first, of their own lengths.
+
+    Step by step over all chains that still go on; both are scaled to sum to one at each word.
+    """
+    t, n, _ = e.shape
     p = np.exp(e - e.max(axis=2, keepdims=True))
     a = np.exp(transitions)
-    alpha, beta = np.zeros_like(p), np.ones_like(p)
+    alpha, beta = np.empty_like(p), np.ones_like(p)
+    alive = np.searchsorted(-lengths, -np.arange(t), "left")  # chains with more than k words
     for k in range(t):
-        step = p[:, k] if k == 0 else (alpha[:, k - 1] @ a) * p[:, k]
-        step = step / np.maximum(step.sum(axis=1, keepdims=True), 1e-300)
-        alpha[:, k] = step if k == 0 else np.where(mask[:, k, None], step, alpha[:, k - 1])
+        m = alive[k]
+        step = p[k, :m] if k == 0 else (alpha[k - 1, :m] @ a) * p[k, :m]
+        alpha[k, :m] = step / np.maximum(step.sum(axis=1, keepdims=True), 1e-300)
     for k in range(t - 2, -1, -1):
-        step = (beta[:, k + 1] * p[:, k + 1]) @ a.T
-        beta[:, k] = np.where(mask[:, k + 1, None], step / np.maximum(step.sum(axis=1, keepdims=True), 1e-300), beta[:, k])
-    gamma = alpha * beta
+        m = alive[k + 1]
+        step = (beta[k + 1, :m] * p[k + 1, :m]) @ a.T
+        beta[k, :m] = step / np.maximum(step.sum(axis=1, keepdims=True), 1e-300)
+    return alpha, beta
+
+
+def forward_backward(e: np.ndarray, mask: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Posteriors (n, T, L) of chains (n, T, L) of emissions whose words come first, and expected transition counts (L, L)."""
+    lengths = mask.sum(axis=1)
+    order = np.argsort(-lengths, kind="stable")
+    by_step, ordered = np.ascontiguousarray(e[order].transpose(1, 0, 2)), lengths[order]
+    alpha, beta = posteriors(by_step, ordered, transitions)
+    inside = (np.arange(e.shape[1])[:, None] < ordered)[:, :, None]
+    gamma = np.where(inside, alpha * beta, 0.0)
     gamma /= np.maximum(gamma.sum(axis=2, keepdims=True), 1e-300)
-    gamma *= mask[:, :, None]
-    pair = alpha[:, :-1, :, None] * a[None, None] * (p[:, 1:] * beta[:, 1:])[:, :, None, :] if n * t < 60_000 else None
-    if pair is None:
-        return gamma, np.zeros((size, size))
-    pair /= np.maximum(pair.sum(axis=(2, 3), keepdims=True), 1e-300)
-    return gamma, (pair * mask[:, 1:, None, None]).sum(axis=(0, 1))
+    counts = np.zeros_like(transitions, np.float64)
+    a, p = np.exp(transitions), np.exp(by_step - by_step.max(axis=2, keepdims=True))
+    for k in range(1, e.shape[1]):
+        m = int(inside[k].sum())
+        pair = alpha[k - 1, :m, :, None] * a * (p[k, :m] * beta[k, :m])[:, None, :]
+        counts += (pair / np.maximum(pair.sum(axis=(1, 2), keepdims=True), 1e-300)).sum(axis=0)
+    out = np.empty_like(gamma.transpose(1, 0, 2))
+    out[order] = gamma.transpose(1, 0, 2)
+    return out, counts
 
 
 def chains(counts: np.ndarray, length: int = CHAIN) -> tuple[np.ndarray, np.ndarray]:
@@ -176,17 +200,23 @@ def fit_crf(texts: list[str], langs: list[str], steps: int = 120, batch: int = 1
 
 
 def label_words(crf: Crf, w: Words) -> np.ndarray:
-    """The posterior of each language for every word of a block."""
-    e = crf.emissions(word_features(w))
-    index, mask = chains(w.counts)
+    """The posterior of each language for every word of a block; every text is one chain."""
+    e = crf.emissions(word_features(w)).astype(np.float64)
     gamma = np.zeros((len(w.starts), len(crf.langs)))
-    order = np.argsort(-mask.sum(axis=1), kind="stable")
-    for k in range(0, len(order), 4096):
-        rows = order[k : k + 4096]
-        longest = int(mask[rows[0]].sum())
-        ix, mk = index[rows, :longest], mask[rows, :longest]
-        g, _ = forward_backward(e[ix], mk, crf.transitions)
-        gamma[ix[mk]] = g[mk]
+    order = np.argsort(-w.counts, kind="stable")
+    order = order[w.counts[order] > 0]
+    at = 0
+    while at < len(order):
+        longest = int(w.counts[order[at]])
+        part = order[at : at + max(1, CELLS // longest)]
+        part = part[w.counts[part] * 2 > longest]  # those of like length
+        at += len(part)
+        n = w.counts[part]
+        inside = np.arange(longest)[:, None] < n
+        ix = np.where(inside, w.first[part] + np.arange(longest)[:, None], 0)
+        alpha, beta = posteriors(e[ix], n, crf.transitions)
+        got = (alpha * beta)[inside]
+        gamma[ix[inside]] = got / np.maximum(got.sum(axis=1, keepdims=True), 1e-300)
     return gamma
 
 
@@ -196,7 +226,7 @@ def predict(docs: DataFrame, crf: Crf) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
-            for first, buf, bounds in blocks(column):
+            for first, buf, bounds in blocks(column, READ_BYTES):
                 n = len(bounds) - 1
                 w = Words(buf, bounds, lower=True)
                 letters = per_text(_ASCII_LETTER[buf], bounds) > 0
@@ -217,13 +247,16 @@ def predict(docs: DataFrame, crf: Crf) -> DataFrame:
 
 def fit(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Crf:
     """A field trained on a bounded sample of the rows that may train."""
-    rows = docs.where("doc_id is not null and lang is not null and text is not null").where(~is_remainder("doc_id", 4, 2))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where("doc_id is not null and lang is not null and text is not null").where(~is_remainder("doc_id", 4, 2))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     # thinned by a threshold on the hash first, to some four times the rows wanted, so that no language meets whole in one task; a row a language is broadcast
     share = rows.groupBy("lang").agg((4.0 * rows_per_language / F.count("*")).alias("share"))
-    chosen = rows.select("doc_id", "lang").join(F.broadcast(share), "lang").where(F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(1 << 20)) <= F.col("share") * (1 << 20)).withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= rows_per_language)
-    got = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen.select("doc_id", "lang")), ["doc_id", "lang"])  # at most rows_per_language a language
-    sample = got.toPandas().sort_values(["lang", "doc_id", "text"])
+    thin = F.pmod(F.xxhash64(F.col("doc_id") + 1), F.lit(1 << 20)) <= F.col("share") * (1 << 20)
+    chosen = rows.select("doc_id", "lang").join(F.broadcast(share), "lang").where(thin).withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= rows_per_language)
+    place = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - EXCERPT, F.lit(0)) + 1) + 1
+    cut = rows.select("doc_id", "lang", F.col("text").substr(place.cast("int"), F.lit(EXCERPT)).alias("text"))
+    got = cut.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"])  # at most rows_per_language a language
+    sample = got.groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toPandas().sort_values(["lang", "doc_id"])  # repeated ids train once
     return fit_crf(sample["text"].to_list(), sample["lang"].to_list())
 
 

@@ -1,263 +1,271 @@
 """Operator 4: cross-entropy difference of a target and a background bigram model over one vocabulary.
 
-Target texts are those labelled of good quality and not toxic; the background is all texts. Counting covers all data:
-tasks count words and word pairs in numpy and Spark sums them by key. Every counted word and pair is in both models, so
-they grow with the input. With c a model's counts, K(v) the pairs that begin with v and a the smoothing mass,
-p(w|v) = (c(v,w) + (a + c(v) - K(v)) p(w)) / (c(v) + a), which sums to one; p(w) adds one to each count and leaves one for
-a word not seen. A text's score is its mean loss per word under the target less that under the background: lower is more
-like the target.
-
-The counts are written tables. Those of the most frequent words and pairs, at most ``VOCABULARY`` and ``PAIRS``, are also
-broadcast as sorted arrays, and answer most places of a text at once. The other places are joined with the written pairs,
-none of which is frequent, so no key is hot; ``SLICES`` parts of them, by hash, are joined one after the other to
-bound the disk. Texts are told apart by a 64-bit hash.
-
-Nulls and edge cases: null or empty text has no words, losses and score 0; null labels and ids choose no target texts;
-with no target texts the target model is the uniform smoothing alone; repeated rows count and are scored each; other
-columns are ignored.
+Target texts are those labelled of good quality and not toxic; the background is all texts. Every word and every pair of
+all texts is in both models, so that they grow with the input; there is no cut-off. With c a model's counts, K(v) the
+pairs that begin with v and a the smoothing mass, p(w|v) = (c(v,w) + (a + c(v) - K(v)) p(w)) / (c(v) + a), which sums to
+one; p(w) adds one to each count and leaves one for a word not seen. A text's score is its mean loss per word under the
+target less that under the background: lower is more like the target.
+
+Nothing is broadcast. Texts become blocks of about ``BLOCK_WORDS`` words (local word numbers and the block's own
+vocabulary). A block sends its distinct words, then its distinct pairs, with its own counts, as 64-bit hashes in parts by
+hash range; each part adds up all blocks' counts and sends back to every block the totals that differ from the block's
+own. So a word that every text holds is one entry a block, no key is hot, what is in one block only isn't sent back, and a
+block holds all it needs to score its texts. Memory is bounded by a block and by a part of about ``PART_ROWS`` entries.
+
+Nulls and edge cases: null or empty text has no words, losses and score 0; a very long text is read whole, as a block of
+its own if need be; null labels and ids choose no target texts; with no target texts the target model is the uniform
+smoothing alone; repeated rows count and are scored each, with equal results; an empty table gives no rows; two words or
+pairs of equal 64-bit hash would share their counts; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import scratch, table, written
+from ligatura.llm.common import arrow_rows, scratch, table, written
 from ligatura.llm.textkit import Words, blocks, mix
 
-VOCABULARY = 65_535
-PAIRS = 500_000
-SLICES = 2
-START = np.uint64(0)
+BLOCK_WORDS = 500_000
+BLOCK_TEXTS = 100_000
+PART_ROWS = 500_000
 SMOOTHING = 20.0
 BROADCAST_IDS = 1_000_000
-FLUSH = 1_000_000
+#: Rows of an Arrow batch with texts, with whole blocks, and with parts of blocks.
+TEXT_ROWS, BLOCK_ROWS, PART_BATCH = 1000, 4, 200
+#: What a block counts of a word: occurrences in target and all texts, and how often it is a text's last word there.
+WORD_COUNTS, PAIR_COUNTS = 4, 2
+_BLOCK = "block long, asks boolean, counts boolean, doc_ids array<long>, sizes binary, targets binary, words binary, places binary, n_places long"
 
 
-class _Counter:
-    """Sums values by key in numpy; hands out what it holds when that grows large. ``names`` are carried with the key."""
+def packed(keys: np.ndarray) -> bytes:
+    """Sorted 64-bit keys as differences, byte by byte: the upper bytes are mostly zero and compress away."""
+    return np.diff(keys, prepend=keys.dtype.type(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
 
-    def __init__(self, names: int) -> None:
-        self.parts: list[list[np.ndarray]] = []
-        self.names, self.held = names, 0
 
-    def add(self, keys: np.ndarray, *columns: np.ndarray) -> None:
-        own, first, place = np.unique(keys, return_index=True, return_inverse=True)
-        self._put([own, *(c[first] for c in columns[: self.names]), *(np.bincount(place, c, len(own)).astype(np.int64) for c in columns[self.names :])])
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
 
-    def _put(self, part: list[np.ndarray]) -> None:
-        self.parts.append(part)
-        self.held += len(part[0])
 
-    def merged(self) -> list[np.ndarray]:
-        columns = [np.concatenate(x) for x in zip(*self.parts, strict=True)]
-        self.parts, self.held = [], 0
-        self.add(*columns)
-        part = self.parts.pop()
-        self.held = 0
-        return part
+def as_bytes(counts: np.ndarray) -> bytes:
+    """Counts (columns, n) as binary."""
+    return counts.astype(np.uint64).tobytes()
 
-    def full(self) -> bool:
-        if self.held < FLUSH:
-            return False
-        self._put(self.merged())
-        return self.held >= FLUSH * 2 // 3
 
+def as_counts(data: bytes, columns: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint64).astype(np.int64).reshape(columns, -1)
 
-def _counted(docs: DataFrame, columns_of, names: list[str], values: list[str]) -> DataFrame:
-    """``values`` summed by ``names`` over all rows (text, is_target); ``columns_of`` gives key, names and values of a block."""
+
+def block_table(docs: DataFrame, asks: bool, counts: bool) -> DataFrame:
+    """The blocks of rows (doc_id, text, is_target)."""
+    names = [c.split()[0] for c in _BLOCK.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = _Counter(len(names))
+        number = TaskContext.get().partitionId() << 32
+        parts: list[tuple] = []
 
         def emit() -> pa.RecordBatch:
-            _, *columns = counter.merged()
-            order = np.argsort(columns[0], kind="stable")
-            return pa.RecordBatch.from_arrays([pa.array(c[order].view(np.int64)) for c in columns], [*names, *values])
-
+            ids = pa.concat_arrays([p[0] for p in parts])
+            hashes = np.concatenate([p[1] for p in parts])
+            words, places = np.unique(hashes, return_inverse=True)
+            sizes, targets = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+            parts.clear()
+            block = number if counts else ~number
+            row = [pa.array([block]), pa.array([asks]), pa.array([counts]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
+            values = [sizes.astype(np.int64).tobytes(), targets.astype(np.uint8).tobytes(), words.tobytes(), places.astype(np.uint32).tobytes()]
+            return pa.RecordBatch.from_arrays([*row, *(pa.array([v], pa.binary()) for v in values), pa.array([len(places)])], names)
+
+        held = texts = 0
         for batch in batches:
-            flags = batch.column("is_target").to_numpy(zero_copy_only=False).astype(float)
+            flags = batch.column("is_target").to_numpy(zero_copy_only=False).astype(bool)
             for first, buf, bounds in blocks(batch.column("text")):
                 w = Words(buf, bounds, lower=True)
-                if len(w.hashes):
-                    counter.add(*columns_of(w, flags[first + w.text]))
-                    if counter.full():
-                        yield emit()
-        if counter.parts:
+                parts.append((batch.column("doc_id").slice(first, w.n_texts), w.hashes, w.counts, flags[first : first + w.n_texts]))
+                held, texts = held + len(w.hashes), texts + w.n_texts
+                if held >= BLOCK_WORDS or texts >= BLOCK_TEXTS:
+                    yield emit()
+                    held, texts, number = 0, 0, number + 1
+        if parts:
             yield emit()
 
-    made = docs.select("text", "is_target").mapInArrow(run, ", ".join(f"{c} long" for c in (*names, *values)))
-    return made.groupBy(*names).agg(*(F.sum(c).alias(c) for c in values))
-
-
-def _begins(w: Words) -> np.ndarray:
-    begins = np.zeros(len(w.hashes), bool)
-    begins[w.first[w.counts > 0]] = True
-    return begins
-
-
-def _before(w: Words) -> np.ndarray:
-    """The hash of the word before each, START for a text's first."""
-    return np.where(_begins(w), START, np.concatenate([w.hashes[:1], w.hashes[:-1]]))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "is_target").mapInArrow(run, _BLOCK)
+
+
+class Block:
+    """A block's words and pairs with its own counts."""
+
+    def __init__(self, sizes: bytes, targets: bytes, words: bytes, places: bytes, counts: bool):
+        self.sizes, self.words = np.frombuffer(sizes, np.int64), np.frombuffer(words, np.uint64)
+        self.places = np.frombuffer(places, np.uint32).astype(np.int64)
+        flags = np.repeat(np.frombuffer(targets, np.uint8), self.sizes).astype(float)
+        self.flags, self.counts = flags, counts
+        has = self.sizes[self.sizes > 0]
+        self.first = np.zeros(len(self.places), bool)
+        self.first[np.cumsum(has) - has] = True
+        self.last = np.append(self.first[1:], True) if len(self.places) else self.first
+
+    def word_counts(self) -> np.ndarray:
+        n = len(self.words)
+        if not self.counts:
+            return np.zeros((WORD_COUNTS, n), np.int64)
+        weights = (self.flags, None, self.flags * self.last, self.last.astype(float))
+        return np.stack([np.bincount(self.places, w, n).astype(np.int64) for w in weights])
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(keys in order, counts, places of pairs' second words, which key is theirs)."""
+        at = np.flatnonzero(~self.first)
+        code, which = np.unique(self.places[at - 1] * len(self.words) + self.places[at], return_inverse=True)
+        v, w = np.divmod(code, max(len(self.words), 1))
+        keys = mix(mix(self.words[v]) * np.uint64(0x9E3779B97F4A7C15) + self.words[w])
+        order = np.argsort(keys, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        which = rank[which]
+        counts = [np.bincount(which, x, len(keys)).astype(np.int64) * self.counts for x in (self.flags[at], None)]
+        return keys[order], np.stack(counts), at, which
+
+
+def _sent(all_blocks: DataFrame, pairs: bool, bits: int) -> DataFrame:
+    """(part, block, asks, keys, counts): what the blocks send to each part."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.select(["block", "asks", "counts", "sizes", "targets", "words", "places"]).to_pylist():
+                b = Block(row["sizes"], row["targets"], row["words"], row["places"], row["counts"])
+                keys, counts = b.pairs()[:2] if pairs else (b.words, b.word_counts())
+                part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+                first = np.flatnonzero(np.diff(part, prepend=-1))
+                ends = np.append(first[1:], len(part))
+                data = [packed(keys[x:y]) for x, y in zip(first, ends, strict=True)], [as_bytes(counts[:, x:y]) for x, y in zip(first, ends, strict=True)]
+                same = [pa.array([row["block"]] * len(first), pa.int64()), pa.array([row["asks"]] * len(first), pa.bool_())]
+                yield pa.RecordBatch.from_arrays([pa.array(part[first]), *same, *(pa.array(x, pa.binary()) for x in data)], ["part", "block", "asks", "keys", "counts"])
+
+    return all_blocks.mapInArrow(run, "part long, block long, asks boolean, keys binary, counts binary")
+
+
+def _totals(sent: DataFrame, columns: int) -> DataFrame:
+    """(block, keys, counts, found): the totals of a block's keys where they differ from its own; ``found`` counts keys once."""
+
+    def added(rows: list[dict]) -> pa.RecordBatch:
+        parts = [unpacked(r["keys"]) for r in rows]
+        keys, own = np.concatenate(parts), np.concatenate([as_counts(r["counts"], columns) for r in rows], axis=1)
+        order = np.argsort(keys, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+        sums = np.add.reduceat(own[:, order], first, axis=1)
+        total = np.empty_like(own)
+        total[:, order] = np.repeat(sums, np.diff(np.append(first, len(keys))), axis=1)
+        differs = (total != own).any(axis=0)
+        block, packs, counts, at = [], [], [], 0
+        for r, part in zip(rows, parts, strict=True):
+            chosen = at + np.flatnonzero(differs[at : at + len(part)])
+            at += len(part)
+            if r["asks"] and len(chosen):
+                block.append(r["block"])
+                packs.append(packed(keys[chosen]))
+                counts.append(as_bytes(total[:, chosen]))
+        found = [0] * len(block) + [int((sums[1] > 0).sum())]
+        return pa.RecordBatch.from_arrays([pa.array([*block, None], pa.int64()), pa.array([*packs, None], pa.binary()), pa.array([*counts, None], pa.binary()), pa.array(found)], ["block", "keys", "counts", "found"])
 
-def _pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
-    return mix(mix(v) * np.uint64(0x9E3779B97F4A7C15) + w)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and row["part"] != held[0]["part"]:
+                    yield added(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield added(held)
 
+    return sent.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, "block long, keys binary, counts binary, found long")
 
-def _word_columns(w: Words, target: np.ndarray) -> tuple[np.ndarray, ...]:
-    ends = np.append(_begins(w)[1:], True).astype(float)
-    return w.hashes, w.hashes, target, np.ones(len(target)), target * ends, ends
 
+@dataclass
+class Models:
+    """Both models, as the blocks of the texts that they count."""
 
-def _pair_columns(w: Words, target: np.ndarray) -> tuple[np.ndarray, ...]:
-    v = _before(w)
-    return _pair_keys(v, w.hashes), v, w.hashes, target, np.ones(len(target))
+    blocks: DataFrame
+    words: tuple[int, int]  # words of the target and of all texts
 
 
-def least_count(counts: DataFrame, limit: int) -> int:
-    """The least count ``every`` that leaves at most ``limit`` rows."""
-    histogram = counts.groupBy("every").agg(F.count("*").alias("n")).orderBy(F.desc("every"))
-    total = 0
-    for every, n in histogram.select("every", "n").limit(limit + 1).toPandas().itertuples(index=False):  # at most one row for each of the wanted keys
-        total += n
-        if total > limit:
-            return int(every) + 1
-    return 1
+def fit(docs: DataFrame) -> Models:
+    """Both models from rows (doc_id, text, is_target)."""
+    with arrow_rows(docs.sparkSession, TEXT_ROWS):
+        made = written(block_table(docs, asks=True, counts=True), "blocks")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(np.frombuffer(a, np.int64), np.frombuffer(b, np.uint8)) for a, b in zip(batch.column("sizes").to_pylist(), batch.column("targets").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([int(a @ b) for a, b in rows], pa.int64()), pa.array([int(a.sum()) for a, _ in rows], pa.int64())], ["target", "every"])
 
-@dataclass
-class Models:
-    words: np.ndarray  # sorted hashes of the frequent words; word k has id k + 1, id 0 is any other
-    unigram: np.ndarray  # (2, V + 1): log-free probabilities p(w), target then background
-    history: np.ndarray  # (2, V + 1): c(v)
-    kept: np.ndarray  # (2, V + 1): K(v)
-    pairs: np.ndarray  # sorted keys v << 16 | w of the frequent pairs
-    pair_counts: np.ndarray  # (2, P)
-    sums: tuple[float, float]  # what c(w) + 1 is divided by
-    all_words: DataFrame | None  # w, target, every, target_ends, every_ends
-    all_pairs: DataFrame | None  # v, w, target, every of the pairs that aren't frequent
-
-    def ids(self, w: Words) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.words, w.hashes), max(len(self.words) - 1, 0))
-        return np.where(self.words[at] == w.hashes, at + 1, 0) if len(self.words) else np.zeros(len(w.hashes), np.int64)
-
-    def found(self, w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, first words, place among the frequent pairs, whether the arrays have the loss) of each word."""
-        ids, begins = self.ids(w), _begins(w)
-        key = (np.concatenate([ids[:1], ids[:-1]]) << 16 | ids).astype(np.int64)
-        at = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
-        hit = self.pairs[at] == key if len(self.pairs) else np.zeros(len(ids), bool)
-        return ids, begins, at, np.where(begins, ids > 0, hit)
-
-    def losses(self, w: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(2, words) losses under the target and the background model, 0 where only the tables have them; and where that is."""
-        ids, begins, at, known = self.found(w)
-        out = np.zeros((2, len(ids)))
-        here, first = np.flatnonzero(known & ~begins), np.flatnonzero(known & begins)
-        v, x = ids[here - 1], ids[here]
-        for m in range(2):
-            c, k = self.history[m, v], self.kept[m, v]
-            out[m, here] = -np.log((self.pair_counts[m, at[here]] + (SMOOTHING + c - k) * self.unigram[m, x]) / (c + SMOOTHING))
-            out[m, first] = -np.log(self.unigram[m, ids[first]])
-        return out, ~known
+    n = made.select("sizes", "targets").mapInArrow(run, "target long, every long").agg(F.sum("target"), F.sum("every")).first()
+    return Models(made, (n[0] or 0, n[1] or 0))
 
 
-def fit(docs: DataFrame) -> Models:
-    """Both models from rows (text, is_target)."""
-    all_words = written(_counted(docs, _word_columns, ["w"], ["target", "every", "target_ends", "every_ends"]), "word-counts")
-    totals = all_words.agg(F.sum("target"), F.sum("every"), F.count("*")).first()
-    sums = tuple(float((totals[m] or 0) + totals[2] + 1) for m in range(2))
-    least = least_count(all_words, VOCABULARY)
-    vocabulary = all_words.where(F.col("every") >= least).toPandas()
-    words = vocabulary["w"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(words)
-    words = words[order]
-    own, ends = (np.stack([np.append(0.0, vocabulary[c].to_numpy(float)[order]) for c in names]) for names in (("target", "every"), ("target_ends", "every_ends")))
-    unigram = (own + 1) / np.array(sums)[:, None]
-    unigram[:, 0] = 1 - unigram[:, 1:].sum(axis=1)
-
-    counts = written(_counted(docs, _pair_columns, ["v", "w"], ["target", "every"]), "pair-counts")
-    real = F.col("v") != int(START)
-    # a pair is at most as frequent as its words, so the words of a pair from here on are frequent too
-    least = max(least, least_count(counts.where(real), PAIRS))
-    pairs = counts.where(real & (F.col("every") >= least)).toPandas()
-    keys = np.zeros(0, np.int64)
-    if len(pairs):
-        v, w = (np.searchsorted(words, pairs[c].to_numpy(np.int64).view(np.uint64)) + 1 for c in ("v", "w"))
-        keys = (v << 16 | w).astype(np.int64)
-    order = np.argsort(keys)
-    pair_counts = np.stack([pairs[c].to_numpy(float)[order] for c in ("target", "every")])
-    return Models(words, unigram, own, own - ends, keys[order], pair_counts, sums, all_words, counts.where(~real | (F.col("every") < least)))
-
-
-def _pair_losses(pairs: DataFrame, models: Models) -> DataFrame:
-    """(v, w, target_loss, background_loss) of rows (v, w, target, every)."""
-    names = ("target", "every")
-    after = models.all_words.select("w", *(F.col(c).alias(f"w_{c}") for c in names))
-    before = models.all_words.select(F.col("w").alias("v"), *(F.col(c).alias(f"v_{c}") for c in (*names, "target_ends", "every_ends")))
-    has = pairs.join(after, "w", "left").join(before, "v", "left")
-
-    def loss(c: str, total: float) -> Column:
-        n = lambda x: F.coalesce(F.col(x), F.lit(0)).cast("double")
-        p = (n(f"w_{c}") + 1) / F.lit(total)
-        return -F.log(F.when(F.col("v") == int(START), p).otherwise((F.col(c) + (F.lit(SMOOTHING) + n(f"v_{c}_ends")) * p) / (n(f"v_{c}") + SMOOTHING)))
-
-    return has.select("v", "w", loss("target", models.sums[0]).alias("target_loss"), loss("every", models.sums[1]).alias("background_loss"))
+def losses(block: Block, word_totals: np.ndarray, pair_totals: np.ndarray, at: np.ndarray, which: np.ndarray, sums: tuple[float, float]) -> np.ndarray:
+    """(2, places): the loss of every word under the target and the background."""
+    out = np.zeros((2, len(block.places)))
+    v, w = block.places[at - 1], block.places[at]
+    for m in range(2):
+        p = (word_totals[m] + 1) / sums[m]
+        out[m] = -np.log(p[block.places])
+        c, ends = word_totals[m], word_totals[2 + m]
+        out[m, at] = -np.log((pair_totals[m, which] + (SMOOTHING + ends[v]) * p[w]) / (c[v] + SMOOTHING))
+    return out
 
 
 def score(docs: DataFrame, models: Models, counted: bool = False) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss and score of every row; ``counted`` if ``docs`` are those of the models."""
-    arrays = replace(models, all_words=None, all_pairs=None)
-    shared = docs.sparkSession.sparkContext.broadcast(arrays)  # bounded by VOCABULARY and PAIRS
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text")
+    spark = docs.sparkSession
+    asking = models.blocks
+    if not counted:
+        with arrow_rows(spark, TEXT_ROWS):
+            asking = written(block_table(docs.select("doc_id", "text", F.lit(False).alias("is_target")), asks=True, counts=False), "asking")
+    every = models.blocks if counted else models.blocks.withColumn("asks", F.lit(False)).unionByName(asking)
+    places = every.agg(F.sum("n_places")).first()[0] or 0
+    bits = min(40, max(0, int(places // PART_ROWS).bit_length()))
+    with arrow_rows(spark, BLOCK_ROWS, PART_BATCH):
+        words = written(_totals(_sent(every, False, bits), WORD_COUNTS), "words")
+        pairs = written(_totals(_sent(every, True, bits), PAIR_COUNTS), "pairs")
+    distinct = words.agg(F.sum("found")).first()[0] or 0
+    sums = tuple(float(n + distinct + 1) for n in models.words)
+    header = asking.select("block", F.lit(0).alias("kind"), "counts", "doc_ids", "sizes", "targets", "words", "places")
+    parts = [t.where("block is not null").select("block", F.lit(k).alias("kind"), F.col("keys").alias("words"), F.col("counts").alias("places")) for k, t in ((1, words), (2, pairs))]
+    rows = header.unionByName(parts[0], allowMissingColumns=True).unionByName(parts[1], allowMissingColumns=True)
+
+    def scored(rows: list[dict]) -> pa.RecordBatch:
+        head = rows[0]
+        block = Block(head["sizes"], head["targets"], head["words"], head["places"], head["counts"])
+        keys, pair_totals, at, which = block.pairs()
+        word_totals = block.word_counts()
+        for r in rows[1:]:
+            own, totals, columns = (block.words, word_totals, WORD_COUNTS) if r["kind"] == 1 else (keys, pair_totals, PAIR_COUNTS)
+            totals[:, np.searchsorted(own, unpacked(r["words"]))] = as_counts(r["places"], columns)
+        by_place = losses(block, word_totals, pair_totals, at, which, sums)
+        text = np.repeat(np.arange(len(block.sizes)), block.sizes)
+        target, every = (np.bincount(text, x, len(block.sizes)) / np.maximum(block.sizes, 1) for x in by_place)
+        return pa.RecordBatch.from_arrays([pa.array(head["doc_ids"], pa.int64()), pa.array(block.sizes), *map(pa.array, (target, every, target - every))], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    def here(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []
         for batch in batches:
-            for first, buf, bounds in blocks(batch.column("text")):
-                w = Words(buf, bounds, lower=True)
-                losses, open_ = m.losses(w)
-                columns = [pa.array(w.counts.astype(np.int64)), pa.array(np.bincount(w.text, open_, w.n_texts)), *(pa.array(np.bincount(w.text, x, w.n_texts)) for x in losses)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, w.n_texts) for c in ("doc_id", "key")), *columns], ["doc_id", "key", "n_tokens", "open", "t", "b"])
-
-    def opened(part: int) -> DataFrame:
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            m = shared.value
-            for batch in batches:
-                ids = batch.column("key").to_numpy()
-                for first, buf, bounds in blocks(batch.column("text")):
-                    w = Words(buf, bounds, lower=True)
-                    v = _before(w)
-                    at = np.flatnonzero(~m.found(w)[3] & ((v + w.hashes) % np.uint64(SLICES) == part))
-                    order = at[np.argsort(v[at], kind="stable")]
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[first + w.text[order]]), pa.array(v[order].view(np.int64)), pa.array(w.hashes[order].view(np.int64))], ["key", "v", "w"])
-
-        return keyed.select("key", "text").mapInArrow(run, "key long, v long, w long")
-
-    pairs = models.all_pairs
-    rest: DataFrame | None = None
-    for part in range(SLICES):
-        asked = opened(part)
-        # the same sum modulo 2**64, modulo a power of two
-        of = pairs.where(F.expr(f"((v & {SLICES - 1}) + (w & {SLICES - 1})) & {SLICES - 1}") == part)
-        if not counted:
-            blank = asked.select("v", "w", F.lit(0).cast("long").alias("target"), F.lit(0).cast("long").alias("every"))
-            of = of.unionByName(blank).groupBy("v", "w").agg(F.sum("target").alias("target"), F.sum("every").alias("every"))
-        sums = asked.join(_pair_losses(of, models), ["v", "w"]).groupBy("key").agg(F.count("*").alias("n"), F.sum("target_loss").alias("t"), F.sum("background_loss").alias("b"))
-        sums = written(sums, "open-losses")
-        rest = sums if rest is None else rest.unionByName(sums)
-        rest = rest.groupBy("key").agg(*(F.sum(c).alias(f"rest_{c}") for c in "ntb"))
-    rows = keyed.mapInArrow(here, "doc_id long, key long, n_tokens long, open double, t double, b double").join(rest, "key", "left")
-    # texts that are equal share a key, so the sums of their open places are as many times too large
-    mean = lambda c: F.coalesce((F.col(c) + F.coalesce(F.col(f"rest_{c}") / F.col("rest_n") * F.col("open"), F.lit(0.0))) / F.nullif(F.col("n_tokens"), F.lit(0)), F.lit(0.0))
-    out = rows.select("doc_id", "n_tokens", mean("t").alias("target_loss"), mean("b").alias("background_loss"))
-    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+            for row in batch.to_pylist():
+                if held and row["block"] != held[0]["block"]:
+                    yield scored(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield scored(held)
+
+    dealt = rows.repartition("block").sortWithinPartitions("block", "kind")
+    with arrow_rows(spark, PART_BATCH, BLOCK_ROWS):
+        return written(dealt.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double"), "scores", keep=True)
 
 
 def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -271,4 +279,4 @@ def with_target(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_target(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     with scratch(spark):
-        return written(score(docs, fit(docs), counted=True), "scores", keep=True)
+        return score(docs, fit(docs), counted=True)

@@ -1,3 +1,4 @@
+import functools
 import re
 
 import numpy as np
@@ -26,8 +27,9 @@ def test_base_spans_match_the_patterns():
         assert pt.base_spans(t) == slow_base(t), t
 
 
+@functools.cache
 def tagger():
-    return pt.train(pt.training_windows([]), steps=140)
+    return pt.train(pt.training_windows([]))
 
 
 def test_tagger_adds_spans_and_redacts(spark, odd_docs, no_docs):
@@ -42,17 +44,92 @@ def test_tagger_adds_spans_and_redacts(spark, odd_docs, no_docs):
     assert out.columns == docs.columns and out.where("text like '%a@b.co'").count() == 0 and out.where("text is null").count() == 1
 
 
-def test_long_texts_are_tiled_and_skipping_is_exact():
+def test_long_stretches_are_tiled_and_decoded_across_windows():
     model = tagger()
-    text = "lorem ipsum dolor sit amet, " * 60
+    text = "lorem 12 ipsum dolor 7 sit amet, 3 " * 60
     item = " 4111 1111 1111 1111 "
-    for at in (440, 470, 500, 530, 900):
+    for at in (420, 455, 490, 525, 875):
+        at = text.index(" ipsum", at)
         t = text[:at] + item + text[at:]
         labels = pt.label_texts(model, [t])[0]
-        assert (labels[at : at + len(item)] > 0).mean() > 0.6 and len(set(labels[at + 2 : at + 18])) <= 2, at
-    codes = np.stack([pt.classes(text[k : k + 200]) for k in range(40)], axis=1)
-    e = pt.emissions(model, codes)
-    assert not pt.viterbi(e, model.transitions)[:, ~pt.may_leave(e, model.transitions)].any()
+        assert (labels[at + 1 : at + 20] > 0).mean() > 0.6 and len(set(labels[at + 4 : at + 16])) <= 2, at
+
+
+def test_spans_do_not_depend_on_the_batch():
+    import random
+
+    model, rng = tagger(), random.Random(8)
+    pick = lambda: rng.choice(["port 0073 952 726 4015", "(555) 010-2345", "4111.1111.1111.1111", "a (at) b.org", "12", "no digits here", "10.0.0.1", "2023-01-02", "@"])
+    texts = [" ".join(rng.choice([pick(), "word", "and so on, as it was"]) for _ in range(rng.randint(0, 40))) for _ in range(150)]
+    alone = [pt.all_spans(model, [t])[0] for t in texts]
+    assert pt.all_spans(model, [*texts, " ".join(texts) * 3])[:-1] == alone
+    assert pt.all_spans(model, texts[::-1])[::-1] == alone
+
+
+def test_gradients_match_differences():
+    model = pt.new_tagger(hidden=3)
+    for q in (model.tables, model.recurrent):
+        q[:] = [x.astype(np.float64) for x in q]
+    rng = np.random.default_rng(1)
+    codes, gold = rng.integers(0, pt.N_CLASSES, (6, 4)).astype(np.uint8), rng.integers(0, 5, (6, 4)).astype(np.uint8)
+
+    def likelihood():
+        from itertools import product
+
+        e = pt.emissions(model, codes, np.full(4, 6)).astype(np.float64)
+        total = 0.0
+        for b in range(4):
+            of = lambda p: sum(e[i, b, y] for i, y in enumerate(p)) + sum(model.transitions[x, y] for x, y in zip(p, p[1:], strict=False))  # noqa: B023, E731
+            total += of(gold[:, b]) - np.log(sum(np.exp(of(p)) for p in product(range(5), repeat=6)))
+        return total / 4
+
+    grads = pt._loss_gradients(model, codes, gold)
+    for q, g in zip(model.params(), grads, strict=True):
+        for at in [tuple(int(rng.integers(0, s)) for s in q.shape) for _ in range(3)]:
+            before, step = q[at], 0.02
+            q[at] = before + step
+            up = likelihood()
+            q[at] = before - step
+            down = likelihood()
+            q[at] = before
+            assert abs((up - down) / (2 * step) - g[at]) < 2e-3 + 0.03 * abs(g[at])
+
+
+def held_out_items(model, n=600):
+    """(precision, recall) of added spans on generated items that no rule of the base finds, between words of unseen texts."""
+    rng = np.random.default_rng(99)
+    words = "the report that she left on a shelf near number seven was read by nobody until room 12 closed in May, then by all".split()
+    hit = wanted = added = 0
+    for _ in range(n):
+        kind, item = pt.generated_item(rng)
+        lead, tail = (" ".join(words[int(k)] for k in rng.integers(0, len(words), 12)) for _ in range(2))
+        text = f"{lead} {item} {tail}"
+        base, every = pt.all_spans(model, [text])[0]
+        new = [s for s in every if s not in base]
+        good = kind and not base
+        wanted += bool(good)
+        added += len(new)
+        hit += sum(1 for k, a, b in new if good and k == kind - 1 and a <= len(lead) + 1 and b >= len(lead) + 1 + len(item))
+    return hit / max(added, 1), hit / max(wanted, 1)
+
+
+def test_added_spans_on_held_out_items(spark):
+    model = pt.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    precision, recall = held_out_items(model)
+    print(f"added spans: precision {precision:.3f}, recall {recall:.3f}")
+    assert precision > 0.9 and recall > 0.8
+
+
+def test_base_columns_of_the_query_match_the_patterns(spark):
+    import hashlib
+
+    d = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{d}/documents.parquet").collect()}
+    for r in pt.op9_pii_tagger(spark, d).collect():
+        spans = slow_base(texts[r["doc_id"]])
+        assert [r[f"n_{k}"] for k in pt.KINDS] == [sum(s[0] == i for s in spans) for i in range(4)]
+        assert r["base_sha256"] == hashlib.sha256(",".join(f"{pt.KINDS[k]}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+        assert {f"{pt.KINDS[k]}:{a}:{b}" for k, a, b in spans} <= set(r["spans"].split(","))
 
 
 def test_forward_backward_matches_enumeration():
@@ -65,6 +142,37 @@ def test_forward_backward_matches_enumeration():
     want = np.array([[w[[p[i] == y for p in paths]].sum() for y in range(3)] for i in range(4)]) / w.sum()
     gamma, pairs = lc.forward_backward(e, np.ones((1, 4), bool), tr)
     assert np.allclose(gamma[0], want) and np.isclose(pairs.sum(), 3)
+    counts = np.zeros((3, 3))
+    for p, x in zip(paths, w / w.sum(), strict=True):
+        for a, b in zip(p, p[1:], strict=False):
+            counts[a, b] += x
+    assert np.allclose(pairs, counts)
+
+
+def test_expected_transitions_of_many_and_long_chains():
+    rng = np.random.default_rng(2)
+    e, tr = rng.normal(size=(400, 200, 3)), rng.normal(size=(3, 3))
+    lengths = rng.integers(1, 201, 400)
+    mask = np.arange(200) < lengths[:, None]
+    gamma, pairs = lc.forward_backward(e, mask, tr)  # 80,000 words and padding
+    assert np.isclose(pairs.sum(), (lengths - 1).sum()) and np.allclose(gamma.sum(axis=2), mask)
+    one = [lc.forward_backward(e[k : k + 1, :n], np.ones((1, n), bool), tr) for k, n in enumerate(lengths[:30])]
+    assert all(np.allclose(g[0], gamma[k, : lengths[k]]) for k, (g, _) in enumerate(one))
+
+
+def test_a_text_is_one_chain():
+    from ligatura.llm.textkit import Words
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 4)) for _ in range(n)) for n in (3, 500, 0, 70, 1, 130)]
+    crf = lc.fit_crf(["the cat sat on the mat there", "der hund lief in den wald dort"] * 4, ["en", "de"] * 4, steps=20)
+    buf = "".join(texts).encode()
+    w = Words(np.frombuffer(buf, np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]), lower=True)
+    got, e = lc.label_words(crf, w), crf.emissions(lc.word_features(w))
+    for first, n in zip(w.first, w.counts, strict=True):
+        if n:
+            want, _ = lc.forward_backward(e[None, first : first + n].astype(float), np.ones((1, n), bool), crf.transitions)
+            assert np.allclose(got[first : first + n], want[0])
 
 
 def test_language_edge_cases(spark, odd_docs, no_docs):
@@ -94,40 +202,46 @@ def test_language_held_out_accuracy_and_code_switching(spark):
     assert (best[:10] == "en").mean() > 0.8 and (best[-10:] == "de").mean() > 0.8
 
 
-def test_lm_sums_to_one_and_edge_cases(spark, odd_docs, no_docs):
+def slow_lm(rows, target):
+    """(doc_id, n, target loss, background loss) by dictionaries, over (doc_id, text) rows."""
+    from collections import Counter
+    from math import log
+
+    cut = [(i, [x for x in re.split(r"[\x20\x09-\x0D]+", t or "") if x]) for i, t in ((i, None if t is None else "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)) for i, t in rows)]
+    models = []
+    for chosen in ([w for i, w in cut if i in target], [w for _, w in cut]):
+        models.append((Counter(x for w in chosen for x in w), Counter(p for w in chosen for p in zip(w, w[1:], strict=False)), Counter(w[-1] for w in chosen if w)))
+    distinct = len(models[1][0])
+    out = []
+    for i, w in cut:
+        both = []
+        for one, two, ends in models:
+            p = lambda x: (one[x] + 1) / (sum(one.values()) + distinct + 1)  # noqa: B023, E731
+            loss = [-log(p(x)) for x in w[:1]] + [-log((two[v, x] + (lm.SMOOTHING + ends[v]) * p(x)) / (one[v] + lm.SMOOTHING)) for v, x in zip(w, w[1:], strict=False)]
+            both.append(sum(loss) / max(len(w), 1))
+        out.append((i or -1, len(w), *both))
+    return sorted(out)
+
+
+def test_lm_matches_counting_by_dictionaries(spark, odd_docs, no_docs, monkeypatch):
     labels = odd_docs.where("doc_id >= 20").select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
     docs = lm.with_target(odd_docs.withColumn("is_target", F.lit("x")), labels).cache()
-    models = lm.fit(docs)
-    assert np.allclose(models.unigram.sum(axis=1), 1)
-    ids = np.arange(models.unigram.shape[1])
-    for v in (0, 1, 5):
-        for m in range(2):
-            pair = np.zeros(len(ids))
-            own = (models.pairs >> 16) == v
-            pair[models.pairs[own] & 0xFFFF] = models.pair_counts[m, own]
-            c, k = models.history[m, v], models.kept[m, v]
-            assert np.isclose(((pair + (lm.SMOOTHING + c - k) * models.unigram[m]) / (c + lm.SMOOTHING)).sum(), 1)
-    rows = lm.score(docs, models).collect()
-    assert len(rows) == odd_docs.count() and all(r["score"] == 0 for r in rows if r["n_tokens"] == 0)
+    want = slow_lm([(r["doc_id"], r["text"]) for r in odd_docs.collect()], {r["doc_id"] for r in labels.where("toxic = 0").collect()})
+
+    def scores(counted):
+        rows = lm.score(docs, lm.fit(docs), counted).collect()
+        assert all(np.isclose(r["score"], r["target_loss"] - r["background_loss"]) for r in rows) and all(r["score"] == 0 for r in rows if r["n_tokens"] == 0)
+        return np.array(sorted((r["doc_id"] or -1, r["n_tokens"], r["target_loss"], r["background_loss"]) for r in rows))
+
+    assert np.allclose(scores(True), want)
+    monkeypatch.setattr(lm, "BLOCK_WORDS", 60)  # many blocks and parts give the same
+    monkeypatch.setattr(lm, "PART_ROWS", 50)
+    assert np.allclose(scores(True), want) and np.allclose(scores(False), want)
     empty = lm.fit(lm.with_target(no_docs, labels.limit(0)))
-    assert lm.score(docs, empty).count() == len(rows)
+    assert lm.score(docs, empty).count() == len(want) and lm.score(no_docs, lm.fit(docs)).count() == 0
 
 
 def test_lm_prefers_the_target(spark):
     m = lm.op4_lm_scoring(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").toPandas()
     good = m[(m["quality"] == 1) & (m["toxic"] == 0)]["score"].median()
     assert good < m[m["quality"] == 0]["score"].median()
-
-
-def test_lm_scores_do_not_depend_on_what_is_broadcast(spark, odd_docs, monkeypatch):
-    labels = odd_docs.where("doc_id >= 20").select("doc_id", F.lit(1).alias("quality"), (F.col("doc_id") % 2).cast("int").alias("toxic"))
-    docs = lm.with_target(odd_docs, labels).cache()
-
-    def scores():
-        models = lm.fit(docs)
-        return [sorted(((r["doc_id"] or -1, r["n_tokens"], round(r["target_loss"], 9), round(r["score"], 9)) for r in lm.score(docs, models, counted).collect())) for counted in (True, False)]
-
-    whole = scores()
-    monkeypatch.setattr(lm, "VOCABULARY", 40)
-    monkeypatch.setattr(lm, "PAIRS", 60)
-    assert scores() == whole and whole[0] == whole[1]
