@@ -428,9 +428,9 @@ class _Search:
                 return self.take(now)
             few = large.count() <= BROADCAST_IDS
             large = F.broadcast(large) if few else large
-            self.take(now.join(large.select("node"), "node", "left_anti").unionByName(with_pivot(now.join(large, "node"))))
-            now = first_nodes(placed(self.entries, self.comp), threshold, trees) if nodes is None else placed(nodes, self.comp)
-            now = written(now.join(large, "node"), "nodes")
+            apart = written(now.join(large, "node"), "nodes")  # used again and again
+            self.take(now.join(large.select("node"), "node", "left_anti").unionByName(with_pivot(apart)))
+            now = placed(apart.drop("comp"), self.comp)
             mixed = written(now.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high").select("node"), "mixed")
             if mixed.isEmpty():
                 return None
