@@ -2,14 +2,17 @@
 
 Each task tokenises its documents and works on shards of at most ``shard_tokens`` ids (or one longer document). A shard
 has a BM25 inverted index over its own documents: postings sorted by term, with impacts precomputed from term
-frequencies, lengths and the shard's document frequencies. Greedily, the longest unused document is the seed; its
-highest-idf terms are looked up, and the unused neighbours of highest BM25 score follow it until the window of 4,096 ids
-is full. The document that crosses the window's end is cut, and its rest seeds the next window, so windows hold no
-padding. What the last window of a shard lacks is filled from the next shard; at the end of a task the rest is cut into
+frequencies, lengths and the shard's document frequencies, as whole 64ths so that sums are exact. Greedily, the longest
+unused document is the seed; all its terms are looked up, and the unused neighbours of highest BM25 score follow it until
+the window of 4,096 ids is full or no unused document shares a term with the seed. The document that crosses the window's
+end is cut, and its rest seeds the next window, so windows hold no padding. Terms that an eighth of the unused documents
+hold are kept as dense rows, the others as postings; when half of the indexed documents are used, the index is cut down to
+the rest, so that a lookup costs what is left to find, also in a shard of very many very short texts. What the last window of a shard lacks is filled from the next shard; at the end of a task the rest is cut into
 windows of powers of two, which need no padding either. There is no shuffle, and memory is bounded by a shard.
 
-Nulls and edge cases: a null or empty text is one piece, its end id; ties in length or score go to the document that
-comes first; repeated rows are documents of their own; an empty table has no pieces; other columns are ignored.
+Nulls and edge cases: a null or empty text is one piece, its end id; a very long text spans many windows; a null doc_id
+is packed like any other; ties in length or score go to the document that comes first; repeated rows are documents of
+their own; an empty table has no pieces; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ from ligatura.llm.tokens import END_ID, crc32, text_slices, worker_cache
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 SHARD_TOKENS = 2_000_000
-QUERY_TERMS = 32
 K1, B = 1.2, 0.75
+#: Steps of an impact; a term that one in so many documents holds has a dense row; neighbours ranked at first.
+STEPS, COMMON, FIRST_RANKED = 64, 8, 64
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -42,27 +46,55 @@ class ShardIndex:
         key, tf = np.unique((doc << 16) | ids, return_counts=True)
         self.doc_of, self.term_of = key >> 16, key & 0xFFFF
         self.doc_first = np.searchsorted(self.doc_of, np.arange(n + 1))
-        order = np.argsort(self.term_of, kind="stable")
         size = np.diff(bounds)
         norm = K1 * (1 - B + B * size / max(size.mean(), 1))
         df = np.bincount(self.term_of, minlength=1 << 16)
-        self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        impact = self.idf[self.term_of] * tf * (K1 + 1) / (tf + norm[self.doc_of])
-        self.post_doc, self.post_impact = self.doc_of[order], impact[order]
-        self.post_first = np.concatenate([[0], np.cumsum(df)])
+        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        self.impact = np.rint(STEPS * idf[self.term_of] * tf * (K1 + 1) / (tf + norm[self.doc_of]))
         self.n = n
-
-    def neighbours(self, seed: int, free: np.ndarray, most: int) -> np.ndarray:
-        """The up to ``most`` free documents that score best for the seed's rarest terms, best first."""
+        self._index(np.ones(n, bool))
+
+    def _index(self, free: np.ndarray) -> None:
+        """Postings and dense rows of the documents that are free."""
+        keep = free[self.doc_of]
+        self.docs, place = np.flatnonzero(free), np.cumsum(free) - 1
+        order = np.argsort(self.term_of[keep], kind="stable")
+        term = self.term_of[keep][order]
+        self.post_doc, self.post_impact = place[self.doc_of[keep][order]], self.impact[keep][order]
+        df = np.bincount(term, minlength=1 << 16)
+        self.post_first = np.concatenate([[0], np.cumsum(df)])
+        common = np.flatnonzero(df * COMMON > len(self.docs))
+        self.row = np.full(1 << 16, -1)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), len(self.docs)), np.float32)  # whole numbers far below 2**24: sums are exact
+        inside = self.row[term] >= 0
+        self.dense[self.row[term[inside]], self.post_doc[inside]] = self.post_impact[inside]
+
+    def neighbours(self, seed: int, free: np.ndarray) -> Iterator[int]:
+        """All free documents that share a term with the seed, those of the highest score first."""
+        if 2 * free.sum() < len(self.docs):
+            self._index(free)
         terms = self.term_of[self.doc_first[seed] : self.doc_first[seed + 1]]
-        terms = terms[np.argsort(-self.idf[terms], kind="stable")[:QUERY_TERMS]]
-        score = np.zeros(self.n)
-        for t in terms:
-            a, b = self.post_first[t], self.post_first[t + 1]
-            score[self.post_doc[a:b]] += self.post_impact[a:b]
-        score[~free] = 0
-        found = np.flatnonzero(score)
-        return found[np.lexsort((found, -score[found]))[:most]]
+        common = self.row[terms]
+        rare = terms[common < 0]
+        first, count = self.post_first[rare], self.post_first[rare + 1] - self.post_first[rare]
+        at = np.arange(int(count.sum())) + np.repeat(first - (np.cumsum(count) - count), count)
+        if (common >= 0).any():
+            asked = np.zeros(len(self.dense), np.float32)
+            asked[common[common >= 0]] = 1
+            score = asked @ self.dense + np.bincount(self.post_doc[at], self.post_impact[at], len(self.docs))
+            found = np.flatnonzero((score > 0) & free[self.docs])
+            score = score[found]
+        else:
+            found, place = np.unique(self.post_doc[at], return_inverse=True)
+            score = np.bincount(place, self.post_impact[at], len(found))
+            ok = (score > 0) & free[self.docs[found]]
+            found, score = found[ok], score[ok]
+        wanted = FIRST_RANKED
+        while len(found):  # ranked as far as they are asked for
+            best = np.ones(len(found), bool) if len(found) <= wanted else score >= np.partition(score, len(found) - wanted)[len(found) - wanted]
+            yield from self.docs[found[best][np.lexsort((found[best], -score[best]))]].tolist()
+            found, score, wanted = found[~best], score[~best], wanted * 4
 
 
 def order_by_retrieval(ids: np.ndarray, bounds: np.ndarray, room: int) -> list[int]:
@@ -84,12 +116,12 @@ def order_by_retrieval(ids: np.ndarray, bounds: np.ndarray, room: int) -> list[i
         if room <= 0:  # the seed's own windows; its rest opens the next
             room = WINDOW - (-room) % WINDOW
         following = -1
-        for d in index.neighbours(seed, free, 64):
-            out.append(int(d))
+        for d in index.neighbours(seed, free):
+            out.append(d)
             free[d] = False
             room -= int(size[d])
             if room <= 0:
-                following = int(d) if room < 0 else -1
+                following = d if room < 0 else -1
                 room = WINDOW - (-room) % WINDOW
                 break
         seed = following

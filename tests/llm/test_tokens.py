@@ -48,6 +48,10 @@ def test_query_offsets(spark):
 def test_packing_is_a_partition(spark, odd_docs, no_docs, shard_tokens):
     assert rp.pack(no_docs).count() == 0
     docs = odd_docs.where("doc_id is not null and doc_id <> 5")
+    every = rp.pack(odd_docs.withColumn("offset", odd_docs.source), shard_tokens=shard_tokens).toPandas()
+    assert every[every["doc_id"].isna()]["start"].tolist()[:1] == [0] and (every[every["doc_id"] == 5]["start"] == 0).sum() == 2  # null and repeated ids are packed
+    twice = every[every["doc_id"] == 5]
+    assert twice["length"].sum() == 2 * twice["doc_tokens"].iloc[0]
     pieces = rp.pack(docs.withColumn("offset", docs.source), shard_tokens=shard_tokens).toPandas()
     library = Tokenizer.from_file(tk.tokenizer_path("word_bpe_49k.json"))
     for r in docs.collect():
@@ -68,3 +72,45 @@ def test_neighbours_follow_their_seed():
     bounds = np.array([0, 6, 10, 15, 18])
     assert rp.order_by_retrieval(ids, bounds, 4096)[:2] == [0, 2]
     assert sorted(rp.order_by_retrieval(ids, bounds, 4096)) == [0, 1, 2, 3]
+
+
+def slow_order(ids, bounds, room):
+    """The packing order by BM25 over dictionaries, all terms and all neighbours."""
+    from collections import Counter
+    from math import log1p
+
+    docs = [Counter(ids[a:b].tolist()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    size = np.diff(bounds).tolist()
+    df, n, mean = Counter(t for d in docs for t in d), len(docs), max(sum(size) / len(size), 1)
+    impact = lambda t, k: np.rint(rp.STEPS * log1p((n - df[t] + 0.5) / (df[t] + 0.5)) * docs[k][t] * (rp.K1 + 1) / (docs[k][t] + rp.K1 * (1 - rp.B + rp.B * size[k] / mean)))
+    out, seed = [], None
+    while len(out) < n:
+        if seed is None:
+            seed = min((k for k in range(n) if k not in out), key=lambda k: (-size[k], k))
+            out.append(seed)
+            room -= size[seed]
+        if room <= 0:
+            room = rp.WINDOW - (-room) % rp.WINDOW
+        score = {k: sum(impact(t, k) for t in docs[seed] if t in docs[k]) for k in range(n) if k not in out}
+        following = None
+        for k in sorted((k for k in score if score[k] > 0), key=lambda k: (-score[k], k)):
+            out.append(k)
+            room -= size[k]
+            if room <= 0:
+                following = k if room < 0 else None
+                room = rp.WINDOW - (-room) % rp.WINDOW
+                break
+        seed = following
+    return out
+
+
+@pytest.mark.parametrize(("vocabulary", "window", "common"), [(40, 64, 8), (400, 200, 8), (40, 64, 2), (3000, 100, 1), (100, 4096, 8)])
+def test_order_equals_slow_bm25(monkeypatch, vocabulary, window, common):
+    monkeypatch.setattr(rp, "WINDOW", window)
+    monkeypatch.setattr(rp, "COMMON", common)
+    monkeypatch.setattr(rp, "FIRST_RANKED", 3)
+    rng = np.random.default_rng(vocabulary)
+    sizes = rng.integers(1, 40, 120)
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    ids = (rng.zipf(1.3, bounds[-1]) % vocabulary + 3).astype(np.uint16)
+    assert rp.order_by_retrieval(ids, bounds, window) == slow_order(ids, bounds, window)
