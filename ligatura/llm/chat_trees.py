@@ -11,7 +11,9 @@ between ``<`` and ``|``, and reading takes one away. Roles also have ``%`` and l
 
 Nulls and edge cases: null roles and texts are empty; a null conversation id is a conversation of its own; an unknown or
 null parent makes a root; nodes on a cycle lose their parent and so become roots; repeated node ids keep the row that is
-smallest by (role, text); equal turns of the query are ordered by role and text; equal branch scores by leaf id.
+smallest by (role, text); equal turns of the query are ordered by role and text; equal branch scores by leaf id; a very
+long text is one turn like any other; an empty table has no conversations (the query's own conversation -1 remains); other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +83,18 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def mapped_rows(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """``docs`` through ``run``, which gets and gives batches of the columns of ``docs``, whatever their names."""
+    names = docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
+
+    def named(batches: Iterator[pa.RecordBatch], to: list[str]) -> Iterator[pa.RecordBatch]:
+        return (pa.RecordBatch.from_arrays(b.columns, to) for b in batches)
+
+    own = plain.columns
+    return plain.mapInArrow(lambda batches: named(run(named(batches, names)), own), plain.schema).toDF(*names)
+
+
 def joined_evenly(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``left`` (a written table) with the columns of ``right``, an aggregate by ``key``.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import table
+from ligatura.llm.common import mapped_rows, table
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW, OVERLAP, REACH = 512, 128, 128
@@ -482,7 +482,6 @@ def redact_text(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def redact(docs: DataFrame, model: Tagger) -> DataFrame:
     """``docs`` with personal data replaced in ``text`` (and n_chars, if there, counted anew)."""
-    schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -500,7 +499,7 @@ def redact(docs: DataFrame, model: Tagger) -> DataFrame:
                 columns["n_chars"] = pa.array([len(t) if c else o for t, c, o in zip(new, changed, old, strict=True)], batch.schema.field("n_chars").type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.mapInArrow(run, schema)
+    return mapped_rows(docs, run)
 
 
 def op9_pii_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,10 @@ Ridge scores of labelled rows that the fit did not see are counted in 512 score
 the bins gives the monotone calibration.
 
 Labels come only from rows whose crc32 remainder modulo 5 is not 0; of these, remainder 1 calibrates and the rest fit.
-Nulls and edge cases: null text is empty and is scored like any text; null labels or ids train nothing; a document
-labelled twice counts twice; with labels of one class, or none, the score is that class's share (1.0 with none).
+Nulls and edge cases: null text is empty and is scored like any text, a very long one whole; null labels or ids train
+nothing; a document labelled twice counts twice; equal statistics get equal scores, so ties and repeated rows agree; with
+labels of one class, or none, the score is that class's share (1.0 with none); an empty table gives no rows; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations

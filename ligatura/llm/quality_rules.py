@@ -5,9 +5,11 @@ histogram trees with a logistic loss on the driver. Chosen features are monotoni
 with symbols, repeats, capitals and the like is refused, and bounds handed down to the children keep whole trees
 monotonic. The trees are flattened into node arrays, and all documents are scored in one pass of array lookups.
 
-Nulls and edge cases: a null text counts as an empty one; an empty text has no words and fails the base rules; a null
-label is no label; repeated labels of a document count once each; with no usable labels the verdict is "keep" and only
-the base rules decide; repeated rows are judged one by one; other columns of the input pass ``filter_documents`` untouched.
+Nulls and edge cases: a null text counts as an empty one; an empty text has no words and fails the base rules; a very long
+text is read whole; a null label is no label; repeated labels of a document count once each, and of all rows of repeated
+ids at most ``sample_rows`` train; a score at the threshold keeps; with no usable labels the verdict is "keep" and only
+the base rules decide; repeated rows are judged one by one, alike; an empty table gives no rows; other columns of the input
+pass ``filter_documents`` untouched, whatever their names.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import is_remainder, table
+from ligatura.llm.common import is_remainder, mapped_rows, table
 from ligatura.llm.docstats import BASE, FEATURES, base_counts, statistics
 from ligatura.llm.textkit import Words, blocks
 
@@ -145,7 +147,8 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, sample_rows: int) ->
                 x = statistics(w, base_counts(w))
                 yield pa.RecordBatch.from_arrays([batch.column("label").slice(first, len(x)), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
 
-    rows = got.select("text", "label").mapInArrow(stats, schema).toPandas()
+    # repeated ids in the documents don't add rows: the bound holds for what comes to the driver
+    rows = got.select("text", "label").mapInArrow(stats, schema).orderBy(F.xxhash64("x"), "label").limit(sample_rows).toPandas()
     x = np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, len(FEATURES)))
     order = np.lexsort((*x.T, rows["label"].to_numpy()))
     return x[order], rows["label"].to_numpy()[order]
@@ -177,7 +180,6 @@ def judge(docs: DataFrame, forest: Forest, min_score: float = 0.3) -> DataFrame:
 
 def filter_documents(docs: DataFrame, forest: Forest, min_score: float = 0.3) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns: the verdict is made beside the row, without a join."""
-    schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,7 +192,7 @@ def filter_documents(docs: DataFrame, forest: Forest, min_score: float = 0.3) ->
             if keep:
                 yield batch.filter(pa.array(np.concatenate(keep)))
 
-    return docs.mapInArrow(run, schema)
+    return mapped_rows(docs, run)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,11 +8,14 @@ than five words only meets texts of exactly its words. Windows with fewer than t
 
 A document is contaminated by an item if the item's words that lie in common windows are at least half of it, or at least
 ``MIN_WORDS``, in a run of positions (a diagonal) whose slots are consistent: wherever the item repeats a slot value, the
-document repeats its own. Of an inconsistent run those windows count whose words are the item's own. The benchmark's windows are broadcast only when they are at most ``BROADCAST_WINDOWS`` (some
-tens of megabytes), else both sides are shuffled by hash.
-
-Nulls and edge cases: a null text has no words and is clean; a null item is ignored; documents are told apart by (doc_id,
-hash of the text), so repeated rows get equal rows of the result; an empty benchmark leaves all clean.
+document repeats its own. Of an inconsistent run those windows count whose words are the item's own. The benchmark's
+windows are broadcast only when they are at most ``BROADCAST_WINDOWS`` (some tens of megabytes), else both sides are
+shuffled by hash.
+
+Nulls and edge cases: a null text has no words and is clean; a null item is ignored, as is one without plain words; a very
+long text is read whole; documents are told apart by (doc_id, hash of the text), so repeated rows get equal rows of the
+result, and rows of one id with other texts their own; items of equal coverage are all listed; an empty benchmark leaves
+all clean; an empty table gives no rows; other columns are ignored by ``flag`` and kept by ``remove``, whatever their names.
 """
 
 from __future__ import annotations
@@ -91,7 +94,8 @@ def benchmark_windows(items: DataFrame, window: int) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_key", F.xxhash64("text"))
+    """doc_id, text and _key, the hash of the text, of every row."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_key"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_words: int = MIN_WORDS, min_share: float = MIN_SHARE) -> DataFrame:
@@ -99,7 +103,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_
     items = written(benchmark_items(benchmark), "items")
     targets = written(benchmark_windows(items, window), "windows")
     sizes = [r["size"] for r in targets.select("size").distinct().orderBy("size").collect()]  # at most ``window`` values
-    ids = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    ids = keyed(docs)
     empty = F.array().cast("array<struct<size:int,at:int,wh:bigint>>")
 
     def located(hashes: Column) -> Column:
@@ -149,7 +153,7 @@ def flag(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     leaks = found.groupBy("doc_id", "_key").agg(
         F.count("*").alias("n_items"), F.array_join(F.transform(F.array_sort(F.collect_set("item_id")), lambda x: x.cast("string")), ",").alias("item_ids"), F.max("coverage").alias("coverage")
     )
-    d, k = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).drop("text").alias("d"), leaks.alias("k")
+    d, k = keyed(docs).drop("text").alias("d"), leaks.alias("k")
     joined = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._key") == F.col("k._key")), "left")
     return joined.select(
         "d.doc_id", F.col("n_items").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
@@ -161,9 +165,10 @@ def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the contaminated rows, with all their columns."""
     with scratch(docs.sparkSession):
         leaks = written(find_leaks(docs, benchmark).select("doc_id", "_key").distinct(), "leaks", keep=True)
-    d, k = keyed(docs).alias("d"), leaks.alias("k")
-    kept = d.join(k, F.col("d.doc_id").cast("long").eqNullSafe(F.col("k.doc_id")) & (F.col("d._key") == F.col("k._key")), "left_anti")
-    return kept.select(*[F.col(f"d.`{c}`") for c in docs.columns])
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    d, k = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_key")).alias("d"), leaks.alias("k")
+    kept = d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")) & (F.col("d._key") == F.col("k._key")), "left_anti")
+    return kept.select("row.*")
 
 
 def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +207,13 @@ met AS (SELECT rid, item_id, pos - item_at AS shift, item_at, dw.size, item_word
 spots AS (SELECT DISTINCT rid, item_id, shift, item_words, p FROM met, unnest(range(item_at, item_at + size)) AS u(p)),
 pairs AS (SELECT DISTINCT rid, item_id, shift, i.tk[p + 1].bare AS b, d.tk[p + shift + 1].bare AS v FROM spots JOIN items i USING (item_id) JOIN d USING (rid) WHERE starts_with(i.tp[p + 1], '<')),
 clash AS (SELECT rid, item_id, shift FROM pairs GROUP BY ALL HAVING count(*) <> count(DISTINCT b)),
-total AS (SELECT rid, item_id, max(item_words) AS n, count(DISTINCT p) AS covered FROM spots ANTI JOIN clash USING (rid, item_id, shift) GROUP BY 1, 2),
+literal AS (
+  SELECT m.* FROM met m SEMI JOIN clash USING (rid, item_id, shift) JOIN items i USING (item_id) JOIN d USING (rid)
+  WHERE list_transform(i.tk[item_at + 1:item_at + m.size], lambda x: x.bare) = list_transform(d.tk[item_at + shift + 1:item_at + shift + m.size], lambda x: x.bare)),
+good AS (
+  SELECT rid, item_id, item_words, p FROM spots ANTI JOIN clash USING (rid, item_id, shift)
+  UNION SELECT rid, item_id, item_words, p FROM literal, unnest(range(item_at, item_at + literal.size)) AS u(p)),
+total AS (SELECT rid, item_id, max(item_words) AS n, count(DISTINCT p) AS covered FROM good GROUP BY 1, 2),
 leaks AS (SELECT rid, item_id, round(covered / n, 6) AS coverage FROM total WHERE covered >= {MIN_WORDS} OR round(covered / n, 6) >= {MIN_SHARE}),
 per AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS item_ids, max(coverage) AS coverage FROM leaks GROUP BY 1)
 SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, coalesce(item_ids, '') AS item_ids, coalesce(coverage, 0.0) AS coverage FROM d0 LEFT JOIN per USING (rid)

@@ -6,8 +6,9 @@ vocabulary fits one dictionary page), doc_id and the offsets delta-encoded; row
 files carry page indexes, so ``read_tokens`` of an id range or of metadata alone touches only the pages it needs.
 Global offsets aren't stored: they are the shard's place plus ``start_in_shard``, from one sum a shard.
 
-Nulls and edge cases: a null text is an empty document (the end id alone); equal doc_ids stand side by side, ordered by
-text; a null doc_id comes first; an empty table gives files without rows; other columns aren't written.
+Nulls and edge cases: a null text is an empty document (the end id alone); a very long one is one list; equal doc_ids stand
+side by side, ordered by text, repeated rows one by one; a null doc_id comes first; an empty table gives files without
+rows; other columns aren't written, whatever their names.
 """
 
 from __future__ import annotations

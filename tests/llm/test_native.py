@@ -75,8 +75,35 @@ def test_short_items_repeats_and_empty_tables(spark):
     got = flags(spark, [short, short + " delta", short], [(1, short)])
     assert [got[k]["contaminated"] for k in range(3)] == [True, False, True]
     docs = spark.createDataFrame([(5, ITEM, 1), (5, ITEM, 1), (None, ITEM, 2), (None, "clean words here", 3)], "doc_id long, text string, _extra int")
+    named = docs.withColumns({"_key": F.lit("mine"), "row": F.lit(1), "item_id": F.lit(7), "a.b": F.lit("x")})
+    left = td.remove(named, spark.createDataFrame([(1, ITEM)], BENCH))
+    assert left.columns == named.columns and [tuple(r) for r in left.collect()] == [(None, "clean words here", 3, "mine", 1, 7, "x")]
     bench = spark.createDataFrame([(1, ITEM)], BENCH)
     assert td.flag(docs, bench).where("contaminated").count() == 3
     assert [r["_extra"] for r in td.remove(docs, bench).collect()] == [3] and td.remove(docs, bench).columns == docs.columns
     assert td.flag(docs, bench.limit(0)).where("contaminated").count() == 0
     assert td.flag(docs.limit(0), bench).count() == 0
+
+
+def test_large_benchmarks_are_shuffled_alike(spark, monkeypatch):
+    other = ITEM.replace("Anna", "Clara").replace("12", "95")
+    texts = [ITEM, other, "clean words that nobody has put in any benchmark, " * 900 + ITEM, "clean " * 5000]
+    want = [tuple(r) for r in flags(spark, texts, [(1, ITEM)]).values()]
+    monkeypatch.setattr(td, "BROADCAST_WINDOWS", 0)
+    assert sorted(tuple(r) for r in flags(spark, texts, [(1, ITEM)]).values()) == sorted(want) and [w[1] for w in sorted(want)] == [True, True, True, False]
+
+
+def test_sql_of_the_query_on_inconsistent_runs(spark):
+    import duckdb
+
+    edited = ITEM.replace("does Anna", "does Emma")
+    other = edited.replace("12", "95").replace("Boris", "Deniz").replace("7", "44").replace("kg", "lb")
+    texts = [ITEM, edited, other, "clean words", None]
+    con = duckdb.connect()
+    con.execute("create table documents(doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", list(enumerate(texts)))
+    con.execute("create table benchmark(item_id bigint, text varchar)")
+    con.execute("insert into benchmark values (1, ?)", [ITEM])
+    want = {r[0]: r for r in con.execute(td.OP10_SQL).fetchall()}
+    got = flags(spark, texts, [(1, ITEM)])
+    assert {k: tuple(v) for k, v in got.items()} == want

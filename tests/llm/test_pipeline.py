@@ -17,3 +17,18 @@ def test_stages_in_turn(spark):
     assert docs.where(F.col("text").rlike(r"[A-Za-z0-9]@mail[0-9]\.example\.com")).count() == 0
     pieces = corpus_pipeline.STAGES[-1][1](spark, docs, d)
     assert pieces.select("doc_id").distinct().count() == docs.count()
+
+
+def test_stages_keep_odd_columns_and_meet_odd_rows(spark, odd_docs, no_docs, tmp_path):
+    d = f"file://{tmp_path}"
+    odd_docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame([(1, "how many apples of three kinds does the farmer carry home today after lunch")], "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+    named = {"_id": F.lit("mine"), "_key": F.lit("own"), "row": F.lit(1), "kept": F.lit(2), "sid": F.lit(3), "spans": F.lit("s"), "a.b": F.lit("x")}
+    for docs in (odd_docs.withColumns(named), no_docs.withColumns(named)):
+        n = docs.count()
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = written(stage(spark, docs, d), name)
+            assert out.columns == docs.columns and out.count() <= n
+            assert {(r["_id"], r["_key"], r["row"], r["kept"], r["sid"], r["spans"], r["a.b"]) for r in out.collect()} <= {("mine", "own", 1, 2, 3, "s", "x")}
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, d)
+        assert (pieces.where("start = 0").count()) == n
