@@ -7,10 +7,10 @@ one; p(w) adds one to each count and leaves one for a word not seen. A text's sc
 target less that under the background: lower is more like the target.
 
 Nothing is broadcast. Texts become blocks of about ``BLOCK_WORDS`` words (local word numbers and the block's own
-vocabulary). A block sends its distinct words, then its distinct pairs, with its own counts, as 64-bit hashes in parts by
-hash range; each part adds up all blocks' counts and sends back to every block the totals that differ from the block's
-own. So a word that every text holds is one entry a block, no key is hot, what is in one block only isn't sent back, and a
-block holds all it needs to score its texts. Memory is bounded by a block and by a part of about ``PART_ROWS`` entries.
+vocabulary). A block sends its distinct words, and its distinct pairs, as sorted 64-bit hashes with its own counts, in parts
+by hash range; each part adds up all blocks' counts and sends the totals back to every block, in the order of the block's
+own keys, so that keys travel once. A word that every text holds is one entry a block, so no key is hot, and a block
+holds all it needs to score its texts. Memory is bounded by a block and by a part of about ``PART_ROWS`` entries.
 
 Nulls and edge cases: null or empty text has no words, losses and score 0; a very long text is read whole, as a block of
 its own if need be; null labels and ids choose no target texts; with no target texts the target model is the uniform
@@ -37,29 +37,48 @@ BLOCK_TEXTS = 100_000
 PART_ROWS = 500_000
 SMOOTHING = 20.0
 BROADCAST_IDS = 1_000_000
-#: Rows of an Arrow batch with texts, with whole blocks, and with parts of blocks.
+#: Rows of an Arrow batch with texts, with whole blocks (also of the Parquet reader), and with parts of blocks.
 TEXT_ROWS, BLOCK_ROWS, PART_BATCH = 1000, 4, 200
 #: What a block counts of a word: occurrences in target and all texts, and how often it is a text's last word there.
 WORD_COUNTS, PAIR_COUNTS = 4, 2
-_BLOCK = "block long, asks boolean, counts boolean, doc_ids array<long>, sizes binary, targets binary, words binary, places binary, n_places long"
+_BLOCK = "block long, asks boolean, counts boolean, doc_ids array<long>, sizes binary, targets binary, words binary, n_words long, places binary, places_bytes long, n_places long"
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Unsigned integers byte by byte, lowest first, without the upper bytes that all lack: what is mostly zero compresses away."""
+    wide = values.astype(np.uint64, copy=False)
+    n = max(1, -(-int(wide.max()).bit_length() // 8)) if len(wide) else 1
+    return bytes([n]) + np.ascontiguousarray(wide).view(np.uint8).reshape(-1, 8)[:, :n].T.tobytes()
+
+
+def unplaned(data: bytes, n: int, at: int = 0) -> tuple[np.ndarray, int]:
+    """(``n`` integers as written at ``at`` by ``planes``, where they end)."""
+    width = data[at]
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(data, np.uint8, n * width, at + 1).reshape(width, n).T
+    return out.view(np.uint64).ravel(), at + 1 + n * width
 
 
 def packed(keys: np.ndarray) -> bytes:
-    """Sorted 64-bit keys as differences, byte by byte: the upper bytes are mostly zero and compress away."""
-    return np.diff(keys, prepend=keys.dtype.type(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Sorted 64-bit keys, as their differences."""
+    return planes(np.diff(keys, prepend=np.uint64(0)))
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel(), dtype=np.uint64)
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(unplaned(data, n)[0], dtype=np.uint64)
 
 
 def as_bytes(counts: np.ndarray) -> bytes:
     """Counts (columns, n) as binary."""
-    return counts.astype(np.uint64).tobytes()
+    return b"".join(map(planes, counts))
 
 
-def as_counts(data: bytes, columns: int) -> np.ndarray:
-    return np.frombuffer(data, np.uint64).astype(np.int64).reshape(columns, -1)
+def as_counts(data: bytes, columns: int, n: int) -> np.ndarray:
+    out, at = np.empty((columns, n), np.int64), 0
+    for k in range(columns):
+        column, at = unplaned(data, n, at)
+        out[k] = column.view(np.int64)
+    return out
 
 
 def block_table(docs: DataFrame, asks: bool, counts: bool) -> DataFrame:
@@ -78,8 +97,10 @@ def block_table(docs: DataFrame, asks: bool, counts: bool) -> DataFrame:
             parts.clear()
             block = number if counts else ~number
             row = [pa.array([block]), pa.array([asks]), pa.array([counts]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
-            values = [sizes.astype(np.int64).tobytes(), targets.astype(np.uint8).tobytes(), words.tobytes(), places.astype(np.uint32).tobytes()]
-            return pa.RecordBatch.from_arrays([*row, *(pa.array([v], pa.binary()) for v in values), pa.array([len(places)])], names)
+            # frequent words recur, so that their numbers' bytes are worth an entropy coder
+            spelled = planes(places)
+            binary = [pa.array([v], pa.binary()) for v in (sizes.astype(np.int64).tobytes(), targets.astype(np.uint8).tobytes(), packed(words), pa.compress(spelled, "zstd", asbytes=True))]
+            return pa.RecordBatch.from_arrays([*row, *binary[:3], pa.array([len(words)]), binary[3], pa.array([len(spelled)]), pa.array([len(places)])], names)
 
         held = texts = 0
         for batch in batches:
@@ -100,11 +121,14 @@ def block_table(docs: DataFrame, asks: bool, counts: bool) -> DataFrame:
 class Block:
     """A block's words and pairs with its own counts."""
 
-    def __init__(self, sizes: bytes, targets: bytes, words: bytes, places: bytes, counts: bool):
-        self.sizes, self.words = np.frombuffer(sizes, np.int64), np.frombuffer(words, np.uint64)
-        self.places = np.frombuffer(places, np.uint32).astype(np.int64)
+    def __init__(self, row: dict):
+        self.sizes, self.counts = np.frombuffer(row["sizes"], np.int64), row["counts"]
+        n, targets = int(self.sizes.sum()), row["targets"]
+        places = pa.decompress(row["places"], row["places_bytes"], "zstd", asbytes=True)
+        self.places = unplaned(places, n)[0].view(np.int64)
+        self.words = unpacked(row["words"], row["n_words"])
         flags = np.repeat(np.frombuffer(targets, np.uint8), self.sizes).astype(float)
-        self.flags, self.counts = flags, counts
+        self.flags = flags
         has = self.sizes[self.sizes > 0]
         self.first = np.zeros(len(self.places), bool)
         self.first[np.cumsum(has) - has] = True
@@ -132,45 +156,40 @@ class Block:
 
 
 def _sent(all_blocks: DataFrame, pairs: bool, bits: int) -> DataFrame:
-    """(part, block, asks, keys, counts): what the blocks send to each part."""
+    """(part, block, asks, n, keys, counts): what the blocks send to each part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.select(["block", "asks", "counts", "sizes", "targets", "words", "places"]).to_pylist():
-                b = Block(row["sizes"], row["targets"], row["words"], row["places"], row["counts"])
+            for row in batch.to_pylist():
+                b = Block(row)
                 keys, counts = b.pairs()[:2] if pairs else (b.words, b.word_counts())
                 part = (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
                 first = np.flatnonzero(np.diff(part, prepend=-1))
                 ends = np.append(first[1:], len(part))
                 data = [packed(keys[x:y]) for x, y in zip(first, ends, strict=True)], [as_bytes(counts[:, x:y]) for x, y in zip(first, ends, strict=True)]
                 same = [pa.array([row["block"]] * len(first), pa.int64()), pa.array([row["asks"]] * len(first), pa.bool_())]
-                yield pa.RecordBatch.from_arrays([pa.array(part[first]), *same, *(pa.array(x, pa.binary()) for x in data)], ["part", "block", "asks", "keys", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(part[first]), *same, pa.array(ends - first), *(pa.array(x, pa.binary()) for x in data)], ["part", "block", "asks", "n", "keys", "counts"])
 
-    return all_blocks.mapInArrow(run, "part long, block long, asks boolean, keys binary, counts binary")
+    names = ["block", "asks", "counts", "sizes", "targets", "words", "n_words", "places", "places_bytes"]
+    return all_blocks.select(*names).mapInArrow(run, "part long, block long, asks boolean, n long, keys binary, counts binary")
 
 
 def _totals(sent: DataFrame, columns: int) -> DataFrame:
-    """(block, keys, counts, found): the totals of a block's keys where they differ from its own; ``found`` counts keys once."""
+    """(block, part, n, totals, found): the totals of a block's keys, in their order; ``found`` counts each key that the texts hold once."""
 
     def added(rows: list[dict]) -> pa.RecordBatch:
-        parts = [unpacked(r["keys"]) for r in rows]
-        keys, own = np.concatenate(parts), np.concatenate([as_counts(r["counts"], columns) for r in rows], axis=1)
+        keys = np.concatenate([unpacked(r["keys"], r["n"]) for r in rows])
+        own = np.concatenate([as_counts(r["counts"], columns, r["n"]) for r in rows], axis=1)
         order = np.argsort(keys, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
         sums = np.add.reduceat(own[:, order], first, axis=1)
         total = np.empty_like(own)
         total[:, order] = np.repeat(sums, np.diff(np.append(first, len(keys))), axis=1)
-        differs = (total != own).any(axis=0)
-        block, packs, counts, at = [], [], [], 0
-        for r, part in zip(rows, parts, strict=True):
-            chosen = at + np.flatnonzero(differs[at : at + len(part)])
-            at += len(part)
-            if r["asks"] and len(chosen):
-                block.append(r["block"])
-                packs.append(packed(keys[chosen]))
-                counts.append(as_bytes(total[:, chosen]))
-        found = [0] * len(block) + [int((sums[1] > 0).sum())]
-        return pa.RecordBatch.from_arrays([pa.array([*block, None], pa.int64()), pa.array([*packs, None], pa.binary()), pa.array([*counts, None], pa.binary()), pa.array(found)], ["block", "keys", "counts", "found"])
+        ends = np.cumsum([r["n"] for r in rows])
+        asked = [(r["block"], r["part"], r["n"], as_bytes(total[:, e - r["n"] : e]), 0) for r, e in zip(rows, ends.tolist(), strict=True) if r["asks"]]
+        asked.append((None, rows[0]["part"], 0, None, int((sums[1] > 0).sum())))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*asked, strict=True), kinds, strict=True)], ["block", "part", "n", "totals", "found"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -183,7 +202,7 @@ def _totals(sent: DataFrame, columns: int) -> DataFrame:
         if held:
             yield added(held)
 
-    return sent.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, "block long, keys binary, counts binary, found long")
+    return sent.repartition("part").sortWithinPartitions("part", "block").mapInArrow(run, "block long, part long, n long, totals binary, found long")
 
 
 @dataclass
@@ -230,24 +249,26 @@ def score(docs: DataFrame, models: Models, counted: bool = False) -> DataFrame:
     every = models.blocks if counted else models.blocks.withColumn("asks", F.lit(False)).unionByName(asking)
     places = every.agg(F.sum("n_places")).first()[0] or 0
     bits = min(40, max(0, int(places // PART_ROWS).bit_length()))
-    with arrow_rows(spark, BLOCK_ROWS, PART_BATCH):
+    with arrow_rows(spark, PART_BATCH, BLOCK_ROWS):
         words = written(_totals(_sent(every, False, bits), WORD_COUNTS), "words")
-        pairs = written(_totals(_sent(every, True, bits), PAIR_COUNTS), "pairs")
     distinct = words.agg(F.sum("found")).first()[0] or 0
     sums = tuple(float(n + distinct + 1) for n in models.words)
-    header = asking.select("block", F.lit(0).alias("kind"), "counts", "doc_ids", "sizes", "targets", "words", "places")
-    parts = [t.where("block is not null").select("block", F.lit(k).alias("kind"), F.col("keys").alias("words"), F.col("counts").alias("places")) for k, t in ((1, words), (2, pairs))]
-    rows = header.unionByName(parts[0], allowMissingColumns=True).unionByName(parts[1], allowMissingColumns=True)
+    header = asking.drop("asks", "n_places").withColumn("kind", F.lit(0))
+    rows = header
+    for kind, totals in ((1, words), (2, _totals(_sent(every, True, bits), PAIR_COUNTS))):
+        rows = rows.unionByName(totals.where("block is not null").drop("found").withColumn("kind", F.lit(kind)), allowMissingColumns=True)
 
     def scored(rows: list[dict]) -> pa.RecordBatch:
         head = rows[0]
-        block = Block(head["sizes"], head["targets"], head["words"], head["places"], head["counts"])
-        keys, pair_totals, at, which = block.pairs()
-        word_totals = block.word_counts()
-        for r in rows[1:]:
-            own, totals, columns = (block.words, word_totals, WORD_COUNTS) if r["kind"] == 1 else (keys, pair_totals, PAIR_COUNTS)
-            totals[:, np.searchsorted(own, unpacked(r["words"]))] = as_counts(r["places"], columns)
-        by_place = losses(block, word_totals, pair_totals, at, which, sums)
+        block = Block(head)
+        keys, _, at, which = block.pairs()
+        both = []
+        for kind, columns, n in ((1, WORD_COUNTS, len(block.words)), (2, PAIR_COUNTS, len(keys))):
+            got = np.concatenate([np.zeros((columns, 0), np.int64), *(as_counts(r["totals"], columns, r["n"]) for r in rows if r["kind"] == kind)], axis=1)
+            if got.shape[1] != n:
+                raise ValueError(f"block {head['block']}: {got.shape[1]} totals for {n} keys")
+            both.append(got)
+        by_place = losses(block, *both, at, which, sums)
         text = np.repeat(np.arange(len(block.sizes)), block.sizes)
         target, every = (np.bincount(text, x, len(block.sizes)) / np.maximum(block.sizes, 1) for x in by_place)
         return pa.RecordBatch.from_arrays([pa.array(head["doc_ids"], pa.int64()), pa.array(block.sizes), *map(pa.array, (target, every, target - every))], ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
@@ -263,7 +284,7 @@ def score(docs: DataFrame, models: Models, counted: bool = False) -> DataFrame:
         if held:
             yield scored(held)
 
-    dealt = rows.repartition("block").sortWithinPartitions("block", "kind")
+    dealt = rows.repartition("block").sortWithinPartitions("block", "kind", "part")
     with arrow_rows(spark, PART_BATCH, BLOCK_ROWS):
         return written(dealt.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double"), "scores", keep=True)
 
