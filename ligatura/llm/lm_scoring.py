@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ligatura.llm.common import arrow_rows, scratch, table, written
 from ligatura.llm.textkit import Words, blocks, mix
 
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 1_000_000
 BLOCK_TEXTS = 100_000
 PART_ROWS = 500_000
 SMOOTHING = 20.0
@@ -41,11 +41,11 @@ BROADCAST_IDS = 1_000_000
 TEXT_ROWS, BLOCK_ROWS, PART_BATCH = 1000, 4, 200
 #: What a block counts of a word: occurrences in target and all texts, and how often it is a text's last word there.
 WORD_COUNTS, PAIR_COUNTS = 4, 2
-_BLOCK = "block long, asks boolean, counts boolean, doc_ids array<long>, sizes binary, targets binary, words binary, n_words long, places binary, places_bytes long, n_places long"
+_BLOCK = "block long, asks boolean, counts boolean, doc_ids array<long>, sizes binary, targets binary, words binary, n_words long, places binary, n_places long"
 
 
 def planes(values: np.ndarray) -> bytes:
-    """Unsigned integers byte by byte, lowest first, without the upper bytes that all lack: what is mostly zero compresses away."""
+    """Unsigned integers byte by byte, lowest first, without the upper bytes that all lack."""
     wide = values.astype(np.uint64, copy=False)
     n = max(1, -(-int(wide.max()).bit_length() // 8)) if len(wide) else 1
     return bytes([n]) + np.ascontiguousarray(wide).view(np.uint8).reshape(-1, 8)[:, :n].T.tobytes()
@@ -59,22 +59,31 @@ def unplaned(data: bytes, n: int, at: int = 0) -> tuple[np.ndarray, int]:
     return out.view(np.uint64).ravel(), at + 1 + n * width
 
 
+def coded(data: bytes) -> bytes:
+    """Counts are mostly small and word numbers recur: an entropy coder, which shuffles lack, takes most of their bytes."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def decoded(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True)
+
+
 def packed(keys: np.ndarray) -> bytes:
     """Sorted 64-bit keys, as their differences."""
-    return planes(np.diff(keys, prepend=np.uint64(0)))
+    return coded(planes(np.diff(keys, prepend=np.uint64(0))))
 
 
 def unpacked(data: bytes, n: int) -> np.ndarray:
-    return np.cumsum(unplaned(data, n)[0], dtype=np.uint64)
+    return np.cumsum(unplaned(decoded(data), n)[0], dtype=np.uint64)
 
 
 def as_bytes(counts: np.ndarray) -> bytes:
     """Counts (columns, n) as binary."""
-    return b"".join(map(planes, counts))
+    return coded(b"".join(map(planes, counts)))
 
 
 def as_counts(data: bytes, columns: int, n: int) -> np.ndarray:
-    out, at = np.empty((columns, n), np.int64), 0
+    data, out, at = decoded(data), np.empty((columns, n), np.int64), 0
     for k in range(columns):
         column, at = unplaned(data, n, at)
         out[k] = column.view(np.int64)
@@ -97,10 +106,8 @@ def block_table(docs: DataFrame, asks: bool, counts: bool) -> DataFrame:
             parts.clear()
             block = number if counts else ~number
             row = [pa.array([block]), pa.array([asks]), pa.array([counts]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
-            # frequent words recur, so that their numbers' bytes are worth an entropy coder
-            spelled = planes(places)
-            binary = [pa.array([v], pa.binary()) for v in (sizes.astype(np.int64).tobytes(), targets.astype(np.uint8).tobytes(), packed(words), pa.compress(spelled, "zstd", asbytes=True))]
-            return pa.RecordBatch.from_arrays([*row, *binary[:3], pa.array([len(words)]), binary[3], pa.array([len(spelled)]), pa.array([len(places)])], names)
+            binary = [pa.array([v], pa.binary()) for v in (sizes.astype(np.int64).tobytes(), targets.astype(np.uint8).tobytes(), packed(words), coded(planes(places)))]
+            return pa.RecordBatch.from_arrays([*row, *binary[:3], pa.array([len(words)]), binary[3], pa.array([len(places)])], names)
 
         held = texts = 0
         for batch in batches:
@@ -124,8 +131,7 @@ class Block:
     def __init__(self, row: dict):
         self.sizes, self.counts = np.frombuffer(row["sizes"], np.int64), row["counts"]
         n, targets = int(self.sizes.sum()), row["targets"]
-        places = pa.decompress(row["places"], row["places_bytes"], "zstd", asbytes=True)
-        self.places = unplaned(places, n)[0].view(np.int64)
+        self.places = unplaned(decoded(row["places"]), n)[0].view(np.int64)
         self.words = unpacked(row["words"], row["n_words"])
         flags = np.repeat(np.frombuffer(targets, np.uint8), self.sizes).astype(float)
         self.flags = flags
@@ -170,7 +176,7 @@ def _sent(all_blocks: DataFrame, pairs: bool, bits: int) -> DataFrame:
                 same = [pa.array([row["block"]] * len(first), pa.int64()), pa.array([row["asks"]] * len(first), pa.bool_())]
                 yield pa.RecordBatch.from_arrays([pa.array(part[first]), *same, pa.array(ends - first), *(pa.array(x, pa.binary()) for x in data)], ["part", "block", "asks", "n", "keys", "counts"])
 
-    names = ["block", "asks", "counts", "sizes", "targets", "words", "n_words", "places", "places_bytes"]
+    names = ["block", "asks", "counts", "sizes", "targets", "words", "n_words", "places"]
     return all_blocks.select(*names).mapInArrow(run, "part long, block long, asks boolean, n long, keys binary, counts binary")
 
 
