@@ -9,12 +9,12 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.operators import blocking, evaluate, lexicon, validate
+from ligatura.operators import blocking, evaluate, lexicon, pairs, validate
 from ligatura.operators.checkpoint import Checkpoint, Stopwatch
 from ligatura.plans.linkage import Workspace
 from ligatura.sources import files
 
-STEPS = ("folds", "build-lexicon", "prepare", "blocking", "pair-features", "train", "leakage-check", "select-threshold", "tune-thresholds", "predict", "evaluate", "validate", "subset", "checkpoints")
+STEPS = ("folds", "build-lexicon", "prepare", "blocking", "pair-features", "train", "leakage-check", "select-threshold", "tune-thresholds", "predict", "evaluate", "validate", "subset", "checkpoints", "ablation", "evaluate-policies", "report")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
         "--method": {"choices": ("train", "density", "prior"), "default": "density"}, "--ratio": {"type": float}, "--class-by": {"default": "country"}, "--min-support": {"type": int, "default": 200},
         "--min-gain": {"type": float, "default": 1e-4}, "--out-dir": {"default": "output"}, "--policy": {"default": None}, "--threshold": {"type": float}, "--decoder": {"choices": ("threshold", "expected_f"), "default": "threshold"},
         "--pred": {}, "--truth": {}, "--source1": {}, "--matching": {}, "--candidate": {}, "--test-dir": {}, "--check-ids": {"action": "store_true"}, "--share": {"type": float, "default": 0.05},
+        "--decoy-mult": {"type": float, "default": 1.0}, "--test-share": {"type": float, "default": 0.0}, "--test-decoy-mult": {"type": float, "default": 2.0}, "--canary-rounds": {"type": int, "default": 10}, "--groups": {"default": ""}, "--policies": {"default": ""},
     }.items():
         p.add_argument(name, **options)
     return p
@@ -58,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         elif a.step == "train":
             said = work.train(a.checkpoint or "default", (a.rounds1, a.rounds2), not a.no_stage2, tuple(x for x in a.drop_features.split(",") if x), a.resume).manifest
         elif a.step == "leakage-check":
-            said = work.leakage_check(checkpoint())
+            said = work.leakage_check(checkpoint(), a.canary_rounds)
         elif a.step == "select-threshold":
             said = work.select_threshold(checkpoint(), a.method, a.ratio)
         elif a.step == "tune-thresholds":
@@ -77,12 +78,20 @@ def main(argv: list[str] | None = None) -> int:
             known = None
             if a.check_ids:
                 known = files.union_sources(*(files.read_tsv(spark, f"{a.test_dir}/test_{s}.tsv") for s in files.SOURCES[1:])).select(F.col("entity_id").alias("t"))
-            found = [r.asDict() for r in validate.findings(lists(spark, a.matching, "ids"), required, known).limit(50).collect()]
+            found = [r.asDict() for r in validate.format_findings(spark, a.matching, files.TRUTH_COLUMNS).limit(50).collect()]
+            found += [r.asDict() for r in validate.findings(lists(spark, a.matching, "ids"), required, known).limit(50).collect()]
             said = {"errors": found}
             if a.candidate:
                 said["outside_candidates"] = validate.outside_candidates(lists(spark, a.matching, "ids"), lists(spark, a.candidate, "ids")).count()
         elif a.step == "subset":
-            work.subset(a.out_dir, a.share)
+            work.subset(a.out_dir, a.share, a.decoy_mult, a.test_share, a.test_decoy_mult)
+        elif a.step == "ablation":
+            said = work.ablate(checkpoint(), (a.rounds1, a.rounds2), tuple(a.groups.split(",")) if a.groups else tuple(pairs.ABLATION))
+        elif a.step == "evaluate-policies":
+            truth = files.explode_ids(files.read_tsv(spark, a.truth or f"{a.data_dir}/test/subset_ground_truth.tsv", ("s", "ids")), "s", "ids")
+            said = work.evaluate_policies(checkpoint(), truth, a.policies.split(","))
+        elif a.step == "report":
+            said = work.report(checkpoint())
         elif a.step == "checkpoints":
             said = Checkpoint.listed(a.work_dir)
     print(json.dumps({"result": said, "profile": watch.rows}, indent=1, default=str))

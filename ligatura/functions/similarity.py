@@ -37,41 +37,63 @@ def lcs(a: str, b: str) -> int:
     return len(b) - s.bit_count()
 
 
-def _plain(s: str) -> bool:
-    return len(s) <= 63 and s.isascii() and _CODES[np.frombuffer(s.encode(), np.uint8)].max(initial=0) < 63
+def _coded(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes by position, lengths, which strings are plain); codes of strings that aren't plain are no use."""
+    lens = np.fromiter(map(len, strings), np.int64, len(strings))
+    ascii_ = np.fromiter((s.isascii() for s in strings), bool, len(strings))
+    codes = np.full((len(strings), max(int(lens.max(initial=0)), 1)), 63, np.uint8)
+    flat = _CODES[np.frombuffer("".join(s if ok else "?" * len(s) for s, ok in zip(strings, ascii_, strict=True)).encode(), np.uint8)]
+    owner = np.repeat(np.arange(len(strings)), lens)
+    codes[owner, np.arange(len(owner)) - np.repeat(np.cumsum(lens) - lens, lens)] = flat
+    return codes, lens, ascii_ & (np.bincount(owner[flat == 63], minlength=len(strings)) == 0)
+
+
+def _masks(codes: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """(n, 64): for each code the places, as bits, at which a string of at most 63 characters has it."""
+    masks = np.zeros((len(codes), 64), np.uint64)
+    row, at = np.nonzero(np.arange(codes.shape[1]) < lens[:, None])
+    np.bitwise_or.at(masks, (row, codes[row, at]), np.uint64(1) << at.astype(np.uint64))
+    masks[:, 63] = 0
+    return masks
+
+
+def _low(n: np.ndarray) -> np.ndarray:
+    """The lowest ``n`` bits, n at most 63."""
+    return (np.uint64(1) << n.astype(np.uint64)) - np.uint64(1)
+
+
+def _in_chunks(a: list[str], b: list[str], fast, one, none: float, least: int = 0) -> np.ndarray:
+    """``fast(short codes, lengths, long codes, lengths)`` of plain pairs whose shorter side has 1 to 63 characters (both, if
+    ``least`` is set), alike in size side by side; ``one(a, b)`` of the others; ``none`` where a side is empty."""
+    out = np.full(len(a), none, np.float64)
+    short, long = zip(*((x, y) if len(x) <= len(y) else (y, x) for x, y in zip(a, b, strict=True)), strict=True) if a else ((), ())
+    la, lb = np.fromiter(map(len, short), np.int64, len(a)), np.fromiter(map(len, long), np.int64, len(a))
+    order = np.lexsort((lb, la))
+    order = order[la[order] > 0]
+    for k in range(0, len(order), 4096):
+        rows = order[k : k + 4096]
+        ca, na, pa = _coded([short[i] for i in rows])
+        cb, nb, pb = _coded([long[i] for i in rows])
+        ok = pa & pb & (na <= 63) & ((nb <= 63) | (least == 0))
+        if ok.any():
+            out[rows[ok]] = fast(ca[ok], na[ok], cb[ok][:, : int(nb[ok].max())], nb[ok])
+        for i in rows[~ok]:
+            out[i] = one(a[i], b[i])
+    return out
+
+
+def _lcs_fast(ca: np.ndarray, na: np.ndarray, cb: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    masks, full, line = _masks(ca, na), _low(na), np.arange(len(na))
+    s = full.copy()
+    for j in range(cb.shape[1]):
+        u = s & masks[line, cb[:, j]]
+        s = ((s + u) | (s - u)) & full
+    return na - np.bitwise_count(s)
 
 
 def lcs_batch(a: list[str], b: list[str]) -> np.ndarray:
-    """``lcs`` of many pairs: those of plain short strings together, the others one by one."""
-    n = len(a)
-    out = np.zeros(n, np.int64)
-    la, lb = np.fromiter(map(len, a), np.int64, n), np.fromiter(map(len, b), np.int64, n)
-    both = (la > 0) & (lb > 0)
-    same = np.fromiter((x == y for x, y in zip(a, b, strict=True)), bool, n)
-    out[same] = la[same]
-    todo = np.flatnonzero(both & ~same)
-    fast = np.array([i for i in todo if la[i] <= 63 and lb[i] <= 63 and _plain(a[i]) and _plain(b[i])], np.int64)
-    for i in np.setdiff1d(todo, fast, assume_unique=True):
-        out[i] = lcs(a[i], b[i])
-    for k in range(0, len(fast), 8192):
-        rows = fast[k : k + 8192]
-        m, width = len(rows), int(la[rows].max())
-        text = np.full((m, width), 63, np.uint8)
-        flat = _CODES[np.frombuffer("".join(a[i] for i in rows).encode(), np.uint8)]
-        text[np.arange(width) < la[rows, None]] = flat
-        masks = np.zeros((m, 64), np.uint64)
-        owner = np.repeat(np.arange(m), lb[rows])
-        at = np.arange(len(owner)) - np.repeat(np.cumsum(lb[rows]) - lb[rows], lb[rows])
-        np.bitwise_or.at(masks, (owner, _CODES[np.frombuffer("".join(b[i] for i in rows).encode(), np.uint8)]), np.uint64(1) << at.astype(np.uint64))
-        masks[:, 63] = 0
-        full = (np.uint64(1) << lb[rows].astype(np.uint64)) - np.uint64(1)
-        s = full.copy()
-        line = np.arange(m)
-        for j in range(width):
-            u = s & masks[line, text[:, j]]
-            s = ((s + u) | (s - u)) & full
-        out[rows] = lb[rows] - np.bitwise_count(s)
-    return out
+    """``lcs`` of many pairs."""
+    return _in_chunks(a, b, _lcs_fast, lcs, 0.0).astype(np.int64)
 
 
 def ratio_batch(a: list[str], b: list[str]) -> np.ndarray:
@@ -129,6 +151,29 @@ def partial_ratio(a: str, b: str) -> float:
     return best
 
 
+def _partial_fast(ca: np.ndarray, na: np.ndarray, cb: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """From every place of the longer string the table runs over a window; from the first, its shorter windows count too."""
+    masks, full, line = _masks(ca, na), _low(na), np.arange(len(na))
+    best = np.zeros(len(na))
+    for start in range(cb.shape[1]):
+        window = np.minimum(na, nb - start)
+        s = full.copy()
+        for k in range(max(int(window.max()), 0)):
+            u = s & masks[line, cb[:, start + k]]
+            s = np.where(k < window, ((s + u) | (s - u)) & full, s)
+            if start == 0:
+                best = np.maximum(best, np.where(k < window, 200 * (na - np.bitwise_count(s)) / (na + k + 1), 0))
+        best = np.maximum(best, np.where(window > 0, 200 * (na - np.bitwise_count(s)) / (na + np.maximum(window, 1)), 0))
+    return best
+
+
+def partial_ratio_batch(a: list[str], b: list[str]) -> np.ndarray:
+    """``partial_ratio`` of many pairs."""
+    out = _in_chunks(a, b, _partial_fast, partial_ratio, 0.0)
+    out[np.fromiter((not x and not y for x, y in zip(a, b, strict=True)), bool, len(a))] = 100.0
+    return out
+
+
 def jaro_winkler_one(a: str, b: str, weight: float = 0.1) -> float:
     if not a or not b:
         return 0.0
@@ -152,6 +197,41 @@ def jaro_winkler_one(a: str, b: str, weight: float = 0.1) -> float:
     return jaro + prefix * weight * (1 - jaro) if jaro > 0.7 else jaro
 
 
+def _jaro_fast(ca: np.ndarray, na: np.ndarray, cb: np.ndarray, nb: np.ndarray) -> np.ndarray:
+    """Each character takes the first free equal one within reach, as bits; what was taken on both sides is compared in order."""
+    masks, line, one = _masks(cb, nb), np.arange(len(na)), np.uint64(1)
+    reach = np.maximum(nb // 2 - 1, 0)
+    hit_a, hit_b = np.zeros(len(na), np.uint64), np.zeros(len(na), np.uint64)
+    for i in range(ca.shape[1]):
+        inside = _low(np.minimum(nb, i + reach + 1)) & ~_low(np.minimum(np.maximum(i - reach, 0), 63))
+        free = np.where(i < na, masks[line, ca[:, i]] & inside & ~hit_b, np.uint64(0))
+        taken = free & (~free + one)
+        hit_b |= taken
+        hit_a |= np.where(taken > 0, one << np.uint64(i), np.uint64(0))
+    m = np.bitwise_count(hit_a).astype(np.int64)
+    odd = np.zeros(len(na), np.int64)
+    x, y = hit_a.copy(), hit_b.copy()
+    for _ in range(int(m.max(initial=0))):
+        go = x > 0
+        p, q = x & (~x + one), y & (~y + one)
+        i, j = (np.minimum(np.bitwise_count(z - one), 63).astype(np.int64) for z in (p, q))
+        odd += go & (ca[line, np.minimum(i, ca.shape[1] - 1)] != cb[line, np.minimum(j, cb.shape[1] - 1)])
+        x, y = x ^ p, y ^ q
+    some = np.maximum(m, 1)
+    jaro = np.where(m > 0, (m / na + m / nb + (m - odd // 2) / some) / 3, 0.0)
+    width = min(4, ca.shape[1], cb.shape[1])
+    alike = (ca[:, :width] == cb[:, :width]) & (np.arange(width) < na[:, None])
+    prefix = np.cumprod(alike, axis=1).sum(axis=1)
+    return np.where(jaro > 0.7, jaro + prefix * 0.1 * (1 - jaro), jaro)
+
+
+def jaro_winkler_batch(a: list[str], b: list[str]) -> np.ndarray:
+    """``jaro_winkler_one`` of many pairs, the shorter string taken first."""
+    out = _in_chunks(a, b, _jaro_fast, lambda x, y: jaro_winkler_one(*sorted((x, y), key=len)), 0.0, least=1)
+    out[np.fromiter((x == y != "" for x, y in zip(a, b, strict=True)), bool, len(a))] = 1.0
+    return out
+
+
 def _lists(a: pd.Series, b: pd.Series) -> tuple[list[str], list[str]]:
     return a.fillna("").tolist(), b.fillna("").tolist()
 
@@ -175,13 +255,13 @@ def _token_set(a: pd.Series, b: pd.Series) -> pd.Series:
 @F.pandas_udf(DoubleType())
 def _partial(a: pd.Series, b: pd.Series) -> pd.Series:
     x, y = _lists(a, b)
-    return pd.Series([partial_ratio(s, t) for s, t in zip(x, y, strict=True)], dtype=float)
+    return pd.Series(partial_ratio_batch(x, y))
 
 
 @F.pandas_udf(DoubleType())
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     x, y = _lists(a, b)
-    return pd.Series([jaro_winkler_one(s, t) for s, t in zip(x, y, strict=True)], dtype=float)
+    return pd.Series(jaro_winkler_batch(x, y))
 
 
 def ratio(a: Value, b: Value) -> Column:

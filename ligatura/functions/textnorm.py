@@ -244,7 +244,7 @@ def norm_address(address: Value, country: Value, lexicon: Column | None = None)
     for pattern in (NULL_WORDS, PO_BOX, NUMBER_SIGN):
         raw = F.regexp_replace(raw, pattern, " ")
     france = F.coalesce(among(F.trim(to_ascii(col(country))), T.FRANCE), F.lit(False))
-    pieces = F.transform(F.split(raw, ","), F.trim)
+    pieces = F.transform(F.split(raw, ","), lambda p: F.trim(p))  # not F.trim itself: its second parameter would get the index
     if lexicon is not None:
         pieces = F.transform(pieces, lambda p: transliterate_component(p, lexicon))
     digit = lambda t: t.rlike("[0-9]")

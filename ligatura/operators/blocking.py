@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ligatura.operators.relational import top_per_key
+from ligatura.sources.files import write_table
 
 DF_CAP = 1000
 MIN_SCORE = 0.1
@@ -81,6 +82,13 @@ class Index:
         self.s = normed(weighted(s_features, table, counts))
         self.t = normed(weighted(t_features, table, counts))
 
+    def stored(self, folder: str) -> Index:
+        """The same with both sides' weights written once, instead of made again for each use."""
+        for side in ("s", "t"):
+            write_table(getattr(self, side), f"{folder}/{side}")
+            setattr(self, side, getattr(self, side).sparkSession.read.parquet(f"{folder}/{side}"))
+        return self
+
     def retrieve(self, k: int = TOP_K, df_cap: int = DF_CAP, min_score: float = MIN_SCORE) -> DataFrame:
         """(t, s, score, rank): each query's ``k`` best entities of its country, rank from 0, ties to the lesser id."""
         s = self.s.where(F.col("df") <= df_cap).select("country", "block", "feature", F.col("id").alias("s"), F.col("w").alias("w_s"))

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import os
 import time
 from typing import Any
 
-from ligatura.sources.files import append_jsonl, read_json, write_json
+from ligatura.sources.files import append_jsonl, exists, folders, read_json, write_json
 
 
 class Checkpoint:
@@ -14,13 +13,13 @@ class Checkpoint:
 
     def __init__(self, root: str, name: str):
         self.root, self.name = root, name
-        self.folder = os.path.join(root, "checkpoints", name)
+        self.folder = f"{root}/checkpoints/{name}"
 
     def path(self, *parts: str) -> str:
-        return os.path.join(self.folder, *parts)
+        return "/".join((self.folder, *parts))
 
     def exists(self) -> bool:
-        return os.path.exists(self.path("manifest.json"))
+        return exists(self.path("manifest.json"))
 
     @property
     def manifest(self) -> dict[str, Any]:
@@ -47,24 +46,23 @@ class Checkpoint:
         write_json(m | facts, self.path("manifest.json"))
 
     def publish(self) -> None:
-        write_json({"latest": self.name}, os.path.join(self.root, "checkpoints", "LATEST.json"))
+        write_json({"latest": self.name}, f"{self.root}/checkpoints/LATEST.json")
 
     def log(self, record: dict[str, Any]) -> None:
-        append_jsonl(record, self.path("experiments.jsonl"))
+        append_jsonl(record, self.path("experiments"))
 
     @classmethod
     def resolve(cls, root: str, name: str | None = None) -> Checkpoint | None:
         """The named run, or the latest; none if there is none."""
-        pointer = os.path.join(root, "checkpoints", "LATEST.json")
+        pointer = f"{root}/checkpoints/LATEST.json"
         if name is None:
-            name = read_json(pointer)["latest"] if os.path.exists(pointer) else None
+            name = read_json(pointer)["latest"] if exists(pointer) else None
         found = cls(root, name) if name else None
         return found if found and found.exists() else None
 
     @classmethod
     def listed(cls, root: str) -> list[str]:
-        folder = os.path.join(root, "checkpoints")
-        return sorted(n for n in os.listdir(folder) if cls(root, n).exists()) if os.path.isdir(folder) else []
+        return [n for n in folders(f"{root}/checkpoints") if cls(root, n).exists()]
 
 
 class Stopwatch:

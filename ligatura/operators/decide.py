@@ -76,16 +76,21 @@ def metrics_at(links: DataFrame, entities: DataFrame, threshold: float | Column,
     )
 
 
+def grid_place(grid: list[float]) -> Column:
+    """The number of the last point of an even grid at or under p; -1 under all."""
+    crossing = F.floor((F.col("p") - grid[0]) / (grid[1] - grid[0]) + 1e-6).cast("int")
+    at = F.least(crossing, F.lit(len(grid) - 1))
+    g = F.array(*map(F.lit, grid))
+    return F.when((at >= 0) & (F.get(g, at) > F.col("p")), at - 1).when((at + 1 < len(grid)) & (F.get(g, at + 1) <= F.col("p")), at + 1).otherwise(at)
+
+
 def sweep(links: DataFrame, entities: DataFrame, grid: list[float] = GRID, decoy_weight: float = 1.0, beta2: float = BETA2) -> DataFrame:
     """(threshold, macro_f05, links, n_tp) at every grid point.
 
     An entity's score only changes at the grid points that its own links cross, so each entity gives as many rows as it
     has distinct crossings, with the change of its F there; a running sum over the grid does the rest.
     """
-    crossing = F.floor((F.col("p") - grid[0]) / (grid[1] - grid[0]) + 1e-6).cast("int")  # the last grid point at or under p
-    at = F.least(crossing, F.lit(len(grid) - 1))
-    g = F.array(*map(F.lit, grid))
-    exact = F.when((at >= 0) & (F.get(g, at) > F.col("p")), at - 1).when((at + 1 < len(grid)) & (F.get(g, at + 1) <= F.col("p")), at + 1).otherwise(at)
+    exact = grid_place(grid)
     w = F.when(F.col("tp"), 1.0).when(F.col("decoy"), F.lit(float(decoy_weight))).otherwise(1.0)
     counts = links.withColumn("g", exact).where("g >= 0").groupBy("s", "g").agg(F.sum(F.col("tp").cast("double")).alias("tp"), F.sum(w).alias("np"), F.count("*").alias("n"), F.sum(F.col("tp").cast("long")).alias("k"))
     down = Window.partitionBy("s").orderBy(F.desc("g"))
@@ -284,34 +289,49 @@ def class_report(links: DataFrame, entities: DataFrame, threshold: float | Colum
 
 def precision_floor(links: DataFrame, grid: list[float], floor: float = 0.999) -> DataFrame:
     """(threshold, objective): link recall where link precision reaches the floor, else precision - 1."""
-    points = links.sparkSession.createDataFrame([(t,) for t in grid], "threshold double")
-    reduced = links.groupBy("p").agg(F.count("*").alias("n"), F.sum(F.col("tp").cast("long")).alias("k"), F.sum((~F.col("decoy")).cast("long")).alias("m"))
-    total = reduced.agg(F.sum("m").alias("all_m"))
-    met = reduced.join(F.broadcast(points), reduced["p"] >= points["threshold"]).groupBy("threshold").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))  # len(grid) rows
-    all_points = points.join(met, "threshold", "left").fillna(0, ["n", "k"]).join(total)
+    points = links.sparkSession.createDataFrame([(i, t) for i, t in enumerate(grid)], "g int, threshold double")
+    counts = links.withColumn("g", grid_place(grid)).groupBy("g").agg(F.count("*").alias("n"), F.sum(F.col("tp").cast("long")).alias("k"), F.sum((~F.col("decoy")).cast("long")).alias("m"))
+    total = counts.agg(F.sum("m").alias("all_m"))
+    # a row a grid point from here on
+    above = Window.orderBy(F.desc("g"))
+    sums = points.join(F.broadcast(counts.drop("m")), "g", "left").fillna(0, ["n", "k"]).withColumns({c: F.sum(c).over(above) for c in "nk"})
+    all_points = sums.join(total)
     precision = F.when(F.col("n") > 0, F.col("k") / F.col("n")).otherwise(1.0)
     recall = F.col("k") / F.greatest(F.coalesce("all_m", F.lit(0)), F.lit(1))
     return all_points.select("threshold", F.when(precision >= floor, recall).otherwise(precision - 1).alias("objective"))
 
 
-def nested_comparison(links: DataFrame, entities: DataFrame, configs: dict[str, list[str]], folds: list[int], grid: list[float] = GRID, **fit) -> dict[str, float]:
-    """Held-out macro F of each configuration: fitted on the entities of the other folds (column ``fold``), applied to each fold.
+def nested_by_fold(links: DataFrame, entities: DataFrame, configs: dict[str, list[str]], folds: list[int], grid: list[float] = GRID, **fit) -> DataFrame:
+    """(config, fold, macro_f05, n): held-out macro F, fitted on the entities of the other folds, applied to each fold.
 
     ``links`` needs one class key column ``key_<name>`` for each configuration. A few jobs a fold and configuration.
     """
-    out = {}
+    out = None
     for name, class_by in {"global": [], **configs}.items():
         keyed = links.withColumn("key", F.col(f"key_{name}") if class_by else F.lit(""))
-        parts = []
         for k in folds:
             rest = entities.where(F.col("fold") != k)
             policy = fit_policy(keyed.join(rest.select("s"), "s", "left_semi"), rest.select("s", "nt"), class_by, grid, **fit)
             held = entities.where(F.col("fold") == k).select("s", "nt")
-            parts.append(entity_scores(keyed.join(held.select("s"), "s", "left_semi"), held, F.col("p") >= policy.column()).select("f"))
-        out[name] = reduce(DataFrame.unionByName, parts).agg(F.avg("f")).first()[0]
+            scores = entity_scores(keyed.join(held.select("s"), "s", "left_semi"), held, F.col("p") >= policy.column())
+            row = scores.agg(F.lit(name).alias("config"), F.lit(k).alias("fold"), F.avg("f").alias("macro_f05"), F.count("*").alias("n"))
+            out = row if out is None else out.unionByName(row)
     return out
 
 
+def nested_gains(by_fold: DataFrame) -> DataFrame:
+    """(config, macro_f05, gain, folds_better) over all held-out entities, against the global threshold."""
+    base = by_fold.where("config = 'global'").select("fold", F.col("macro_f05").alias("base"))
+    both = by_fold.where("n > 0").join(base, "fold")
+    mean = lambda c: F.sum(F.col(c) * F.col("n")) / F.sum("n")
+    return both.groupBy("config").agg(mean("macro_f05").alias("macro_f05"), (mean("macro_f05") - mean("base")).alias("gain"), F.sum((F.col("macro_f05") > F.col("base")).cast("long")).alias("folds_better"))
+
+
+def nested_comparison(links: DataFrame, entities: DataFrame, configs: dict[str, list[str]], folds: list[int], grid: list[float] = GRID, **fit) -> dict[str, float]:
+    """Held-out macro F of the global threshold and of each configuration."""
+    return {r["config"]: r["macro_f05"] for r in nested_gains(nested_by_fold(links, entities, configs, folds, grid, **fit)).collect()}  # a row a configuration
+
+
 def select_configuration(scores: dict[str, float], least_gain: float = 1e-4) -> str:
     """The best configuration that beats the global one by ``least_gain``, else the global one."""
     best = max(scores, key=lambda k: (scores[k], k == "global"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ligatura.operators import decide
-from ligatura.operators.relational import argmax_per_key, hash_range, rank_sum_auc
+from ligatura.operators import calibrate, decide
+from ligatura.operators.relational import argmax_per_key, hash_range, ranked_cumulative
 
 
 def per_entity(pred: DataFrame, truth: DataFrame, beta: float = 0.5) -> DataFrame:
@@ -78,9 +78,9 @@ def shares(rows: DataFrame, kind: str, *flags: str) -> DataFrame:
 
 
 def scenario(name: str, pairs: DataFrame, truth: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(pairs, truth) of a shifted population, all chosen by hash: matched_x0.7, matched_x0.5, singletons_x2, source_2_only, source_3_only.
+    """(pairs, truth) of a shifted population, all chosen by hash: matched_x0.7, matched_x0.5, singletons_x2, source_2_only, source_3_only, indic_only.
 
-    Sources need ``t_src`` among the pairs' columns. Denser decoys are a weight, not a population: see ``decide.sweep``.
+    Sources need ``t_src`` among the pairs' columns, the last ``t_indic``. Denser decoys are a weight, not a population: see ``decide.sweep``.
     """
     if name.startswith("matched_x"):
         gone = hash_range(truth.select("t").distinct(), "t", float(name[9:]), 1.0, "matched")
@@ -88,6 +88,9 @@ def scenario(name: str, pairs: DataFrame, truth: DataFrame) -> tuple[DataFrame,
     if name == "singletons_x2":
         emptied = hash_range(truth.select("s").distinct(), "s", 0.0, 0.06, "single")
         return pairs, truth.join(emptied, "s", "left_anti")
+    if name == "indic_only":
+        kept = pairs.where("t_indic")
+        return kept, truth.join(kept.select("t").distinct(), "t", "left_semi")
     if name.startswith("source_"):
         kept = pairs.where(F.col("t_src") == int(name.split("_")[1]))
         return kept, truth.join(kept.select("t").distinct(), "t", "left_semi")
@@ -108,12 +111,72 @@ def robustness(pairs: DataFrame, truth: DataFrame, entities: DataFrame, threshol
 
 
 def leakage_audit(features: DataFrame, names: list[str], label: str = "label") -> DataFrame:
-    """(feature, auc, suspicious) of each feature alone; one that separates the labels all but perfectly leaks."""
-    rows = None
-    for f in names:
-        one = rank_sum_auc(features.select(F.col(f).cast("double").alias("x"), F.col(label).alias("y")), "x", "y").select(F.lit(f).alias("feature"), "auc")
-        rows = one if rows is None else rows.unionByName(one)
-    return rows.withColumn("suspicious", (F.col("auc") < 0.001) | (F.col("auc") > 0.999))
+    """(feature, auc, suspicious) of each feature alone; one that separates the labels all but perfectly leaks.
+
+    One job for all: counts per feature and value, running sums over range partitions of (feature, value), mid-ranks.
+    """
+    cells = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in names)))
+    per = features.select(F.col(label).cast("long").alias("y"), cells.alias("c")).groupBy("c.feature", "c.x").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
+    total = per.groupBy("feature").agg(F.sum("n").alias("n_all"), F.sum("pos").alias("n_pos"))
+    before = total.withColumn("before", F.coalesce(F.sum("n_all").over(Window.orderBy("feature").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row a feature
+    run = ranked_cumulative(per, ["feature", "x"], "n").join(F.broadcast(before), "feature")
+    u = F.sum(F.col("pos") * (F.col("cum") - F.col("before") - F.col("n") + (F.col("n") + 1) / 2.0)).alias("u")
+    one = run.groupBy("feature", "n_all", "n_pos").agg(u)
+    auc = (F.col("u") - F.col("n_pos") * (F.col("n_pos") + 1) / 2.0) / F.nullif(F.col("n_pos") * (F.col("n_all") - F.col("n_pos")), F.lit(0))
+    rows = one.select("feature", auc.alias("auc"))
+    return rows.withColumn("suspicious", F.coalesce((F.col("auc") < 0.001) | (F.col("auc") > 0.999), F.lit(False)))
+
+
+def calibration_under_shift(pairs: DataFrame, truth: DataFrame, names: list[str], score: str = "p") -> DataFrame:
+    """(scenario, log_loss, brier, ece) of the scores against the labels of each shifted population."""
+    out = None
+    for name in ["train_distribution", *names]:
+        p, t = (pairs, truth) if name == "train_distribution" else scenario(name, pairs, truth)
+        labelled = p.join(t.select("t", "s").distinct().withColumn("_y", F.lit(1)), ["t", "s"], "left").withColumn("_y", F.coalesce("_y", F.lit(0)))
+        row = calibrate.metrics(labelled, score, "_y").select(F.lit(name).alias("scenario"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def per_fold_best(links: DataFrame, entities: DataFrame, threshold: float, folds: list[int], grid: list[float] = decide.GRID) -> DataFrame:
+    """(fold, macro_f05, own_threshold, own_f05): macro F at the global threshold, and each fold's own best one."""
+    out = None
+    for k in folds:
+        ents = entities.where(F.col("fold") == k).select("s", "nt")
+        own = decide.best_threshold(decide.sweep(links.join(ents.select("s"), "s", "left_semi"), ents, grid)).select(F.lit(k).alias("fold"), F.col("threshold").alias("own_threshold"), F.col("macro_f05").alias("own_f05"))
+        out = own if out is None else out.unionByName(own)
+    return per_fold(links, entities, threshold).select("fold", "macro_f05").join(out, "fold")
+
+
+def holdout_policies(scored: DataFrame, truth: DataFrame, entities: DataFrame, records: DataFrame, policies: dict[str, decide.ThresholdPolicy], country: str | None = None) -> DataFrame:
+    """(policy[, country], macro_f05, micro_precision, micro_recall, singleton_acc, perfect, links, gain) on a labelled hold-out.
+
+    ``gain`` is the macro F over that of the first policy. Policies are a handful; each is one grouped job.
+    """
+    out = None
+    for name, policy in policies.items():
+        keyed = decide.class_keys(decide.link_table(scored, truth), records, policy.class_by)
+        f = decide.entity_scores(keyed, entities, F.col("p") >= policy.column())
+        at_least = lambda c: F.greatest(c, F.lit(1.0))
+        empty = (F.col("nt") == 0).cast("double")
+        rows = (f.groupBy(country) if country else f.groupBy()).agg(
+            F.avg("f").alias("macro_f05"), (F.sum("tp") / at_least(F.sum("npred"))).alias("micro_precision"), (F.sum("tp") / at_least(F.sum("nt").cast("double"))).alias("micro_recall"),
+            (F.sum(empty * (F.col("npred") == 0).cast("double")) / at_least(F.sum(empty))).alias("singleton_acc"), F.avg((F.col("f") == 1).cast("double")).alias("perfect"), F.sum("npred").cast("long").alias("links"),
+        )
+        rows = rows.withColumn("policy", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    base = out.where(F.col("policy") == next(iter(policies))).select(*([country] if country else []), F.col("macro_f05").alias("_base"))
+    both = out.join(base, country) if country else out.join(base)  # a row
+    return both.withColumn("gain", F.col("macro_f05") - F.col("_base")).drop("_base")
+
+
+def markdown(rows: list[dict], digits: int = 5) -> str:
+    """Rows of equal keys as a Markdown table."""
+    if not rows:
+        return ""
+    spell = lambda v: f"{v:.{digits}f}" if isinstance(v, float) else "-" if v is None else str(v)
+    lines = [list(rows[0]), ["-"] * len(rows[0]), *([spell(v) for v in r.values()] for r in rows)]
+    return "\n".join(f"| {' | '.join(line)} |" for line in lines) + "\n"
 
 
 def strongest(audit: DataFrame, k: int = 8) -> DataFrame:

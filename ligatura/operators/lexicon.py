@@ -23,7 +23,7 @@ def name_alignments(pairs: DataFrame) -> DataFrame:
 
 def address_cooccurrences(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Counts (fold, key, value, n) of Indic components with an entity's components, and (fold, key, n) of the components."""
-    parts = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), F.trim), lambda p: p != "")
+    parts = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ","), lambda p: F.trim(p)), lambda p: p != "")
     t = pairs.select("fold", F.explode(parts("t_addr")).alias("comp"), F.array_distinct(F.transform(parts("s_addr"), F.lower)).alias("values"))
     t = t.where(F.col("comp").rlike(tn.INDIC)).select("fold", tn.indic_key("comp").alias("key"), "values")
     met = t.select("fold", "key", F.explode("values").alias("value")).groupBy("fold", "key", "value").agg(F.count("*").alias("n"))

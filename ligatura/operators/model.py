@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ligatura.operators import decide
 from ligatura.operators.pairs import STAGE_1, STAGE_2, stage2_context
 
 DEPTH, RATE, SUBSAMPLE, LEAST_ROWS, BINS = 5, 0.1, 0.8, 5, 255
@@ -55,3 +56,19 @@ def two_stages(pairs: DataFrame, house_numbers: DataFrame, folds: list[int], rou
 
 def importance(model: GBTClassificationModel, names: tuple[str, ...]) -> list[tuple[str, float]]:
     return sorted(zip(names, model.featureImportances.toArray().tolist(), strict=True), key=lambda x: (-x[1], x[0]))
+
+
+def ablation(pairs: DataFrame, house_numbers: DataFrame, folds: list[int], truth: DataFrame, entities: DataFrame, groups: dict[str, tuple[str, ...]], rounds: tuple[int, int] = (20, 15), stage2: bool = True) -> list[dict]:
+    """Best macro F of the whole model and of the model without each group of features, which become constants, and without the second stage.
+
+    ``pairs`` should be written: every run reads it.
+    """
+    out: list[dict] = []
+    for name, dropped in {"baseline": (), **groups, **({"stage2": ()} if stage2 else {})}.items():
+        less = pairs.withColumns({c: F.lit(0.0) for c in dropped}) if dropped else pairs
+        scored, _, _ = two_stages(less, house_numbers, folds, rounds, stage2 and name != "stage2")
+        links = decide.link_table(scored.select("t", "s", F.col("p2").alias("p")), truth)
+        best = decide.best_threshold(decide.sweep(links, decide.entity_table(entities, truth))).first()
+        base = out[0]["macro_f05"] if out else best["macro_f05"]
+        out.append({"removed": name, "features": len(dropped), "threshold": best["threshold"], "macro_f05": best["macro_f05"], "gain": best["macro_f05"] - base})
+    return out

@@ -137,12 +137,13 @@ def rank_sum_auc(df: DataFrame, score: str, label: str) -> DataFrame:
     return tot.select(auc.alias("auc"), "n_pos", n_neg.alias("n_neg"))
 
 
-def ranked_cumulative(df: DataFrame, order: str, value: str) -> DataFrame:
+def ranked_cumulative(df: DataFrame, order: str | list[str], value: str) -> DataFrame:
     """``cum``: the running sum of ``value`` by ``order``, by range partitions and their offsets."""
-    spread = df.repartitionByRange(F.asc(order)).withColumn("_p", F.spark_partition_id())
+    order = [order] if isinstance(order, str) else order
+    spread = df.repartitionByRange(*map(F.asc, order)).withColumn("_p", F.spark_partition_id())
     sizes = spread.groupBy("_p").agg(F.sum(value).alias("_s"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
-    run = F.sum(value).over(Window.partitionBy("_p").orderBy(order))
+    run = F.sum(value).over(Window.partitionBy("_p").orderBy(*order))
     return spread.join(F.broadcast(before), "_p").withColumn("cum", run + F.col("_before")).drop("_p", "_before")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,6 +30,21 @@ def findings(lists: DataFrame, required: DataFrame, known: DataFrame | None = No
     return result
 
 
+def format_findings(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFrame:
+    """(check, id) of the file itself: empty_file, not_tab_separated, wrong_header (its first line), wrong_field_count (a line)."""
+    lines = spark.read.text(path)
+    first = lines.limit(1).collect()  # one line
+    if not first:
+        return spark.createDataFrame([("empty_file", path)], "check string, id string")
+    header = first[0]["value"]
+    if "\t" not in header and "," in header:
+        return spark.createDataFrame([("not_tab_separated", header)], "check string, id string")
+    if [c.strip().lower() for c in header.split("\t")] != list(columns):
+        return spark.createDataFrame([("wrong_header", header)], "check string, id string")
+    odd = lines.where(F.size(F.split("value", "\t")) != len(columns)).where(F.trim("value") != "")
+    return odd.select(F.lit("wrong_field_count").alias("check"), F.col("value").alias("id")).distinct()
+
+
 def outside_candidates(matched: DataFrame, candidates: DataFrame) -> DataFrame:
     """(s) of entities with matched ids that aren't among their candidates: a warning, not an error."""
     ids = lambda df: df.select("s", F.explode(F.split("ids", ",")).alias("t")).where("t != ''")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ligatura.operators import calibrate, decide, evaluate, model, pairs, validate
+from ligatura.operators import calibrate, decide, evaluate, isolation, model, pairs, validate
 from ligatura.plans import views as v
-from ligatura.plans.text_queries import prepared
+from ligatura.plans.text_queries import _SPELLED, lexicon_alignment, prepared
 from ligatura.sources.files import id_lists
 
 six = lambda c: (F.round(c, 6) + F.lit(0.0)).alias(c)  # no negative zero
@@ -197,26 +197,121 @@ def pair_features(spark, d):
 
 
 def leakage_audit(spark, d):
-    """Each feature's own AUC (no oracle: over the features above; the AUC operator has one)."""
-    return evaluate.leakage_audit(_features(spark, d).cache(), ["score", "cos_name", "nm_ratio", "ad_ratio", "rank"])
+    """Each of the 82 features' own AUC (no oracle: over the features above; the AUC operator has one)."""
+    return evaluate.leakage_audit(_features(spark, d), list(pairs.STAGE_1))
 
 
-def gbt_oof(spark, d):
-    """Out-of-fold scores of the cross-fitted first and second stage (no oracle: trained)."""
-    f = _features(spark, d)
+def strongest_features(spark, d):
+    """The features that alone tell most: the operator's own limit."""
+    return evaluate.strongest(leakage_audit(spark, d))
+
+
+def _ready(spark, d):
+    """Pairs with features and the folds of both sides; unmatched queries have folds of their own."""
     fold = lambda c: (F.substring_index(c, "-", -1).cast("long") % 2).cast("int")
-    ready = f.withColumns({"s_fold": fold("s"), "t_fold": fold("s")}).cache()
     hn = prepared(spark, d).select(F.col("entity_id").alias("id"), "a_hn")
-    scored, _, _ = model.two_stages(ready, hn, [0, 1], (3, 2))
+    return _features(spark, d).withColumns({"s_fold": fold("s"), "t_fold": fold("t")}).cache(), hn
+
+
+def gbt_oof(spark, d):
+    """Out-of-fold scores of the cross-fitted first and second stage, at the operator's own rounds (no oracle: trained)."""
+    ready, hn = _ready(spark, d)
+    scored, _, _ = model.two_stages(ready, hn, [0, 1])
     return scored.select("t", "s", "label", six("p1"), six("p2"))
 
 
+def feature_importance(spark, d):
+    """What each feature adds to the first stage of one fold (no oracle: trained)."""
+    ready, _ = _ready(spark, d)
+    _, models = model.cross_fit(ready, pairs.STAGE_1, [0], 20, "p1")
+    return spark.createDataFrame([(f, float(w)) for f, w in model.importance(models[0], pairs.STAGE_1)], "feature string, weight double")
+
+
+def label_canary(spark, d):
+    """Whether a model trained on labels shuffled within folds tells them out of fold (no oracle: trained)."""
+    ready, _ = _ready(spark, d)
+    auc = isolation.canary_auc(ready, pairs.STAGE_1, [0, 1], 5)
+    return spark.createDataFrame([(bool(auc < isolation.CANARY_LIMIT),)], "isolated boolean")
+
+
+def lexicon_isolation(spark, d):
+    """Words of one fold only that stand in a lexicon learned from all folds, as if it were that fold's own."""
+    counts = lexicon_alignment(spark, d)
+    every = counts.select("key").distinct().join(counts.select("fold").distinct())  # a handful of folds
+    return isolation.lexicon_leaks(counts, every)
+
+
+def ablation(spark, d):
+    """Macro F without two groups of features, few rounds, one stage (no oracle: trained)."""
+    ready, hn = _ready(spark, d)
+    rec = v.records(spark, d)
+    e = rec.where("src = 1").select(F.col("entity_id").alias("s"))
+    rows = model.ablation(ready, hn, [0, 1], v.truth(rec), e, {g: pairs.ABLATION[g] for g in ("retrieval", "strings")}, (5, 0), stage2=False)
+    return spark.createDataFrame([tuple(r.values()) for r in rows], "removed string, features int, threshold double, macro_f05 double, gain double")
+
+
+def holdout_policies(spark, d):
+    """Two policies on the whole population as if it were the hold-out."""
+    p, t, e, _, ents = _all(spark, d)
+    rec = v.records(spark, d).select(F.col("entity_id").alias("id"), "src", "country")
+    policies = {"base": decide.ThresholdPolicy(THRESHOLD), "by_source": decide.ThresholdPolicy(0.5, {"src=2": 0.3, "src=3": 0.7}, ["src"])}
+    rows = evaluate.holdout_policies(p, t, ents, rec, policies)
+    return rows.select("policy", "links", *(six(c) for c in ("macro_f05", "micro_precision", "micro_recall", "singleton_acc", "perfect", "gain")))
+
+
+def calibration_under_shift(spark, d):
+    """Calibration of the scores on shifted populations (no oracle: populations chosen by hash; the metrics have one)."""
+    p, t, *_ = _all(spark, d)
+    p = p.withColumns({"t_src": F.substring("t", 2, 1).cast("int"), "t_indic": F.substring("t", 2, 1) == "3"})
+    return evaluate.calibration_under_shift(p, t, ["matched_x0.5", "source_2_only", "indic_only"])
+
+
+def nested_calibration(spark, d):
+    """Calibrators fitted on other folds and applied to each (no oracle: iterative)."""
+    rows = _labelled(spark, d).withColumn("fold", (F.col("doc_id") % 2).cast("int")).cache()
+    out = calibrate.nested_report(rows, "p", "y", "fold", [0, 1], ["doc_id"])
+    return spark.createDataFrame([(k, *map(float, (m["log_loss"], m["brier"], m["ece"]))) for k, m in out.items()], "method string, log_loss double, brier double, ece double")
+
+
+def threshold_transfer(spark, d):
+    """Thresholds for twice the decoys: as trained, refitted on weighted decoys, shifted by the prior."""
+    p, t, e, links, ents = _all(spark, d)
+    labelled = p.join(t.withColumn("label", F.lit(1)), ["t", "s"], "left").fillna(0, ["label"])
+    chosen = decide.transfer_thresholds(links, ents.select("s", "nt"), labelled, t, 2.0, GRID)
+    return spark.createDataFrame(sorted(chosen.items()), "method string, threshold double")
+
+
+def _nested(spark, d):
+    links, ents = _keyed(spark, d)
+    folded = ents.withColumn("fold", (F.substring_index("s", "-", -1).cast("long") % 2).cast("int"))
+    return decide.nested_by_fold(links.withColumn("key_both", F.col("key")).cache(), folded.cache(), {"both": ["country", "src"]}, [0, 1], GRID, min_support=50, passes=1)
+
+
+def nested_policies(spark, d):
+    """Held-out gain of class thresholds over the global one, and on how many folds (no oracle: iterative)."""
+    return decide.nested_gains(_nested(spark, d)).select("config", six("macro_f05"), six("gain"), "folds_better")
+
+
+def policy_selection(spark, d):
+    """The configuration that a least gain chooses (no oracle: over the iterative fits above)."""
+    scores = {r["config"]: r["macro_f05"] for r in nested_policies(spark, d).collect()}  # a row a configuration
+    return spark.createDataFrame([(gain, decide.select_configuration(scores, gain)) for gain in (0.0, 1e-4, 1.0)], "least_gain double, chosen string")
+
+
+def per_fold_best(spark, d):
+    *_, links, ents = _all(spark, d)
+    folded = ents.withColumn("fold", (F.substring_index("s", "-", -1).cast("long") % 4).cast("int"))
+    return evaluate.per_fold_best(links, folded, THRESHOLD, [0, 1, 2, 3], GRID).select("fold", six("macro_f05"), six("own_threshold"), six("own_f05"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         assign, link_table, entity_scores, macro_f05, metrics_at, metrics_by_country, threshold_sweep, best_threshold, precision_floor, pair_level_metrics, per_fold_metrics,
         decoy_ratio, class_decoy_ratio, class_keys, policy_thresholds, class_report, fit_class_policy, error_categories, false_links, robustness, submission_lists,
         submission_validate, calibration_metrics, prior_shift, platt_apply, isotonic_apply, calibrators_fitted, expected_f_decode, pair_features, leakage_audit, gbt_oof,
+        strongest_features, feature_importance, label_canary, lexicon_isolation, ablation, holdout_policies, calibration_under_shift, nested_calibration, threshold_transfer, nested_policies,
+        policy_selection, per_fold_best,
     )
 }
 
@@ -264,4 +359,17 @@ SQL = {
     "prior_shift": _CAL + " SELECT doc_id, round(1 / (1 + exp(-(ln(e / (1 - e)) + ln(0.5::DOUBLE)))), 6) AS q FROM c",
     "platt_apply": _CAL + " SELECT doc_id, round(1 / (1 + exp(-(0.8::DOUBLE * least(greatest(ln(e / (1 - e)), -12), 12) - 0.1))), 6) AS q FROM c",
     "isotonic_apply": _CAL + " SELECT doc_id, CASE WHEN p >= 0.6 THEN 0.9 WHEN p >= 0.3 THEN 0.5 ELSE 0.2 END::DOUBLE AS q FROM c",
+    "lexicon_isolation": _SPELLED + " SELECT min(fold) AS fold, key FROM al GROUP BY key HAVING count(DISTINCT fold) = 1",
+    "holdout_policies": _KEYS
+    + ", lk AS (SELECT k.*, CAST(a.src AS INTEGER) AS src FROM keyed k JOIN records a ON a.entity_id = k.t), po AS (SELECT * FROM (VALUES ('base', 0.5::DOUBLE, 0.5::DOUBLE), ('by_source', 0.3::DOUBLE, 0.7::DOUBLE)) x(policy, p2, p3)), "
+    "su AS (SELECT policy, s, sum(CAST(tp AS DOUBLE)) AS tp, CAST(count(*) AS DOUBLE) AS np FROM lk, po WHERE p >= CASE src WHEN 2 THEN p2 ELSE p3 END GROUP BY 1, 2), "
+    "jo AS (SELECT policy, e.s, nt, coalesce(tp, 0) AS tp, coalesce(np, 0) AS np FROM po CROSS JOIN entities e LEFT JOIN su USING (policy, s)), "
+    "pr AS (SELECT *, CASE WHEN np > 0 THEN tp / np ELSE 0.0 END AS pre, CASE WHEN nt > 0 THEN tp / nt ELSE 0.0 END AS rec FROM jo), "
+    "sc AS (SELECT *, CASE WHEN nt = 0 AND np = 0 THEN 1.0 WHEN nt = 0 THEN 0.0 WHEN pre + rec > 0 THEN 1.25 * pre * rec / (0.25 * pre + rec) ELSE 0.0 END AS f FROM pr), "
+    "ag AS (SELECT policy, avg(f) AS f, sum(tp) / greatest(sum(np), 1) AS mp, sum(tp) / greatest(sum(nt), 1) AS mr, (count(*) FILTER (nt = 0 AND np = 0)) / greatest(count(*) FILTER (nt = 0), 1) AS sa, avg(CASE WHEN f = 1 THEN 1.0::DOUBLE ELSE 0.0 END) AS pf, CAST(sum(np) AS BIGINT) AS links FROM sc GROUP BY 1) "
+    "SELECT policy, links, round(f, 6) AS macro_f05, round(mp, 6) AS micro_precision, round(mr, 6) AS micro_recall, round(sa, 6) AS singleton_acc, round(pf, 6) AS perfect, round(f - (SELECT f FROM ag WHERE policy = 'base'), 6) + 0.0::DOUBLE AS gain FROM ag",
+    "per_fold_best": _sweep("1.0")
+    + ", fo AS (SELECT threshold, CAST(" + _NO.format(c="s") + " % 4 AS INTEGER) AS fold, avg(CASE WHEN nt = 0 AND npred = 0 THEN 1.0 WHEN nt = 0 THEN 0.0 WHEN pre + rec > 0 THEN 1.25 * pre * rec / (0.25 * pre + rec) ELSE 0.0 END) AS f FROM pr GROUP BY 1, 2), "
+    "rk AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY round(f, 12) DESC, threshold) AS rn FROM fo) "
+    "SELECT a.fold, round(b.f, 6) AS macro_f05, round(a.threshold, 6) AS own_threshold, round(a.f, 6) AS own_f05 FROM rk a JOIN fo b ON b.fold = a.fold AND b.threshold = 0.5 WHERE a.rn = 1",
 }

@@ -6,14 +6,14 @@ test split:  prepare -> blocking -> pair features -> scores -> policy -> id list
 
 from __future__ import annotations
 
-import os
+import json
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ligatura.functions import textnorm as tn
-from ligatura.operators import blocking, calibrate, decide, evaluate, folds, lexicon, model, pairs
+from ligatura.operators import blocking, calibrate, decide, evaluate, folds, isolation, lexicon, model, pairs
 from ligatura.operators.checkpoint import Checkpoint
 from ligatura.operators.relational import hash_range
 from ligatura.sources import files
@@ -54,12 +54,13 @@ class Workspace:
         names = lexicon.name_alignments(script)
         met, _ = lexicon.address_cooccurrences(script)
         for kind, counts in (("names", names), ("addresses", met)):
+            files.write_table(counts, self.table("train", f"counts_{kind}"))
             files.write_table(lexicon.fold_lexicons(counts, fold.where("fold >= 0").select("fold"), least), self.table("train", f"lexicon_{kind}"))
 
     def prepare(self, split: str) -> DataFrame:
         """All records normalised; a training record uses the lexicon that its own fold had no part in."""
         rec = files.read_records(self.spark, self.data, split)
-        entries = [self.read("train", f"lexicon_{kind}") for kind in ("names", "addresses")] if os.path.exists(self.table("train", "lexicon_names")) else None
+        entries = [self.read("train", f"lexicon_{kind}") for kind in ("names", "addresses")] if files.exists(self.table("train", "lexicon_names")) else None
         normal = lambda df, fold: tn.normalize(df, "business_name", "business_address", "country", tuple(lexicon.as_map(e, fold) for e in entries) if entries else None)
         if split != "train":
             out = normal(rec, None)
@@ -78,7 +79,7 @@ class Workspace:
         f = blocking.explode_features(rec)
         src = rec.select(F.col("entity_id").alias("id"), "src")
         both = f.join(src, "id")
-        ix = blocking.Index(both.where("src = 1").drop("src"), both.where("src <> 1").drop("src"), rec.where("src = 1"))
+        ix = blocking.Index(both.where("src = 1").drop("src"), both.where("src <> 1").drop("src"), rec.where("src = 1")).stored(self.table(split, "weights"))
         found = ix.retrieve(max(k, recall_k) if split == "train" else k, df_cap, min_score)
         files.write_table(found, self.table(split, "retrieved"))
         found = self.read(split, "retrieved")
@@ -153,11 +154,13 @@ class Workspace:
     @staticmethod
     def _save(ck: Checkpoint, policy: decide.ThresholdPolicy) -> str:
         path = ck.path("thresholds", f"{policy.name.replace('|', '_')}.json")
-        os.makedirs(os.path.dirname(path), exist_ok=True)
-        with open(path, "w") as f:
-            f.write(policy.to_json())
+        files.write_json(json.loads(policy.to_json()), path)
         return path
 
+    @staticmethod
+    def _policy(path: str) -> decide.ThresholdPolicy:
+        return decide.ThresholdPolicy.from_json(json.dumps(files.read_json(path)))
+
     def tune_thresholds(self, ck: Checkpoint, class_by: str, min_support: int = 200, min_gain: float = 1e-4) -> decide.ThresholdPolicy:
         """A per-class policy if it beats the global one on held-out folds, else the global one."""
         links, ents = self.links(ck, class_by)
@@ -185,7 +188,8 @@ class Workspace:
                 first = first.withColumn("p2", F.col("p1"))
             return first.select("t", "s", "p1", "p2", calibrate.apply(files.read_json(ck.path("calibration.json")), "p2").alias("p"))
 
-        return files.cached_table(self.spark, self.table("test", f"scores_{ck.name}"), build)
+        made_of = {"model": ck.manifest["created"], "trained": files.fingerprint(ck.folder, "model.json"), "pairs": files.fingerprint(self.table("test", "pairs"), ".parquet")}
+        return files.cached_table(self.spark, self.table("test", f"scores_{ck.name}"), build, made_of)
 
     def predict(self, ck: Checkpoint, out_dir: str, threshold: float | None = None, policy_file: str | None = None, decoder: str = "threshold") -> DataFrame:
         """Links of the test split and the two id-list files."""
@@ -194,9 +198,8 @@ class Workspace:
         selected = ck.path("selected.json")
         if threshold is not None:
             policy = decide.ThresholdPolicy(threshold)
-        elif policy_file or os.path.exists(selected):
-            with open(policy_file or files.read_json(selected)["policy"]) as f:
-                policy = decide.ThresholdPolicy.from_json(f.read())
+        elif policy_file or files.exists(selected):
+            policy = self._policy(policy_file or files.read_json(selected)["policy"])
         else:
             policy = decide.ThresholdPolicy(files.read_json(ck.path("model.json"))["threshold"])
         if decoder == "expected_f":
@@ -209,28 +212,81 @@ class Workspace:
         files.write_tsv(files.id_lists(s, scored, "candidate_entity_ids").orderBy("source1_entity_id"), f"{out_dir}/candidate_pairs")
         return links
 
-    def leakage_check(self, ck: Checkpoint) -> dict:
-        """Group and pair isolation, one score a pair, no feature that gives the label away."""
+    def leakage_check(self, ck: Checkpoint, canary_rounds: int = 10) -> dict:
+        """Group, pair and lexicon isolation, one score a pair, no feature that gives the label away, nothing learned from shuffled labels."""
         f = self.read("train", "folds")
         s = f.where("group_key is not null").select("group_key", "fold")
         out = {r["check"]: r["violations"] for r in folds.isolation_audit(s, f, self.truth()).collect()}
         oof = self.spark.read.parquet(ck.path("oof"))
         out["pairs_scored_twice"] = oof.groupBy("t", "s").count().where("count > 1").count()
-        audit = evaluate.leakage_audit(self.spark.read.parquet(ck.path("ready")), ["score", "gap_second", "nm_ratio", "ad_ratio"])
+        out["true_pairs_across_folds"] = oof.where("label = 1 and s_fold <> t_fold").count()
+        for kind in ("names", "addresses"):
+            lexicons, counts = (self.table("train", f"{name}_{kind}") for name in ("lexicon", "counts"))
+            if files.exists(lexicons):
+                out[f"lexicon_{kind}_leaks"] = isolation.lexicon_leaks(self.spark.read.parquet(counts), self.spark.read.parquet(lexicons)).count()
+        ready = self.spark.read.parquet(ck.path("ready"))
+        audit = evaluate.leakage_audit(ready, list(pairs.STAGE_1))
         out["features_that_leak"] = audit.where("suspicious").count()
-        return out | {"ok": not any(out.values())}
+        numbers = sorted(r["s_fold"] for r in ready.select("s_fold").distinct().collect())  # a handful
+        auc = isolation.canary_auc(ready, pairs.STAGE_1, numbers, canary_rounds)
+        out["learned_from_shuffled_labels"] = int(not auc < isolation.CANARY_LIMIT)
+        found = {"canary_auc": auc, "cross_fold_share": oof.agg(evaluate.cross_fold_share(oof)).first()[0], "strongest": {r["feature"]: r["auc"] for r in evaluate.strongest(audit).collect()}}
+        return out | {"ok": not any(out.values())} | found
 
-    def subset(self, out_dir: str, share: float, decoy_share: float | None = None) -> None:
-        """A smaller data folder: whole name groups of entities, all their true records, and a share of decoys."""
-        rec = files.read_records(self.spark, self.data, "train")
+    def ablate(self, ck: Checkpoint, rounds: tuple[int, int] = (20, 15), groups: tuple[str, ...] = tuple(pairs.ABLATION)) -> list[dict]:
+        """The model without each group of features: rows in ``ablation.json`` and as Markdown."""
+        ready = self.spark.read.parquet(ck.path("ready"))
+        numbers = sorted(r["s_fold"] for r in ready.select("s_fold").distinct().collect())  # a handful
+        rec = self.read("train", "records")
+        entities = rec.where("src = 1").select(F.col("entity_id").alias("s"))
+        rows = model.ablation(ready, rec.select(F.col("entity_id").alias("id"), "a_hn"), numbers, self.truth(), entities, {g: pairs.ABLATION[g] for g in groups}, rounds)
+        files.write_json(rows, f"{self.work}/ablation.json")
+        files.write_json(evaluate.markdown(rows), f"{self.work}/ablation.md.json")
+        return rows
+
+    def evaluate_policies(self, ck: Checkpoint, truth: DataFrame, policy_files: list[str]) -> list[dict]:
+        """Every policy on the labelled hold-out in the test split, the first as the base."""
+        rec = self.read("test", "records").withColumnRenamed("entity_id", "id")
+        entities = decide.entity_table(rec.where("src = 1").select(F.col("id").alias("s")), truth)
+        policies = {p.name: p for p in map(self._policy, policy_files)}
+        rows = [r.asDict() for r in evaluate.holdout_policies(self.score_test(ck).select("t", "s", "p"), truth, entities, rec, policies).collect()]  # a row a policy
+        files.write_json(rows, f"{self.work}/holdout_policies.json")
+        ck.log({"kind": "holdout", "results": rows})
+        return rows
+
+    def report(self, ck: Checkpoint) -> str:
+        """What is known of a run, as Markdown."""
+        m = files.read_json(ck.path("model.json"))
+        links, ents = self.links(ck)
+        numbers = sorted(r["fold"] for r in ents.select("fold").distinct().collect())  # a handful
+        per_fold = [r.asDict() for r in evaluate.per_fold_best(links, ents, m["threshold"], numbers).orderBy("fold").collect()]
+        at = decide.metrics_at(links, ents.select("s", "nt"), m["threshold"]).first().asDict()
+        parts = [f"# Run {ck.name}", evaluate.markdown([at]), "## Per fold", evaluate.markdown(per_fold)]
+        for title, path in (("Retrieval", f"{self.work}/blocking_recall.json"), ("Ablation", f"{self.work}/ablation.json"), ("Policies on the hold-out", f"{self.work}/holdout_policies.json")):
+            if files.exists(path):
+                found = files.read_json(path)
+                parts += [f"## {title}", evaluate.markdown(found if isinstance(found, list) else [{"k": k, "recall": v} for k, v in found.items()])]
+        return "\n\n".join(parts)
+
+    def subset(self, out_dir: str, share: float, decoy_mult: float = 1.0, test_share: float = 0.0, test_decoy_mult: float = 2.0) -> None:
+        """A smaller data folder: whole name groups of entities, all their true records, and a share of decoys.
+
+        With ``test_share`` also a labelled hold-out as its test split: name groups and decoys that training hasn't, with
+        ``test_decoy_mult`` times the decoys.
+        """
+        rec, truth = files.read_records(self.spark, self.data, "train"), self.truth()
         key = F.concat_ws("|", F.lower("business_name"), "country")
-        s = hash_range(rec.where("src = 1"), key, 0.0, share)
-        truth = self.truth()
-        matched = truth.join(s.select(F.col("entity_id").alias("s")), "s", "left_semi").select(F.col("t").alias("entity_id"))
-        decoys = hash_range(rec.where("src <> 1").join(truth.select(F.col("t").alias("entity_id")), "entity_id", "left_anti"), "entity_id", 0.0, share if decoy_share is None else decoy_share)
-        kept = s.select("entity_id").unionByName(matched).unionByName(decoys.select("entity_id"))
-        chosen = rec.join(kept.distinct(), "entity_id", "left_semi")
-        for k, source in enumerate(files.SOURCES):
-            files.write_tsv(chosen.where(F.col("src") == k + 1).select(*files.RECORD_COLUMNS), files.source_path(out_dir, "train", source))
-        lists = files.id_lists(s.select(F.col("entity_id").alias("s")), truth, "matched_entity_ids")
-        files.write_tsv(lists, f"{out_dir}/train/train_ground_truth.tsv")
+        decoys = rec.where("src <> 1").join(truth.select(F.col("t").alias("entity_id")), "entity_id", "left_anti")
+        end = share * decoy_mult
+        plan = [("train", (0.0, share), (0.0, end), "train_ground_truth")]
+        if test_share:
+            plan.append(("test", (share, share + test_share), (end, end + test_share * test_decoy_mult), "subset_ground_truth"))
+        for split, own, drawn, name in plan:
+            s = hash_range(rec.where("src = 1"), key, *own)
+            ids = s.select(F.col("entity_id").alias("s"))
+            matched = truth.join(ids, "s", "left_semi").select(F.col("t").alias("entity_id"))
+            kept = s.select("entity_id").unionByName(matched).unionByName(hash_range(decoys, "entity_id", *drawn).select("entity_id"))
+            chosen = rec.join(kept.distinct(), "entity_id", "left_semi")
+            for k, source in enumerate(files.SOURCES):
+                files.write_tsv(chosen.where(F.col("src") == k + 1).select(*files.RECORD_COLUMNS), files.source_path(out_dir, split, source))
+            files.write_tsv(files.id_lists(ids, truth, "matched_entity_ids"), f"{out_dir}/{split}/{name}.tsv")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ligatura.operators import relational as rel
 from ligatura.plans.views import table
+from ligatura.sources import files
 
 
 def _load(spark: SparkSession, d: str, *names: str) -> list[DataFrame]:
@@ -38,7 +39,8 @@ def join_semi(spark, d):
 
 def join_anti(spark, d):
     c, o = _load(spark, d, "customer", "orders")
-    return c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey", "c_name")
+    large = o.where("o_totalprice >= 250000").select(F.col("o_custkey").alias("c_custkey"))
+    return c.join(large, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 
 def join_membership(spark, d):
@@ -181,6 +183,18 @@ def list_overlap(spark, d):
     return _overlaps(spark, d).select("doc_id", "item_id", "common", (F.size(F.array_distinct("b")) - F.col("common")).alias("missing"))
 
 
+def list_difference(spark, d):
+    """An item's words that a document lacks which has at least half of them."""
+    near = _overlaps(spark, d).where(2 * F.col("common") >= F.size(F.array_distinct("b")))
+    return near.select("doc_id", "item_id", F.array_join(F.array_sort(rel.difference("b", "a")), " ").alias("missing"))
+
+
+def table_columns(spark, d):
+    """Names of a table's columns, from its footers alone."""
+    names = files.table_columns(spark, f"{d}/documents.parquet")
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "place int, name string")
+
+
 def jaccard_features(spark, d):
     c = F.col("common")
     return _overlaps(spark, d).select("doc_id", "item_id", F.round(c / F.greatest(F.size("a") + F.size("b") - c, F.lit(1)), 6).alias("jacc"), F.round(c / F.greatest(F.size("b"), F.lit(1)), 6).alias("cov"))
@@ -230,16 +244,19 @@ QUERIES = {
         join_inner, join_composite, join_left_default, join_semi, join_anti, join_membership, join_lookup_default, join_multiway, union_sources, union_distinct, value_counts,
         distinct_counts, distinct_rows, multi_agg_conditional, set_collect_join, mean_of_boolean, global_max_scalar, weighted_bincount, std_min_max, most_common_value,
         leave_one_fold_out, context_windows, conditional_count_window, ordinal_rank, second_best, leave_one_out_sums, row_index_in_group, argmax_per_key, topk_per_key,
-        worst_examples, list_overlap, jaccard_features, equal_width_bins, equal_freq_bins, auc_rank_sum, sample_hash_range, sample_exact_n, sample_bernoulli, cumulative_by_score,
+        worst_examples, list_overlap, list_difference, table_columns, jaccard_features, equal_width_bins, equal_freq_bins, auc_rank_sum, sample_hash_range, sample_exact_n, sample_bernoulli, cumulative_by_score,
     )
 }
 
+_SHARED = """WITH d AS (SELECT doc_id, string_split(lower(text), ' ') AS w FROM documents), b AS (SELECT item_id, string_split(lower(text), ' ') AS w, len(list_distinct(w)) AS nd FROM benchmark),
+  dw AS (SELECT DISTINCT doc_id, unnest(w) AS x FROM d), bw AS (SELECT DISTINCT item_id, unnest(w) AS x FROM b),
+  shared AS (SELECT doc_id, item_id, count(*) AS common FROM dw JOIN bw USING (x) GROUP BY 1, 2)"""
 SQL = {
     "join_inner": "SELECT c_mktsegment, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1",
     "join_composite": "WITH b AS (SELECT l_partkey, l_suppkey, max(l_quantity) AS most FROM lineitem GROUP BY 1, 2) SELECT l_suppkey, count(*) AS n FROM lineitem JOIN b USING (l_partkey, l_suppkey) WHERE l_quantity = most GROUP BY 1",
     "join_left_default": "SELECT c_custkey, count(o_orderkey) AS n_orders FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1",
     "join_semi": "SELECT p_partkey, p_brand FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)",
-    "join_anti": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "join_anti": "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice >= 250000)",
     "join_membership": "SELECT c_mktsegment, c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000) AS big, count(*) AS n FROM customer GROUP BY 1, 2",
     "join_lookup_default": "SELECT o_orderpriority, CASE o_orderpriority WHEN '1-URGENT' THEN CAST(0.9 AS DOUBLE) WHEN '2-HIGH' THEN 0.8 ELSE 0.5 END AS thr, count(*) AS n FROM orders GROUP BY 1, 2",
     "join_multiway": "SELECT r_name, count(*) AS n, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1",
@@ -265,8 +282,10 @@ SQL = {
     "argmax_per_key": "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn = 1",
     "topk_per_key": "SELECT o_custkey, o_orderkey, rn FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3",
     "worst_examples": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 15",
-    "list_overlap": "WITH p AS (SELECT doc_id, item_id, string_split(lower(d.text), ' ') AS a, string_split(lower(b.text), ' ') AS b FROM documents d JOIN benchmark b ON doc_id % 40 = item_id % 40) SELECT doc_id, item_id, CAST(len(list_intersect(a, b)) AS INTEGER) AS common, CAST(len(list_filter(list_distinct(b), lambda x: NOT list_contains(a, x))) AS INTEGER) AS missing FROM p",
-    "jaccard_features": "WITH p AS (SELECT doc_id, item_id, string_split(lower(d.text), ' ') AS a, string_split(lower(b.text), ' ') AS b FROM documents d JOIN benchmark b ON doc_id % 40 = item_id % 40), c AS (SELECT *, len(list_intersect(a, b)) AS c FROM p) SELECT doc_id, item_id, round(c / greatest(len(a) + len(b) - c, 1), 6) AS jacc, round(c / greatest(len(b), 1), 6) AS cov FROM c",
+    "table_columns": "SELECT CAST(ordinal_position - 1 AS INTEGER) AS place, column_name AS name FROM information_schema.columns WHERE table_name = 'documents'",
+    "list_overlap": _SHARED + " SELECT doc_id, item_id, CAST(common AS INTEGER) AS common, CAST(nd - common AS INTEGER) AS missing FROM shared JOIN d USING (doc_id) JOIN b USING (item_id)",
+    "list_difference": _SHARED + " SELECT doc_id, item_id, array_to_string(list_sort(list_filter(list_distinct(b.w), lambda x: NOT list_contains(d.w, x))), ' ') AS missing FROM shared JOIN d USING (doc_id) JOIN b USING (item_id) WHERE 2 * common >= nd",
+    "jaccard_features": _SHARED + " SELECT doc_id, item_id, round(common / greatest(len(d.w) + len(b.w) - common, 1), 6) AS jacc, round(common / greatest(len(b.w), 1), 6) AS cov FROM shared JOIN d USING (doc_id) JOIN b USING (item_id)",
     "equal_width_bins": f"WITH {_SCORED}, s AS (SELECT least(n_chars / 5000.0::DOUBLE, 1.0) AS p, quality FROM scored) SELECT CAST(least(floor(p * 15), 14) AS BIGINT) AS bin, count(*) AS n, round(avg(p), 6) AS mean_pred, round(avg(quality), 6) AS frac_pos FROM s GROUP BY 1",
     "equal_freq_bins": f"WITH {_SCORED}, r AS (SELECT n_chars / 5000.0::DOUBLE AS p, quality, row_number() OVER (ORDER BY n_chars, doc_id) - 1 AS pos, count(*) OVER () AS n FROM scored), b AS (SELECT *, (SELECT max(j) FROM generate_series(0, 9) g(j) WHERE j * n // 10 <= pos) AS bin FROM r) SELECT bin, round(avg(p), 6) AS x, round(avg(quality), 6) AS y, count(*) AS w FROM b GROUP BY 1",
     "auc_rank_sum": f"WITH {_SCORED}, r AS (SELECT quality, rank() OVER (ORDER BY n_chars) + (count(*) OVER (PARTITION BY n_chars) - 1) / 2.0::DOUBLE AS r FROM scored), t AS (SELECT sum(r) FILTER (quality = 1) AS u, count(*) FILTER (quality = 1) AS n_pos, count(*) FILTER (quality = 0) AS n_neg FROM r) SELECT round((u - n_pos * (n_pos + 1) / 2.0::DOUBLE) / (n_pos * n_neg), 6) AS auc, n_pos, n_neg FROM t",

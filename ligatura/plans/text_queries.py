@@ -47,13 +47,20 @@ def phonetic_skeleton(spark, d):
 
 
 def domain_extract(spark, d):
-    host = F.regexp_extract("url", "^https?://([^/?#]+)", 1)
-    return v.table(spark, d, "pages").select("page_id", F.regexp_extract(F.lower(host), r"([a-z0-9-]+)\.(?:com|net|org)$", 1).alias("domain"))
+    """The name that a web address stands for, by the name normalisation."""
+    host = F.regexp_extract("url", "^https?://([^/?#.]+)", 1)
+    ends = F.array(*map(F.lit, (".com", ".co.in", ".fr", " inc", "")))
+    name = F.concat(F.when(F.col("page_id") % 2 == 0, "https://www.x").otherwise("x"), host, F.element_at(ends, (F.col("page_id") % 5 + 1).cast("int")))
+    return v.table(spark, d, "pages").select("page_id", tn.norm_name(name, F.lit(""))["n_domain"].alias("domain"))
 
 
 def alias_parts(spark, d):
-    b = v.biz(spark, d).withColumn("x", F.concat("business_name", F.lit(" DBA: "), "country"))
-    return b.select("p_partkey", F.size(tn.alias_parts("x")).alias("n_parts"), F.element_at(tn.alias_parts("x"), -1).alias("last"))
+    """One to three names in one field."""
+    k = F.col("p_partkey") % 4
+    x = F.when(k == 1, F.concat("business_name", F.lit(" DBA: "), "country")).when(k == 2, F.concat("business_name", F.lit(" | "), "country", F.lit(" formerly "), F.col("p_partkey").cast("string")))
+    b = v.biz(spark, d).withColumn("x", F.when(k == 3, F.concat(F.lit("(ID: 7) "), "business_name")).otherwise(F.coalesce(x, "business_name")))
+    parts = tn.alias_parts("x")
+    return b.select("p_partkey", F.size(parts).alias("n_parts"), F.trim(F.element_at(parts, 1)).alias("first"), F.trim(F.element_at(parts, -1)).alias("last"))
 
 
 def indic_predicate(spark, d):
@@ -118,11 +125,27 @@ def lexicon_loo(spark, d):
     return lexicon.fold_lexicons(counts, counts.select("fold"), 2, 0.1)
 
 
+def transliterated(spark, d):
+    """Names and components of another script by the lexicon of all folds."""
+    b = _spelled(spark, d)
+    counts = lexicon.name_alignments(b)
+    entries = lexicon.as_map(lexicon.fold_lexicons(counts, counts.select("fold"), 2, 0.1), None)
+    word = F.split("t_name", " ")[0]
+    return b.select(tn.transliterate_words("t_name", entries).alias("words"), tn.transliterate_component(word, entries).alias("component"))
+
+
+def address_cooccurrence(spark, d):
+    """How often components of another script meet an entity's address components."""
+    word = F.translate(F.col("p_partkey").cast("string"), "0123456789", "".join(chr(0x0915 + k) for k in range(10))).substr(1, 1)
+    b = v.biz(spark, d).select((F.col("p_partkey") % 4).cast("int").alias("fold"), F.concat(word, F.lit(", "), "country").alias("t_addr"), F.col("business_address").alias("s_addr"))
+    return lexicon.address_cooccurrences(b)[0]
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         norm_tokens, norm_name, norm_addr, blocking_feature_strings, records_prepared, phonetic_skeleton, domain_extract, alias_parts, indic_predicate, sim_indel_ratio,
-        sim_indel_native, sim_token_sort, sim_token_set, sim_partial, sim_jaro_winkler, hn_relation, tok_unmatched, lexicon_alignment, lexicon_loo,
+        sim_indel_native, sim_token_sort, sim_token_set, sim_partial, sim_jaro_winkler, hn_relation, tok_unmatched, lexicon_alignment, lexicon_loo, transliterated, address_cooccurrence,
     )
 }
 
@@ -137,11 +160,25 @@ _SPELLED = f"""WITH {v.BIZ_SQL}, sp AS (SELECT CAST(p_partkey % 4 AS INTEGER) AS
   al AS (SELECT fold, key, value, count(*) AS n FROM sp GROUP BY 1, 2, 3)"""
 _REPEAT = "list_reduce(list_prepend('', string_split({x}, '')), lambda acc, c: CASE WHEN right(acc, 1) = c THEN acc ELSE acc || c END)"
 _N = "WITH p AS (SELECT DISTINCT lower(p_name) AS n FROM part), q AS (SELECT a.n AS a, b.n AS b FROM p a JOIN p b ON a.n < b.n)"
+#: Longest common subsequences of x and y of all name pairs, a row of the table for each character of x.
+_LCS = """WITH RECURSIVE p AS (SELECT DISTINCT lower(p_name) AS n FROM part), q AS (SELECT a.n AS a, b.n AS b FROM p a JOIN p b ON a.n < b.n), s AS (SELECT a, b, {a} AS x, {b} AS y FROM q),
+  r(a, b, x, y, k, line) AS (SELECT a, b, x, y, 0, list_transform(range(0, length(y) + 1), lambda i: 0) FROM s UNION ALL
+    SELECT a, b, x, y, k + 1, list_prepend(0, list_transform(range(1, length(y) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda i: greatest(line[i + 1], line[i] + CASE WHEN substr(y, i, 1) = substr(x, k + 1, 1) THEN 1 ELSE 0 END))))) FROM r WHERE k < length(x)),
+  done AS (SELECT a, b, x, y, line[length(y) + 1] AS lcs FROM r WHERE k = length(x))"""
+_SORTED = "array_to_string(list_sort(string_split({}, ' ')), ' ')"
+_OWN = "trim(array_to_string(list_sort(list_intersect(string_split({0}, ' '), string_split({1}, ' '))), ' ') || ' ' || array_to_string(list_sort(list_distinct(list_filter(string_split({0}, ' '), lambda t: NOT list_contains(string_split({1}, ' '), t)))), ' '))"
 SQL = {
     "norm_tokens": f"WITH {v.BIZ_SQL} SELECT p_partkey, trim(regexp_replace(lower(business_name), '[^a-z0-9]+', ' ', 'g')) AS tokens FROM biz",
     "phonetic_skeleton": f"WITH w AS (SELECT DISTINCT unnest(string_split(lower(p_name), ' ')) AS word FROM part), s AS (SELECT word, translate({_SKELETON}, 'cqwvzg', 'kkbbjj') AS t FROM w), u AS (SELECT word, substr(t, 1, 1) || regexp_replace(substr(t, 2), '[aeiouy]', '', 'g') AS t FROM s) SELECT word, CASE WHEN length(word) < 3 OR NOT regexp_matches(word, '^[a-z]+$') THEN word ELSE {_REPEAT.format(x='t')} END AS skeleton FROM u",
-    "domain_extract": "SELECT page_id, regexp_extract(lower(regexp_extract(url, '^https?://([^/?#]+)', 1)), '([a-z0-9-]+)\\.(?:com|net|org)$', 1) AS domain FROM pages",
-    "alias_parts": f"WITH {v.BIZ_SQL} SELECT p_partkey, CAST(2 AS INTEGER) AS n_parts, country AS last FROM biz",
+    "domain_extract": "SELECT page_id, CASE WHEN page_id % 5 < 3 THEN 'x' || replace(regexp_extract(url, '^https?://([^/?#.]+)', 1), '-', '') ELSE '' END AS domain FROM pages",
+    "alias_parts": f"WITH {v.BIZ_SQL} SELECT p_partkey, CAST([1, 2, 3, 1][p_partkey % 4 + 1] AS INTEGER) AS n_parts, business_name AS first, CASE p_partkey % 4 WHEN 1 THEN country WHEN 2 THEN CAST(p_partkey AS VARCHAR) ELSE business_name END AS last FROM biz",
+    "sim_indel_ratio": _LCS.format(a="a", b="b") + " SELECT a, b, round(200.0::DOUBLE * lcs / (length(a) + length(b)), 6) AS ratio FROM done",
+    "sim_indel_native": _LCS.format(a="a", b="b") + " SELECT a, b, round(200.0::DOUBLE * lcs / (length(a) + length(b)), 6) AS ratio FROM done",
+    "sim_token_sort": _LCS.format(a=_SORTED.format("a"), b=_SORTED.format("b")) + " SELECT a, b, round(200.0::DOUBLE * lcs / (length(x) + length(y)), 6) AS ratio FROM done",
+    "sim_token_set": _LCS.format(a=_OWN.format("a", "b"), b=_OWN.format("b", "a"))
+    + ", c AS (SELECT *, length(array_to_string(list_intersect(string_split(a, ' '), string_split(b, ' ')), ' ')) AS n FROM done) SELECT a, b, round(CASE WHEN n > 0 AND (n = length(x) OR n = length(y)) THEN 100.0::DOUBLE ELSE greatest(200.0::DOUBLE * lcs / (length(x) + length(y)), CASE WHEN n > 0 THEN greatest(200.0::DOUBLE * n / (n + length(x)), 200.0::DOUBLE * n / (n + length(y))) ELSE 0 END) END, 6) AS ratio FROM c",
+    "transliterated": _SPELLED + ", w AS (SELECT key, value, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY key) AS total, row_number() OVER (PARTITION BY key ORDER BY sum(n) DESC, value) AS rn FROM al GROUP BY 1, 2), e AS (SELECT key, value FROM w WHERE rn = 1 AND n >= 2 AND n >= 0.1 * total) SELECT coalesce(e.value, p.key) || ' ' || string_split(business_name, ' ')[2] AS words, coalesce(e.value, p.key) AS component FROM (SELECT *, substr(" + _MAP + ", 1, 2) AS key FROM biz) p LEFT JOIN e ON e.key = p.key",
+    "address_cooccurrence": f"WITH {v.BIZ_SQL}, x AS (SELECT CAST(p_partkey % 4 AS INTEGER) AS fold, substr({_MAP}, 1, 1) AS key, unnest(list_distinct([lower(trim(y)) for y in string_split(business_address, ',')])) AS value FROM biz) SELECT fold, key, value, count(*) AS n FROM x GROUP BY 1, 2, 3",
     "indic_predicate": f"WITH {v.BIZ_SQL} SELECT p_partkey % 3 = 0 AS indic, count(*) AS n FROM biz GROUP BY 1",
     "sim_jaro_winkler": _N + " SELECT a, b, round(jaro_winkler_similarity(a, b), 6) AS jw FROM q",
     "hn_relation": """WITH o AS (SELECT o_orderkey, CAST(o_orderkey % 1500 AS VARCHAR) AS a, CAST(o_custkey % 150 AS VARCHAR) AS b FROM orders)

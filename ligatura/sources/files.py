@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-import os
+import uuid
+from collections.abc import Callable
 from functools import reduce
 from typing import Any
 
@@ -71,35 +72,80 @@ def table_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.parquet(path).schema.names
 
 
-def cached_table(spark: SparkSession, path: str, build) -> DataFrame:
-    """The table at ``path``, built and written first if it isn't there: results survive a run and are reused."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
+def _place(path: str) -> tuple[Any, Any, Any]:
+    """(JVM, file system, path) of any path that Spark reads: local, HDFS or an object store."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return spark._jvm, place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(path: str) -> bool:
+    _, system, place = _place(path)
+    return system.exists(place)
+
+
+def folders(path: str) -> list[str]:
+    """Names of the folders in a folder; none if it isn't there."""
+    _, system, place = _place(path)
+    return sorted(f.getPath().getName() for f in system.listStatus(place) if f.isDirectory()) if system.exists(place) else []
+
+
+def cached_table(spark: SparkSession, path: str, build: Callable[[], DataFrame], made_of: Any = None) -> DataFrame:
+    """The table at ``path``, built and written first if it isn't there, or was made of something else (ids, a model's name and time)."""
+    note = f"{path}.made_of.json"
+    if not exists(f"{path}/_SUCCESS") or (read_json(note) if exists(note) else None) != made_of:
         write_table(build(), path)
+        write_json(made_of, note)
     return spark.read.parquet(path)
 
 
 def write_json(document: Any, path: str) -> None:
-    """A JSON document, replaced at once."""
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    part = f"{path}.part"
-    with open(part, "w") as f:
-        json.dump(document, f, indent=1)
-    os.replace(part, path)
+    """A JSON document; a reader finds the old one or the new one, never a part."""
+    jvm, system, place = _place(path)
+    part = jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = system.create(part, True)
+    out.write(json.dumps(document, indent=1).encode())
+    out.close()
+    system.delete(place, False)
+    system.rename(part, place)
 
 
 def read_json(path: str) -> Any:
-    with open(path) as f:
-        return json.load(f)
+    jvm, system, place = _place(path)
+    stream = system.open(place)
+    try:
+        return json.loads(jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def append_jsonl(record: dict[str, Any], path: str) -> None:
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    with open(path, "a") as f:
-        f.write(json.dumps(record) + "\n")
+    """One more record: a file of its own in the folder ``path``, so that stores without appending will do."""
+    jvm, system, place = _place(path)
+    number = len(system.listStatus(place)) if system.exists(place) else 0
+    out = system.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{number:08d}-{uuid.uuid4().hex}.jsonl"), True)
+    out.write((json.dumps(record) + "\n").encode())
+    out.close()
+
+
+def read_jsonl(path: str) -> list[dict[str, Any]]:
+    """The records of ``append_jsonl``, in order."""
+    jvm, system, place = _place(path)
+    out = []
+    for name in sorted(f.getPath().getName() for f in system.listStatus(place)):
+        stream = system.open(jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"))
+        out += [json.loads(line) for line in jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").splitlines()]
+        stream.close()
+    return out
 
 
 def fingerprint(folder: str, ending: str = ".tsv") -> dict[str, list[int]]:
     """Size and time of each file, to tell whether the inputs changed."""
-    found = (os.path.join(d, n) for d, _, names in os.walk(folder) for n in sorted(names) if n.endswith(ending))
-    return {os.path.relpath(p, folder): [os.stat(p).st_size, int(os.stat(p).st_mtime)] for p in found}
+    _, system, place = _place(folder)
+    root, found, out = system.makeQualified(place).toString(), system.listFiles(place, True), {}
+    while found.hasNext():
+        f = found.next()
+        name = f.getPath().toString().removeprefix(root).lstrip("/")
+        if name.endswith(ending):
+            out[name] = [f.getLen(), f.getModificationTime()]
+    return dict(sorted(out.items()))

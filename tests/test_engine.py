@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ligatura.operators import blocking, calibrate, decide, evaluate, folds, lexicon, relational, validate
+from ligatura.operators import blocking, calibrate, decide, evaluate, folds, isolation, lexicon, relational, validate
 from ligatura.operators.checkpoint import Checkpoint
 from ligatura.sources import files
 
@@ -215,3 +215,62 @@ def test_overlap_queries_meet_every_pair_that_shares_a_word(spark):
     assert {(r["doc_id"], r["item_id"]): (r["common"], r["missing"]) for r in rq.list_overlap(spark, d).collect()} == {k: v[:2] for k, v in want.items()}
     got = rq.jaccard_features(spark, d).collect()
     assert len(got) == len(want) and all(abs(r["jacc"] - want[r["doc_id"], r["item_id"]][2]) < 2e-6 for r in got)
+
+
+def test_format_findings(spark, tmp_path):
+    def of(text):
+        (tmp_path / "f.tsv").write_text(text)
+        return sorted(tuple(r) for r in validate.format_findings(spark, f"{tmp_path}/f.tsv", ("a", "b")).collect())
+
+    assert of("a\tb\n1\t2\n") == [] and [c for c, _ in of("")] == ["empty_file"]
+    assert of("a,b\n1,2\n") == [("not_tab_separated", "a,b")] and of("a\tc\n") == [("wrong_header", "a\tc")]
+    assert of("a\tb\n1\n1\t2\t3\n") == [("wrong_field_count", "1"), ("wrong_field_count", "1\t2\t3")]
+
+
+def test_leakage_audit_equals_single_aucs(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(float(rng.randint(0, 5)), rng.random(), int(rng.random() < 0.4)) for _ in range(300)]
+    df = spark.createDataFrame([(a, b, y, float(y)) for a, b, y in rows], "a double, b double, label int, c double")
+    got = {r["feature"]: (r["auc"], r["suspicious"]) for r in evaluate.leakage_audit(df, ["a", "b", "c"]).collect()}
+    for f in "abc":
+        want = relational.rank_sum_auc(df, f, "label").first()["auc"]
+        assert abs(got[f][0] - want) < 1e-9 and got[f][1] == (f == "c")
+
+
+def test_shuffled_labels_keep_each_fold_and_teach_nothing(spark):
+    import random
+
+    rng = random.Random(5)
+    rows = [(f"t{k}", f"s{k}", k % 3, (k + 1) % 3, int(k % 4 == 0), float(k % 4), rng.random()) for k in range(600)]
+    df = spark.createDataFrame(rows, "t string, s string, s_fold int, t_fold int, label int, x double, y double").cache()
+    mixed = isolation.shuffled(df)
+    count = lambda d: {r["s_fold"]: r["n"] for r in d.groupBy("s_fold").agg(F.sum("label").alias("n")).collect()}
+    assert count(mixed) == count(df) and mixed.count() == 600
+    assert mixed.where("label = 1 and x = 0").count() < 90  # the label no longer follows the feature
+    assert isolation.canary_auc(df, ("x", "y"), [0, 1, 2], 2) < isolation.CANARY_LIMIT + 0.05
+
+
+def test_lexicon_leaks(spark):
+    counts = spark.createDataFrame([(0, "a"), (1, "a"), (0, "b"), (1, "c")], "fold int, key string")
+    lexicons = spark.createDataFrame([(0, "a"), (0, "b"), (0, "c"), (None, "b")], "fold int, key string")
+    assert [tuple(r) for r in isolation.lexicon_leaks(counts, lexicons).collect()] == [(0, "b")]
+
+
+def test_subset_has_a_disjoint_labelled_holdout(spark, tmp_path):
+    from ligatura.plans.linkage import Workspace
+    from ligatura.sources import files
+    from tests.test_linkage import write_split
+
+    write_split(spark, f"{tmp_path}/data", "train", 300, 3)
+    Workspace(spark, f"{tmp_path}/data", f"{tmp_path}/work").subset(f"{tmp_path}/out", 0.4, 1.0, 0.3, 1.5)
+    ids = {split: {r["entity_id"] for r in files.read_records(spark, f"{tmp_path}/out", split).collect()} for split in ("train", "test")}
+    assert ids["train"] and ids["test"] and not ids["train"] & ids["test"]
+    truth = files.read_truth(spark, f"{tmp_path}/out/test/subset_ground_truth.tsv")
+    assert {r["t"] for r in truth.collect()} | {r["s"] for r in truth.collect()} <= ids["test"] and truth.count() > 0
+
+
+def test_markdown():
+    assert evaluate.markdown([{"a": 1.0, "b": None}, {"a": 0.5, "b": 2}], 2) == "| a | b |\n| - | - |\n| 1.00 | - |\n| 0.50 | 2 |\n"
+    assert evaluate.markdown([]) == ""

@@ -104,3 +104,25 @@ def test_house_numbers_and_tokens(spark):
     df = spark.createDataFrame(rows, "a string, b string, e int")
     assert [tuple(r) for r in df.select(sim.house_number_relation("a", "b"), "e").collect()] == [(e, e) for *_, e in rows]
     assert sim.tokens_unmatched_batch([["acme", "tools"], ["x"]], [["acmee", "zz"], []]).tolist() == [1, 1]
+
+
+def test_batched_scorers_equal_the_single_ones():
+    import random
+
+    import numpy as np
+
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcd e1") for _ in range(n))
+    a = [word(rng.choice([0, 1, 2, 5, 12, 30, 62, 63, 64, 80])) for _ in range(800)]
+    b = [(x[: rng.randint(0, len(x))] + word(rng.randint(0, 8))) if rng.random() < 0.5 else word(rng.choice([0, 1, 3, 9, 25, 63, 70])) for x in a]
+    a[5], b[9] = "\u00e9" + a[5], "\u00c4~" + b[9]
+    both = list(zip(a, b, strict=True))
+    assert sim.lcs_batch(a, b).tolist() == [sim.lcs(x, y) for x, y in both]
+    assert np.allclose(sim.partial_ratio_batch(a, b), [sim.partial_ratio(x, y) for x, y in both])
+    assert np.allclose(sim.jaro_winkler_batch(a, b), [sim.jaro_winkler_one(x, y) for x, y in both])
+
+
+def test_components_keep_their_numbers(spark):
+    rows = [(1, "100 Main Street 10, 20 Sector 21, Town 2"), (2, None), (3, "0, 1 ,2")]
+    got = {r["k"]: r["a"] for r in spark.createDataFrame(rows, "k int, x string").select("k", tn.norm_address("x", F.lit("US"))["a_num"].alias("a")).collect()}
+    assert got[1].split() == ["100", "10", "20", "21", "2"] and got[3].split() == ["0", "1", "2"]
