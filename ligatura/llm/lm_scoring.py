@@ -6,7 +6,7 @@ pairs that begin with v and a the smoothing mass, p(w|v) = (c(v,w) + (a + c(v) -
 one; p(w) adds one to each count and leaves one for a word not seen. A text's score is its mean loss per word under the
 target less that under the background: lower is more like the target.
 
-Nothing is broadcast. Texts become blocks of about ``BLOCK_WORDS`` words (local word numbers and the block's own
+No model is broadcast. Texts become blocks of about ``BLOCK_WORDS`` words (local word numbers and the block's own
 vocabulary). A block sends its distinct words, and its distinct pairs, as sorted 64-bit hashes with its own counts, in parts
 by hash range; each part adds up all blocks' counts and sends the totals back to every block, in the order of the block's
 own keys, so that keys travel once. A word that every text holds is one entry a block, so no key is hot, and a block
