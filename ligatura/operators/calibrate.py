@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ligatura.functions.columns import Value, col
-from ligatura.operators.relational import equal_frequency_bins, equal_width_bins
+from ligatura.operators.relational import equal_frequency_bins, width_bin
 
 EPS, CLIP = 1e-6, 12.0
 
@@ -112,13 +112,16 @@ def apply(calibrator: dict[str, Any] | None, p: Value) -> Column:
     raise ValueError(f"unknown calibrator {method!r}")
 
 
-def metrics(df: DataFrame, score: str, label: str, bins: int = 15) -> DataFrame:
-    """(log_loss, brier, ece) of scores against labels."""
+def metrics(df: DataFrame, score: str, label: str, bins: int = 15, by: tuple[str, ...] = ()) -> DataFrame:
+    """([by,] log_loss, brier, ece) of scores against labels, from sums over bins of equal width: the rows are read once."""
     y, p = F.col(label).cast("double"), F.least(F.greatest(F.col(score), F.lit(EPS)), F.lit(1 - EPS))
-    loss = F.avg(-(y * F.log(p) + (1 - y) * F.log(1 - p)))
-    one = df.agg(loss.alias("log_loss"), F.avg((F.col(score) - y) * (F.col(score) - y)).alias("brier"))
-    ece = equal_width_bins(df, score, label, bins).agg((F.sum(F.col("n") * F.abs(F.col("mean_pred") - F.col("frac_pos"))) / F.sum("n")).alias("ece"))
-    return one.join(ece)  # a row each
+    parts = {"loss": -(y * F.log(p) + (1 - y) * F.log(1 - p)), "sq": (F.col(score) - y) * (F.col(score) - y)}
+    cells = df.groupBy(*by, width_bin(score, bins).alias("_bin")).agg(
+        F.count("*").alias("_n"), F.abs(F.avg(score) - F.avg(y)).alias("_gap"), *(f(c).alias(f"_{f.__name__}_{name}") for name, c in parts.items() for f in (F.sum, F.count))
+    )
+    mean = lambda name: F.sum(f"_sum_{name}") / F.nullif(F.sum(f"_count_{name}"), F.lit(0))
+    ece = F.sum(F.col("_n") * F.col("_gap")) / F.nullif(F.sum("_n"), F.lit(0))
+    return cells.groupBy(*by).agg(mean("loss").alias("log_loss"), mean("sq").alias("brier"), ece.alias("ece"))
 
 
 def nested_report(df: DataFrame, score: str, label: str, fold: str, folds: list[int], ties: list[str]) -> dict[str, dict[str, float]]:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ligatura.operators import calibrate, decide
-from ligatura.operators.relational import argmax_per_key, hash_range, ranked_cumulative
+from ligatura.operators.relational import argmax_per_key, hash_range, in_hash_range, ranked_cumulative
 
 
 def per_entity(pred: DataFrame, truth: DataFrame, beta: float = 0.5) -> DataFrame:
@@ -127,15 +127,33 @@ def leakage_audit(features: DataFrame, names: list[str], label: str = "label") -
     return rows.withColumn("suspicious", F.coalesce((F.col("auc") < 0.001) | (F.col("auc") > 0.999), F.lit(False)))
 
 
+def _in_scenario(name: str) -> tuple[Column, Column]:
+    """(whether a pair is in the population of ``scenario``, whether it is true there), for pairs with ``_s``, the true ids of their query, null if it has none."""
+    true = F.coalesce(F.array_contains("_s", F.col("s")), F.lit(False))
+    if name == "train_distribution":
+        return F.lit(True), true
+    if name.startswith("matched_x"):
+        return F.col("_s").isNull() | ~in_hash_range("t", float(name[9:]), 1.0, "matched"), true
+    if name == "singletons_x2":
+        return F.lit(True), true & ~in_hash_range("s", 0.0, 0.06, "single")
+    if name == "indic_only":
+        return F.col("t_indic"), true
+    if name.startswith("source_"):
+        return F.col("t_src") == int(name.split("_")[1]), true
+    raise ValueError(f"unknown scenario {name!r}")
+
+
 def calibration_under_shift(pairs: DataFrame, truth: DataFrame, names: list[str], score: str = "p") -> DataFrame:
-    """(scenario, log_loss, brier, ece) of the scores against the labels of each shifted population."""
-    out = None
-    for name in ["train_distribution", *names]:
-        p, t = (pairs, truth) if name == "train_distribution" else scenario(name, pairs, truth)
-        labelled = p.join(t.select("t", "s").distinct().withColumn("_y", F.lit(1)), ["t", "s"], "left").withColumn("_y", F.coalesce("_y", F.lit(0)))
-        row = calibrate.metrics(labelled, score, "_y").select(F.lit(name).alias("scenario"), "*")
-        out = row if out is None else out.unionByName(row)
-    return out
+    """(scenario, log_loss, brier, ece) of the scores against the labels of each shifted population; nulls for one without pairs.
+
+    One join and one grouped job for all: a pair gives a row to every population that it is in.
+    """
+    names = ["train_distribution", *names]
+    labelled = pairs.join(truth.groupBy("t").agg(F.collect_set("s").alias("_s")), "t", "left")
+    cells = [F.when(kept, F.struct(F.lit(name).alias("scenario"), true.cast("int").alias("_y"))) for name, (kept, true) in ((n, _in_scenario(n)) for n in names)]
+    rows = labelled.select(score, F.explode(F.array_compact(F.array(*cells))).alias("_c")).select(score, "_c.*")
+    every = pairs.sparkSession.createDataFrame([(n,) for n in names], "scenario string")
+    return every.join(calibrate.metrics(rows, score, "_y", by=("scenario",)), "scenario", "left").select("scenario", "log_loss", "brier", "ece")
 
 
 def per_fold_best(links: DataFrame, entities: DataFrame, threshold: float, folds: list[int], grid: list[float] = decide.GRID) -> DataFrame:

@@ -22,6 +22,13 @@ def _all(spark, d):
     return p, t, e, decide.link_table(p, t), decide.entity_table(e, t)
 
 
+def _kept(spark, d):
+    """``_all``, for queries that read its tables several times: records, pairs and truth are made once."""
+    v.records(spark, d).cache()
+    p, t, e, links, ents = _all(spark, d)
+    return p.cache(), t.cache(), e, links, ents
+
+
 def assign(spark, d):
     return decide.assign(v.pairs(spark, d), THRESHOLD).select("t", "s", six("p"))
 
@@ -261,7 +268,7 @@ def holdout_policies(spark, d):
 
 def calibration_under_shift(spark, d):
     """Calibration of the scores on shifted populations (no oracle: populations chosen by hash; the metrics have one)."""
-    p, t, *_ = _all(spark, d)
+    p, t, *_ = _kept(spark, d)
     p = p.withColumns({"t_src": F.substring("t", 2, 1).cast("int"), "t_indic": F.substring("t", 2, 1) == "3"})
     return evaluate.calibration_under_shift(p, t, ["matched_x0.5", "source_2_only", "indic_only"])
 

@@ -274,3 +274,82 @@ def test_subset_has_a_disjoint_labelled_holdout(spark, tmp_path):
 def test_markdown():
     assert evaluate.markdown([{"a": 1.0, "b": None}, {"a": 0.5, "b": 2}], 2) == "| a | b |\n| - | - |\n| 1.00 | - |\n| 0.50 | 2 |\n"
     assert evaluate.markdown([]) == ""
+
+
+@pytest.mark.parametrize("cells", [1, 1 << 23])
+def test_retrieval_sums_pairs_within_chunks(spark, monkeypatch, cells):
+    for name, value in (("CHUNK", 7), ("PRODUCTS", 20), ("CELLS", cells)):
+        monkeypatch.setattr(blocking, name, value)
+    rng = random.Random(6)
+    rows = sorted({(f"S{1 + k % 2}-{k}", "AB"[k // 2 % 2], b, f"{b}:{rng.randrange(9)}") for k in range(60) for b in blocking.BLOCKS for _ in range(3)})
+    f = spark.createDataFrame(rows, "id string, country string, block string, feature string")
+    entities = f.where("id like 'S1-%'").select("id", "country").distinct()
+    ix = blocking.Index(f.where("id like 'S1-%'"), f.where("id like 'S2-%'"), entities)
+    pairs = ix.retrieve(2, 8, 0.3)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [t#" not in plan and "FlatMapGroupsInArrow" in plan  # no table of all pairs
+    s = {(r["country"], r["block"], r["feature"], r["id"]): r["w"] for r in ix.s.where("df <= 8").collect()}
+    score = {}
+    for r in ix.t.where("df between 1 and 8").collect():
+        for (*key, i), w in s.items():
+            if key == [r["country"], r["block"], r["feature"]]:
+                score.setdefault(r["id"], {}).setdefault(i, 0.0)
+                score[r["id"]][i] += w * r["w"]
+    want = {(t, i): (k, round(x, 9)) for t, of in score.items() for k, (i, x) in enumerate(sorted(of.items(), key=lambda e: (-round(e[1], 9), e[0]))[:2]) if round(x, 9) >= 0.3}
+    assert {(r["t"], r["s"]): (r["rank"], round(r["score"], 9)) for r in pairs.collect()} == want and want
+
+
+def _corpus(spark, folder):
+    """Documents of few words, with copies, as a data folder."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("abcdefgh") * 3 for _ in range(rng.randint(3, 14))) for _ in range(60)]
+    rows = [(k, texts[k % 60], "en" if k % 60 % 2 else "fr") for k in range(119)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def _pairs_made_once(spark, d):
+    from ligatura.plans import views
+
+    return views.pairs(spark, d).storageLevel.useMemory and views.truth(views.records(spark, d)).storageLevel.useMemory
+
+
+def test_calibration_under_shift_makes_pairs_once(spark, tmp_path):
+    from ligatura.plans import decision_queries as dq
+    from ligatura.plans import views
+
+    d = _corpus(spark, tmp_path)
+    got = {r["scenario"]: r["brier"] for r in dq.calibration_under_shift(spark, d).collect()}
+    assert _pairs_made_once(spark, d) and set(got) == {"train_distribution", "matched_x0.5", "source_2_only", "indic_only"}
+    true = {(r["t"], r["s"]) for r in views.truth(views.records(spark, d)).collect()}
+    rows = [(r["t"], r["p"] - ((r["t"], r["s"]) in true)) for r in views.pairs(spark, d).collect()]
+    for name, part in (("train_distribution", rows), ("source_2_only", [r for r in rows if r[0][1] == "2"])):
+        assert got[name] == pytest.approx(sum(e * e for _, e in part) / len(part))
+
+
+def test_calibration_under_shift_equals_the_populations(spark):
+    rng = random.Random(8)
+    pairs = [(f"t{k}", f"s{j}", rng.randint(0, 20) / 20, 2 + k % 2, k % 5 == 0) for k in range(200) for j in range(3)]
+    df = spark.createDataFrame(pairs, "t string, s string, p double, t_src int, t_indic boolean")
+    truth = spark.createDataFrame([(f"t{k}", f"s{k % 4}") for k in range(0, 200, 2)], "t string, s string")
+    names = ["matched_x0.5", "singletons_x2", "source_2_only", "source_4_only", "indic_only"]
+    shifted = evaluate.calibration_under_shift(df, truth, names)
+    plan = shifted._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Join LeftOuter" in line for line in plan.splitlines()) == 2  # pairs to truth, names to metrics
+    got = {r["scenario"]: (r["log_loss"], r["brier"], r["ece"]) for r in shifted.collect()}
+    for name in ["train_distribution", *names]:
+        p, t = (df, truth) if name == "train_distribution" else evaluate.scenario(name, df, truth)
+        true, rows = {(r["t"], r["s"]) for r in t.collect()}, p.collect()
+        if not rows:
+            assert got[name] == (None, None, None)
+            continue
+        py = [(r["p"], float((r["t"], r["s"]) in true)) for r in rows]
+        bins = {}
+        for x, y in py:
+            bins.setdefault(min(math.floor(x * 15), 14), []).append((x, y))
+        clip = lambda x: min(max(x, calibrate.EPS), 1 - calibrate.EPS)
+        want = (
+            -sum(y * math.log(clip(x)) + (1 - y) * math.log(1 - clip(x)) for x, y in py) / len(py), sum((x - y) ** 2 for x, y in py) / len(py),
+            sum(abs(sum(x for x, _ in b) - sum(y for _, y in b)) for b in bins.values()) / len(py),
+        )
+        assert got[name] == pytest.approx(want)
