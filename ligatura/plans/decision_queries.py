@@ -282,7 +282,7 @@ def nested_calibration(spark, d):
 
 def threshold_transfer(spark, d):
     """Thresholds for twice the decoys: as trained, refitted on weighted decoys, shifted by the prior."""
-    p, t, e, links, ents = _all(spark, d)
+    p, t, e, links, ents = _kept(spark, d)
     labelled = p.join(t.withColumn("label", F.lit(1)), ["t", "s"], "left").fillna(0, ["label"])
     chosen = decide.transfer_thresholds(links, ents.select("s", "nt"), labelled, t, 2.0, GRID)
     return spark.createDataFrame(sorted(chosen.items()), "method string, threshold double")

@@ -353,3 +353,15 @@ def test_calibration_under_shift_equals_the_populations(spark):
             sum(abs(sum(x for x, _ in b) - sum(y for _, y in b)) for b in bins.values()) / len(py),
         )
         assert got[name] == pytest.approx(want)
+
+
+def test_threshold_transfer_makes_pairs_once(spark, tmp_path):
+    from ligatura.plans import decision_queries as dq
+
+    d = _corpus(spark, tmp_path)
+    got = {r["method"]: r["threshold"] for r in dq.threshold_transfer(spark, d).collect()}
+    assert _pairs_made_once(spark, d)
+    p, t, e, links, ents = dq._all(spark, d)
+    for method, weight in (("train", 1.0), ("density", 2.0)):
+        assert got[method] == decide.best_threshold(decide.sweep(links, ents.select("s", "nt"), dq.GRID, weight)).first()["threshold"]
+    assert set(got) == {"train", "density", "prior"}
