@@ -114,14 +114,16 @@ def leakage_audit(features: DataFrame, names: list[str], label: str = "label") -
     """(feature, auc, suspicious) of each feature alone; one that separates the labels all but perfectly leaks.
 
     One job for all: counts per feature and value, running sums over range partitions of (feature, value), mid-ranks.
+    Values tie at nine digits, so that the order of a sum's terms can't turn ranks. Features are numbers until the end; totals come from the running sums' own rows, so that ``features`` is read once.
     """
-    cells = F.explode(F.array(*(F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in names)))
-    per = features.select(F.col(label).cast("long").alias("y"), cells.alias("c")).groupBy("c.feature", "c.x").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
-    total = per.groupBy("feature").agg(F.sum("n").alias("n_all"), F.sum("pos").alias("n_pos"))
-    before = total.withColumn("before", F.coalesce(F.sum("n_all").over(Window.orderBy("feature").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row a feature
-    run = ranked_cumulative(per, ["feature", "x"], "n").join(F.broadcast(before), "feature")
-    u = F.sum(F.col("pos") * (F.col("cum") - F.col("before") - F.col("n") + (F.col("n") + 1) / 2.0)).alias("u")
-    one = run.groupBy("feature", "n_all", "n_pos").agg(u)
+    cells = F.posexplode(F.array(*(F.round(F.col(f).cast("double"), 9) for f in names))).alias("f", "x")
+    per = features.select(F.col(label).cast("long").alias("y"), cells).groupBy("f", "x").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
+    run = ranked_cumulative(per, ["f", "x"], "n")
+    # ranks count from the first row of all features: a feature's own begin after its least running sum
+    below = F.col("cum") - F.col("n")
+    sums = run.groupBy("f").agg(F.min(below).alias("before"), F.sum(F.col("pos").cast("decimal(38,1)") * (2 * below + F.col("n") + 1)).alias("u2"), F.sum("n").alias("n_all"), F.sum("pos").alias("n_pos"))
+    name = F.element_at(F.array(*map(F.lit, names)), F.col("f") + 1)
+    one = sums.select(name.alias("feature"), "n_all", "n_pos", ((F.col("u2") - 2 * F.col("before") * F.col("n_pos")) / 2).cast("double").alias("u"))
     auc = (F.col("u") - F.col("n_pos") * (F.col("n_pos") + 1) / 2.0) / F.nullif(F.col("n_pos") * (F.col("n_all") - F.col("n_pos")), F.lit(0))
     rows = one.select("feature", auc.alias("auc"))
     return rows.withColumn("suspicious", F.coalesce((F.col("auc") < 0.001) | (F.col("auc") > 0.999), F.lit(False)))

@@ -193,9 +193,10 @@ def expected_f_decode(spark, d):
 
 
 def _features(spark, d):
+    v.records(spark, d).cache()
     rec = prepared(spark, d)
-    ix = v.index(spark, d)
-    return pairs.features(ix.cosines(ix.retrieve()), rec, v.truth(v.records(spark, d)))
+    ix = v.index(spark, d).cached()
+    return pairs.features(ix.cosines(ix.retrieve().cache()), rec, v.truth(v.records(spark, d)))
 
 
 def pair_features(spark, d):

@@ -376,3 +376,16 @@ def test_ranks_hold_beyond_the_sample_of_range_partitioning(spark):
     assert bins == dict.fromkeys(range(10), n // 10)
     cum = relational.ranked_cumulative(df.withColumn("n", F.lit(1)), ["x", "id"], "n").agg(F.max("cum"), F.countDistinct("cum")).first()
     assert tuple(cum) == (n, n)
+
+
+def test_leakage_audit_makes_features_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def feature(x):
+        made.add(1)
+        return float(x % 7)
+
+    df = spark.range(200).select((F.col("id") % 2).alias("label"), feature("id").alias("a"))
+    assert [r["feature"] for r in evaluate.strongest(evaluate.leakage_audit(df, ["a"])).collect()] == ["a"]
+    assert made.value == 200
