@@ -21,9 +21,10 @@ def lexicon_leaks(counts: DataFrame, lexicons: DataFrame) -> DataFrame:
 def shuffled(pairs: DataFrame, label: str = "label", fold: str = "s_fold", seed: str = "canary") -> DataFrame:
     """``pairs`` (t, s, ...) with their labels dealt anew within each fold, so that every fold keeps its share."""
     mixed = lambda salt: F.md5(F.concat_ws("|", "t", "s", F.lit(seed + salt)))
-    places = ranked(pairs.drop(label), [F.asc(fold), mixed("a").asc(), F.asc("t"), F.asc("s")], "_rank")
-    labels = ranked(pairs.select(fold, "t", "s", label), [F.asc(fold), mixed("b").asc(), F.asc("t"), F.asc("s")], "_rank")
-    return places.join(labels.select("_rank", label), "_rank").drop("_rank")
+    # only keys are ranked: the features join again by the pair, which is unique
+    places = ranked(pairs.select(fold, "t", "s"), [F.asc(fold), mixed("a").asc(), F.asc("t"), F.asc("s")], "_rank").select("_rank", "t", "s")
+    labels = ranked(pairs.select(fold, "t", "s", label), [F.asc(fold), mixed("b").asc(), F.asc("t"), F.asc("s")], "_rank").select("_rank", label)
+    return pairs.drop(label).join(places.join(labels, "_rank").drop("_rank"), ["t", "s"])
 
 
 def canary_auc(pairs: DataFrame, names: tuple[str, ...], folds: list[int], rounds: int = 10) -> float:
