@@ -172,12 +172,12 @@ def group_features(df: DataFrame) -> DataFrame:
 
 def features(pairs: DataFrame, records: DataFrame, truth: DataFrame | None = None) -> DataFrame:
     """(t, s, label, the 82 features) of every candidate pair; t_second is -1 where there is none."""
+    if truth is not None:  # while rows are short
+        pairs = pairs.join(truth.select("t", "s").distinct().withColumn("label", F.lit(1)), ["t", "s"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
     df = context_features(pairs)
     df = sides(df, address_crowding(records))
     for step in (string_features, set_features, record_features, number_features, street_features, group_features):
         df = step(df)
-    if truth is not None:
-        df = df.join(truth.select("t", "s").distinct().withColumn("label", F.lit(1)), ["t", "s"], "left").withColumn("label", F.coalesce("label", F.lit(0)))
     keep = ["t", "s", *(["label"] if truth is not None else [])]
     return df.select(*keep, *(F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in STAGE_1))
 

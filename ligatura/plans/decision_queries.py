@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ligatura.operators import calibrate, decide, evaluate, isolation, model, pairs, validate
 from ligatura.plans import views as v
 from ligatura.plans.text_queries import _SPELLED, lexicon_alignment, prepared
-from ligatura.sources.files import id_lists
+from ligatura.sources.files import id_lists, kept
 
 six = lambda c: (F.round(c, 6) + F.lit(0.0)).alias(c)  # no negative zero
 THRESHOLD = 0.5
@@ -193,10 +193,13 @@ def expected_f_decode(spark, d):
 
 
 def _features(spark, d):
+    """The features of all pairs. Records and pairs are written before: their plans are long, and the driver would hold them several times."""
     v.records(spark, d).cache()
-    rec = prepared(spark, d)
+    rec = kept(prepared(spark, d).drop("business_name", "business_address", "feat_name", "feat_addr", "feat_cross"), "records")
     ix = v.index(spark, d).cached()
-    return pairs.features(ix.cosines(ix.retrieve().cache()), rec, v.truth(v.records(spark, d)))
+    found = kept(ix.cosines(ix.retrieve()), "pairs")
+    ix.release()
+    return pairs.features(found, rec, v.truth(v.records(spark, d)))
 
 
 def pair_features(spark, d):

@@ -389,3 +389,37 @@ def test_leakage_audit_makes_features_once(spark):
     df = spark.range(200).select((F.col("id") % 2).alias("label"), feature("id").alias("a"))
     assert [r["feature"] for r in evaluate.strongest(evaluate.leakage_audit(df, ["a"])).collect()] == ["a"]
     assert made.value == 200
+
+
+def test_cosines_meet_both_records_without_a_row_a_feature(spark, tmp_path):
+    rng = random.Random(8)
+    rows = sorted({(f"S{1 + k % 2}-{k}", "AB"[k // 2 % 2], b, f"{rng.randrange(9)}") for k in range(60) for b in blocking.BLOCKS for _ in range(3) if (k + len(b)) % 5})
+    rows.append(("S2-alone", "A", "name", "of no entity"))
+    f = spark.createDataFrame(rows, "id string, country string, block string, feature string")
+    ix = blocking.Index(f.where("id like 'S1-%'"), f.where("id like 'S2-%'"), f.where("id like 'S1-%'").select("id", "country").distinct())
+    ids = {side: sorted({r[0] for r in rows if r[0].startswith(side)}) for side in ("S1", "S2")}
+    given = [(t, s, 0.5) for t in [*ids["S2"], "S2-unknown"] for s in [*ids["S1"], "S1-unknown"]]
+    pairs = spark.createDataFrame(given, "t string, s string, score double")
+    w = {}
+    for r in ix.s.unionByName(ix.t).collect():
+        w.setdefault(r["id"], {})[r["block"], r["country"], r["feature"]] = r["w"]
+    want = {
+        (t, s): tuple(sum(x * w.get(s, {}).get(key, 0.0) for key, x in w.get(t, {}).items() if key[0] == b) for b in blocking.BLOCKS) for t, s, _ in given
+    }
+    for index in (ix, ix.stored(f"{tmp_path}/weights")):
+        out = index.cosines(pairs)
+        joins = [line for line in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+        assert not any("feature#" in line and ("w_t#" in line or "s#" in line) for line in joins) and any("(t#" in line for line in joins)
+        got = {(r["t"], r["s"]): tuple(r[f"cos_{b}"] for b in blocking.BLOCKS) for r in out.collect()}
+        assert len(got) == len(given)
+        assert all(got[key] == pytest.approx(x, abs=1e-12) for key, x in want.items()) and any(any(x) for x in want.values())
+        assert all(got[t, s] == (0.0, 0.0, 0.0) for t, s, _ in given if "unknown" in t + s or t == "S2-alone")
+
+
+def test_features_shuffle_pairs_by_each_side_once(spark, tmp_path):
+    from ligatura.plans import decision_queries as dq
+
+    d = _corpus(spark, tmp_path)
+    plan = dq.pair_features(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 200_000  # the driver holds it several times
+    assert "regexp_replace" not in plan.split("InMemoryRelation")[0]  # records aren't normalised for each use
