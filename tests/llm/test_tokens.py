@@ -23,6 +23,25 @@ def test_ids_equal_the_library(name):
         assert got == [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in ODD]
 
 
+def test_plain_chunks_are_spelled_in_bytes_at_little_cost():
+    import time
+
+    slow = lambda chunks: [c.encode().decode("latin-1").translate(tk._BYTES) for c in chunks]
+    letters = [chr(c) for c in range(0x41, 0x100) if chr(c).isalpha() and tk._PLAIN.fullmatch(chr(c))]
+    odd = [*letters, *(a + b for a in letters for b in letters), " Ã", "Ãé", "Ééà", "!?;", " a"]
+    assert all(tk._PLAIN.fullmatch(c) for c in odd)
+    assert tk.byte_characters(odd) == slow(odd) and tk.byte_characters(["a"]) == ["a"]
+    rng = np.random.default_rng(1)
+    words = [" " + "".join(rng.choice(letters[:52], 8)) + "é" * (k % 5 == 0) for k in range(10_000)]  # as in prose: few letters are accented
+    took = []
+    for way in (slow, tk.byte_characters):
+        began = time.process_time()
+        for _ in range(5):
+            way(words)
+        took.append(time.process_time() - began)
+    assert took[1] < 0.5 * took[0], took
+
+
 def test_token_files(spark, odd_docs, no_docs, tmp_path):
     path = f"file://{tmp_path}/t"
     tf.write_tokens(odd_docs.withColumn("ids", odd_docs.source), path)
