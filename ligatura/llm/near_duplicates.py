@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import arrow_rows, joined_evenly, scratch, table, written
+from ligatura.llm.common import afresh, arrow_rows, joined_evenly, scratch, table, written
 from ligatura.llm.components import components, unite
 from ligatura.llm.textkit import Words, blocks, mix
 
@@ -137,7 +137,7 @@ def sketches(docs: DataFrame, k: int, threshold: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(first, n) for c in ("doc_id", "key")), *columns], ["doc_id", "key", "n_shingles", "sid", *BITS, *names])
 
     schema = "doc_id long, key long, n_shingles long, sid long, " + ", ".join(f"{c} long" for c in BITS) + "".join(f", {c} int" for c in names)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("key"), "text").mapInArrow(afresh(run), schema)
 
 
 def placed(rows: DataFrame, comp: DataFrame | None) -> DataFrame:
@@ -161,7 +161,7 @@ def first_nodes(entries: DataFrame, threshold: float, trees: range) -> DataFrame
                 node = _child(np.full(len(value), parent), np.full(len(value), coordinate), value)
                 yield pa.RecordBatch.from_arrays([pa.array(node), *same], ["node", "sid", "n", *BITS, "comp"])
 
-    return entries.select("sid", F.col("n_shingles").alias("n"), *BITS, "comp", *names).mapInArrow(run, SLIM + ", comp long")
+    return entries.select("sid", F.col("n_shingles").alias("n"), *BITS, "comp", *names).mapInArrow(afresh(run), SLIM + ", comp long")
 
 
 def on_texts(asked: DataFrame, docs: DataFrame, k: int, body: Callable, schema: str) -> DataFrame:
@@ -184,7 +184,7 @@ def on_texts(asked: DataFrame, docs: DataFrame, k: int, body: Callable, schema:
                 if len(right):
                     yield body(right, sids, batch.column("items").slice(first, n), hashes, size)
 
-    return texts.select("sid", "items", "text").mapInArrow(run, schema)
+    return texts.select("sid", "items", "text").mapInArrow(afresh(run), schema)
 
 
 def _repeated(right: np.ndarray, items: pa.ListArray) -> tuple[np.ndarray, pa.Array]:
@@ -315,7 +315,7 @@ def groups(nodes: DataFrame, percent: int) -> DataFrame:
         if held:
             yield found([np.concatenate(x) for x in zip(*held, strict=True)])
 
-    return nodes.select(*names).repartition("node").sortWithinPartitions("node").mapInArrow(run, "group long, sid long, comp long").distinct()
+    return nodes.select(*names).repartition("node").sortWithinPartitions("node").mapInArrow(afresh(run), "group long, sid long, comp long").distinct()
 
 
 def links_of(sid: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
@@ -385,7 +385,7 @@ def links(asked: DataFrame, entries: DataFrame, docs: DataFrame, k: int, percent
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b"])
 
     sets = on_texts(items, docs, k, body, "group long, comp long, sid long, shingles array<long>")
-    return sets.repartition("group").sortWithinPartitions("group").mapInArrow(run, "a long, b long").distinct()
+    return sets.repartition("group").sortWithinPartitions("group").mapInArrow(afresh(run), "a long, b long").distinct()
 
 
 # ------------------------------------------------------------------------ classes

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ligatura.llm.common import is_remainder, mapped_rows, table
+from ligatura.llm.common import afresh, is_remainder, mapped_rows, table
 from ligatura.llm.docstats import BASE, FEATURES, base_counts, statistics
 from ligatura.llm.textkit import Words, blocks
 
@@ -148,7 +148,7 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, sample_rows: int) ->
                 yield pa.RecordBatch.from_arrays([batch.column("label").slice(first, len(x)), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
 
     # repeated ids in the documents don't add rows: the bound holds for what comes to the driver
-    rows = got.select("text", "label").mapInArrow(stats, schema).orderBy(F.xxhash64("x"), "label").limit(sample_rows).toPandas()
+    rows = got.select("text", "label").mapInArrow(afresh(stats), schema).orderBy(F.xxhash64("x"), "label").limit(sample_rows).toPandas()
     x = np.stack(rows["x"].to_list()) if len(rows) else np.zeros((0, len(FEATURES)))
     order = np.lexsort((*x.T, rows["label"].to_numpy()))
     return x[order], rows["label"].to_numpy()[order]

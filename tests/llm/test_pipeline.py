@@ -32,3 +32,23 @@ def test_stages_keep_odd_columns_and_meet_odd_rows(spark, odd_docs, no_docs, tmp
             assert {(r["_id"], r["_key"], r["row"], r["kept"], r["sid"], r["spans"], r["a.b"]) for r in out.collect()} <= {("mine", "own", 1, 2, 3, "s", "x")}
         pieces = corpus_pipeline.STAGES[-1][1](spark, docs, d)
         assert (pieces.where("start = 0").count()) == n
+
+
+def test_workers_hold_nothing_of_other_operators(spark, odd_docs):
+    """Python workers are used again and again: the tokenizer's memory of a packing goes when another operator's task begins."""
+    from ligatura.llm import common, near_duplicates, retrieval_packing
+
+    def kept(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common.KEPT)] * b.num_rows, pa.int64())], ["kept"])
+
+    one = odd_docs.coalesce(1)
+    asked = lambda: one.select("doc_id").mapInArrow(kept, "kept long").agg(F.max("kept")).first()[0]
+    left = []
+    for work in (lambda: retrieval_packing.pack(one), lambda: near_duplicates.sketches(one, 5, 0.8)):
+        for _ in range(16):  # every worker of this session
+            work().count()
+        left.append(max(asked() for _ in range(16)))
+    assert left[0] > 0 and left[1] == 0
